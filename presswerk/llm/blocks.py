@@ -115,7 +115,7 @@ def decide(line: str, names: PublisherNames) -> int:
     if len(words) <= 9 and _SUBHEAD.match(text):
         return SUBHEAD
     # Headlines, menu items and labels end without a full stop; so does a sentence that was cut off.
-    sentence = len(words) >= 3 and not marked and not links and _ADVERT.isdisjoint(words) and sum(w in STOP_WORDS for w in words) / len(words) >= 0.2
+    sentence = len(words) >= 4 and not marked and not links and _ADVERT.isdisjoint(words) and sum(w in STOP_WORDS for w in words) / len(words) >= 0.2
     return HEADLINE if sentence else PAGE
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from presswerk.llm.blocks import p4_found
+from presswerk.llm.language import p6_found
 from presswerk.llm.repeated_lines import p1_cleaned, p1_found
 
 _LINES = r"""
@@ -22,5 +23,5 @@ p AS (SELECT id, unnest(range(1, len(parts) + 1)) - 1 AS line_no, unnest(parts)
 c AS (SELECT p.id, coalesce(string_agg(line, chr(10) ORDER BY p.line_no) FILTER (WHERE f.id IS NULL), '') AS content FROM p LEFT JOIN f ON p.id = f.id AND p.line_no = f.line_no GROUP BY p.id)
 SELECT a.id, CASE WHEN a.content IS NULL THEN NULL ELSE c.content END AS content FROM a LEFT JOIN c USING (id)"""
 
-QUERIES = {"p1_found": p1_found, "p1_cleaned": p1_cleaned, "p4_found": p4_found}
+QUERIES = {"p1_found": p1_found, "p1_cleaned": p1_cleaned, "p4_found": p4_found, "p6_found": p6_found}
 ORACLES = {"p1_found": P1_FOUND, "p1_cleaned": P1_CLEANED}
