@@ -2,7 +2,8 @@
 
 Fixed masks pick six words out of a window and ignore the others. The seeds of the test items are joined with those
 of the documents; documents with enough seeds of an item go to an exact check, which chains the runs of equal words
-around the hits and looks for a stretch of the item with at most one edit in eight words.
+around the hits and looks for a stretch of the item with at most one edit in eight words. Before the join a filter
+of fixed size drops the windows of documents that no test item has, or that stand too far apart.
 
 The number of seeds asked for follows from the definition: 36 words with four edits leave 32 equal words in at most
 five runs, so at least 32 - 5 x 5 = 7 windows of six words without a gap.
@@ -24,47 +25,72 @@ MIN_WORDS = 36
 EDIT_SHARE = 8
 MIN_SEEDS = 7
 #: Size of the filter of test seeds that travels to the executors; full of bits it lets everything through.
-FILTER_BITS = 22
+FILTER_BITS = 24
+#: 36 words with four added ones take 40 words of a document.
+WINDOW = 40
+DRIFT = 5
 
 
 def _tokens(text: str | None) -> list[str]:
     return PLAIN_WORD.findall(text.casefold()) if text else []
 
 
-def _seeds(texts: list[str], cache: WordHashes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(row, position, seed) of all windows of all masks in the texts."""
-    rows, positions, seeds = [], [], []
-    for row, text in enumerate(texts):
-        words = _tokens(text)
-        if len(words) <= MASKS[0][-1]:
-            continue
-        hashes = cache.array(words)
-        for k, mask in enumerate(MASKS):
-            found = runs(hashes, mask) * np.uint64(2 * k + 1)
-            seeds.append(found)
-            positions.append(np.arange(len(found), dtype=np.int32))
-            rows.append(np.full(len(found), row, dtype=np.int64))
-    if not seeds:
-        return np.empty(0, np.int64), np.empty(0, np.int32), np.empty(0, np.uint64)
-    return np.concatenate(rows), np.concatenate(positions), np.concatenate(seeds)
+def _seeds(text: str | None, cache: WordHashes) -> list[np.ndarray]:
+    """The seeds of all windows of each mask in a text."""
+    words = _tokens(text)
+    if len(words) <= MASKS[0][-1]:
+        return []
+    hashes = cache.array(words)
+    return [runs(hashes, mask) * np.uint64(2 * k + 1) for k, mask in enumerate(MASKS)]
+
+
+def _probes(seeds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    return seeds >> np.uint64(64 - FILTER_BITS), (seeds >> np.uint64(8)) & np.uint64((1 << FILTER_BITS) - 1)
+
+
+def _dense(seeds: list[np.ndarray], bits: np.ndarray) -> list[np.ndarray]:
+    """For each mask, which windows may be in a leaked passage: known seeds of which enough stand close together."""
+    known = []
+    for found in seeds:
+        first, second = _probes(found)
+        known.append(bits[first] & bits[second])
+    at = np.zeros(len(seeds[0]), dtype=np.int64)
+    for x in known:
+        at[: len(x)] |= x
+    if at.sum() < MIN_SEEDS:
+        return []
+    total = np.concatenate([[0], np.cumsum(at)])
+    ends = np.minimum(np.arange(len(at)) + WINDOW, len(at))
+    starts = np.flatnonzero(total[ends] - total[:-1] >= MIN_SEEDS)
+    if not len(starts):
+        return []
+    cover = np.zeros(len(at) + 1, dtype=np.int64)
+    np.add.at(cover, starts, 1)
+    np.add.at(cover, ends[starts], -1)
+    inside = np.cumsum(cover)[:-1] > 0
+    return [x & inside[: len(x)] for x in known]
 
 
 def _seed_batches(keep):
-    """mapInArrow over (key, text) -> (key, position, seed); `keep` is the filter's bits or None."""
-    schema = pa.schema([("key", pa.int64()), ("position", pa.int32()), ("seed", pa.int64())])
+    """mapInArrow over (key, text) -> (key, mask, position, seed); `keep` is the filter's bits or None for all seeds."""
+    schema = pa.schema([("key", pa.int64()), ("mask", pa.int8()), ("position", pa.int32()), ("seed", pa.int64())])
 
     def run(batches):
         cache = WordHashes()
         bits = None if keep is None else np.unpackbits(np.frombuffer(keep.value, dtype=np.uint8)).view(bool)
         for batch in batches:
-            keys = batch.column(0).to_numpy(zero_copy_only=False)
-            texts = batch.column(1).to_pylist()
-            for at in range(0, len(texts), 500):
-                rows, positions, seeds = _seeds(texts[at : at + 500], cache)
-                if bits is not None and len(seeds):
-                    hit = bits[seeds >> np.uint64(64 - FILTER_BITS)]
-                    rows, positions, seeds = rows[hit], positions[hit], seeds[hit]
-                yield pa.RecordBatch.from_arrays([pa.array(keys[at + rows]), pa.array(positions), pa.array(seeds.view(np.int64))], schema=schema)
+            out: list[list[np.ndarray]] = [[np.empty(0, np.int64)], [np.empty(0, np.int8)], [np.empty(0, np.int32)], [np.empty(0, np.uint64)]]
+            for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                seeds = _seeds(text, cache)
+                masks = ([np.ones(len(x), bool) for x in seeds] if bits is None else _dense(seeds, bits)) if seeds else []
+                for mask, (found, kept) in enumerate(zip(seeds, masks, strict=False)):
+                    positions = np.flatnonzero(kept)
+                    out[0].append(np.full(len(positions), key, np.int64))
+                    out[1].append(np.full(len(positions), mask, np.int8))
+                    out[2].append(positions.astype(np.int32))
+                    out[3].append(found[positions])
+            keys, masks, positions, found = (np.concatenate(x) for x in out)
+            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(masks), pa.array(positions), pa.array(found.view(np.int64))], schema=schema)
 
     return run
 
@@ -73,7 +99,8 @@ def _filter_batches(batches):
     """Bits of the seeds of one partition, packed in pieces of a fixed number."""
     bits = np.zeros(1 << FILTER_BITS, dtype=bool)
     for batch in batches:
-        bits[batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64) >> np.uint64(64 - FILTER_BITS)] = True
+        for probe in _probes(batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64)):
+            bits[probe] = True
     yield pa.RecordBatch.from_arrays([pa.array([np.packbits(bits).tobytes()], pa.binary())], names=["bits"])
 
 
@@ -173,22 +200,26 @@ def find_leaks(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", doc_te
     spark = docs.sparkSession
     left = docs.where(F.col(doc_id).isNotNull() & F.col(doc_text).isNotNull()).select(F.col(doc_id).cast("long").alias("key"), F.col(doc_text).alias("text"))
     right = items.where(F.col(item_id).isNotNull() & F.col(item_text).isNotNull()).select(F.col(item_id).cast("long").alias("key"), F.col(item_text).alias("text"))
-    test = cut_lineage(right.mapInArrow(_seed_batches(None), "key long, position int, seed long").distinct(), "test-seeds")
+    test = cut_lineage(right.mapInArrow(_seed_batches(None), "key long, mask byte, position int, seed long").distinct(), "test-seeds")
     parts = test.select("seed").coalesce(8).mapInArrow(_filter_batches, "bits binary").collect()  # at most eight filters of a fixed size
     bits = np.zeros((1 << FILTER_BITS) // 8, dtype=np.uint8)
     for part in parts:
         bits |= np.frombuffer(part[0], dtype=np.uint8)
     keep = spark.sparkContext.broadcast(bits.tobytes())
-    seeds = left.mapInArrow(_seed_batches(keep), "key long, position int, seed long")
-    hits = seeds.select(F.col("key").alias("doc_id"), F.col("position").alias("doc_at"), "seed").join(
+    seeds = left.mapInArrow(_seed_batches(keep), "key long, mask byte, position int, seed long")
+    hits = seeds.select(F.col("key").alias("doc_id"), "mask", F.col("position").alias("doc_at"), "seed").join(
         test.select(F.col("key").alias("item_id"), F.col("position").alias("item_at"), "seed"), "seed"
     )
-    # Two occurrences of a seed in one item must not count for two positions of the document.
+    # The seeds of 36 words lie within 40 document positions and, with four words dropped or added, within four
+    # neighbouring diagonals. Cells twice as large, laid twice with half a cell between, hold any such group whole.
+    diagonal = F.col("doc_at") - F.col("item_at")
+    shifts = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a in (0, WINDOW) for b in (0, DRIFT)])
     pairs = (
-        hits.select("doc_id", "item_id", (F.col("doc_at") - F.col("item_at")).alias("diagonal"), "doc_at", "seed")
-        .groupBy("doc_id", "item_id", "diagonal").agg(F.count("*").alias("n"))
-        .groupBy("doc_id", "item_id").agg(F.sum("n").alias("n"), F.sort_array(F.collect_set("diagonal")).alias("diagonals"))
+        hits.select("doc_id", "item_id", "mask", "doc_at", diagonal.alias("diagonal"), F.explode(shifts).alias("s"))
+        .groupBy("doc_id", "item_id", "s", F.floor((F.col("doc_at") + F.col("s.a")) / (2 * WINDOW)).alias("x"), F.floor((F.col("diagonal") + F.col("s.b")) / (2 * DRIFT)).alias("y"))
+        .agg(F.sum((F.col("mask") == 0).cast("int")).alias("n"), F.min("diagonal").alias("low"), F.max("diagonal").alias("high"))
         .where(F.col("n") >= MIN_SEEDS)
+        .groupBy("doc_id", "item_id").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_set(F.array("low", "high"))))).alias("diagonals"))
     )
     pairs = cut_lineage(pairs.select("doc_id", "item_id", "diagonals"), "leak-pairs")
     texts = left.join(pairs.select(F.col("doc_id").alias("key")).distinct(), "key", "left_semi")
