@@ -6,6 +6,7 @@ from presswerk.llm.answers import p3_found
 from presswerk.llm.blocks import p4_found
 from presswerk.llm.language import p6_found
 from presswerk.llm.leaks import p8_found
+from presswerk.llm.near_copies import p2_found
 from presswerk.llm.repeated_lines import p1_cleaned, p1_found
 from presswerk.llm.spam import p10_found
 from presswerk.llm.survivors import p5_found
@@ -27,5 +28,5 @@ p AS (SELECT id, unnest(range(1, len(parts) + 1)) - 1 AS line_no, unnest(parts)
 c AS (SELECT p.id, coalesce(string_agg(line, chr(10) ORDER BY p.line_no) FILTER (WHERE f.id IS NULL), '') AS content FROM p LEFT JOIN f ON p.id = f.id AND p.line_no = f.line_no GROUP BY p.id)
 SELECT a.id, CASE WHEN a.content IS NULL THEN NULL ELSE c.content END AS content FROM a LEFT JOIN c USING (id)"""
 
-QUERIES = {"p1_found": p1_found, "p1_cleaned": p1_cleaned, "p3_found": p3_found, "p4_found": p4_found, "p5_found": p5_found, "p6_found": p6_found, "p8_found": p8_found, "p10_found": p10_found}
+QUERIES = {"p1_found": p1_found, "p1_cleaned": p1_cleaned, "p2_found": p2_found, "p3_found": p3_found, "p4_found": p4_found, "p5_found": p5_found, "p6_found": p6_found, "p8_found": p8_found, "p10_found": p10_found}
 ORACLES = {"p1_found": P1_FOUND, "p1_cleaned": P1_CLEANED}
