@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from presswerk.llm.words import PLAIN_WORD, WordHashes, runs
-from presswerk.session import cut_lineage, read_table
+from presswerk.session import BROADCAST_LIMIT_BYTES, cut_lineage, read_table
 
 #: Offsets of the words that a seed takes; the first mask ignores none, the others bridge changed words.
 MASKS = ((0, 1, 2, 3, 4, 5), (0, 1, 2, 4, 5, 6), (0, 1, 3, 4, 6, 7))
@@ -29,6 +29,12 @@ FILTER_BITS = 24
 #: 36 words with four added ones take 40 words of a document.
 WINDOW = 40
 DRIFT = 5
+#: The seeds of 36 words lie within 40 document positions and, with four words dropped or added, within four
+#: neighbouring diagonals. Cells twice as large, laid twice with half a cell between, hold any such group whole.
+#: Gapped seeds alone, where words were changed one by one, must be more to count.
+MIN_GAPPED = 12
+#: The test table is broadcast if it stays under the limit at so many bytes a seed, else joined by a shuffle.
+TEST_ROW_BYTES = 24
 
 
 def _tokens(text: str | None) -> list[str]:
@@ -104,6 +110,51 @@ def _filter_batches(batches):
     yield pa.RecordBatch.from_arrays([pa.array([np.packbits(bits).tobytes()], pa.binary())], names=["bits"])
 
 
+def _local_pairs(doc: list[np.ndarray], kept: list[np.ndarray], table: tuple[np.ndarray, ...]) -> dict[int, list[int]]:
+    """Items of which enough seeds meet in one cell of position and diagonal, with the diagonals of these cells."""
+    seeds, items, places = table
+    columns = []
+    for mask, (found, keep) in enumerate(zip(doc, kept, strict=True)):
+        positions = np.flatnonzero(keep)
+        low, high = np.searchsorted(seeds, found[positions], "left"), np.searchsorted(seeds, found[positions], "right")
+        many = high - low
+        rows = np.repeat(low - np.concatenate([[0], np.cumsum(many)[:-1]]), many) + np.arange(many.sum())
+        columns.append((np.repeat(positions, many), items[rows], places[rows], np.full(len(rows), mask)))
+    at, item, place, mask = (np.concatenate(x) for x in zip(*columns, strict=True))
+    diagonal = at - place
+    out: dict[int, list[int]] = {}
+    for a in (0, WINDOW):
+        for b in (0, DRIFT):
+            cell = (item << 34) | (((at + a) // (2 * WINDOW)) << 20) | ((diagonal + b) // (2 * DRIFT) + (1 << 19))
+            _, first, where, counts = np.unique(cell, return_index=True, return_inverse=True, return_counts=True)
+            if counts.max(initial=0) < MIN_SEEDS:
+                continue
+            whole = np.bincount(where, weights=mask == 0)
+            for k in np.flatnonzero((whole >= MIN_SEEDS) | (counts - whole >= MIN_GAPPED)):
+                inside = diagonal[where == k]
+                out.setdefault(int(item[first[k]]), []).extend((int(inside.min()), int(inside.max())))
+    return out
+
+
+def _local_batches(keep, table):
+    """mapInArrow over (key, text) -> (doc_id, item_id, diagonals): the join with a test table of checked size."""
+    schema = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("diagonals", pa.list_(pa.int32()))])
+
+    def run(batches):
+        cache = WordHashes()
+        bits = np.unpackbits(np.frombuffer(keep.value, dtype=np.uint8)).view(bool)
+        ids, *arrays = table.value
+        for batch in batches:
+            out = []
+            for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                seeds = _seeds(text, cache)
+                if seeds and (kept := _dense(seeds, bits)):
+                    out.extend((key, int(ids[i]), sorted(set(d))) for i, d in _local_pairs(seeds, kept, arrays).items())
+            yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], t) for i, t in enumerate(schema.types)], schema=schema)
+
+    return run
+
+
 def longest_stretch(item: np.ndarray, doc: np.ndarray, diagonals: list[int], min_words: int = MIN_WORDS) -> int:
     """Words of the longest stretch of `item` that `doc` holds with at most one edit in eight words, if long enough.
 
@@ -191,6 +242,35 @@ def _verify_batches(min_words):
     return run
 
 
+def _broadcast_join(left: DataFrame, test: DataFrame, keep) -> DataFrame:
+    """Pairs of a document and an item with the diagonals of their seeds; the caller has checked the table's size."""
+    spark = left.sparkSession
+    known = test.select("seed", "key", "position").toPandas()
+    ids, items = np.unique(known["key"].to_numpy(), return_inverse=True)
+    seeds = known["seed"].to_numpy().view(np.uint64)
+    order = np.argsort(seeds, kind="stable")
+    table = spark.sparkContext.broadcast((ids, seeds[order], items[order].astype(np.int64), known["position"].to_numpy()[order].astype(np.int64)))
+    return left.mapInArrow(_local_batches(keep, table), "doc_id long, item_id long, diagonals array<int>").distinct()
+
+
+def _shuffled_join(left: DataFrame, test: DataFrame, keep) -> DataFrame:
+    """The same pairs for a test table of any size, by a join of the seeds."""
+    seeds = left.mapInArrow(_seed_batches(keep), "key long, mask byte, position int, seed long")
+    hits = seeds.select(F.col("key").alias("doc_id"), "mask", F.col("position").alias("doc_at"), "seed").join(
+        test.select(F.col("key").alias("item_id"), F.col("position").alias("item_at"), "seed"), "seed"
+    )
+    diagonal = F.col("doc_at") - F.col("item_at")
+    shifts = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a in (0, WINDOW) for b in (0, DRIFT)])
+    gapless = F.sum((F.col("mask") == 0).cast("int"))
+    return (
+        hits.select("doc_id", "item_id", "mask", "doc_at", diagonal.alias("diagonal"), F.explode(shifts).alias("s"))
+        .groupBy("doc_id", "item_id", "s", F.floor((F.col("doc_at") + F.col("s.a")) / (2 * WINDOW)).alias("x"), F.floor((F.col("diagonal") + F.col("s.b")) / (2 * DRIFT)).alias("y"))
+        .agg(gapless.alias("n"), (F.count("*") - gapless).alias("m"), F.min("diagonal").alias("low"), F.max("diagonal").alias("high"))
+        .where((F.col("n") >= MIN_SEEDS) | (F.col("m") >= MIN_GAPPED))
+        .groupBy("doc_id", "item_id").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_set(F.array("low", "high"))))).cast("array<int>").alias("diagonals"))
+    )
+
+
 def find_leaks(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", doc_text: str = "text", item_id: str = "item_id", item_text: str = "content", min_words: int = MIN_WORDS) -> DataFrame:
     """Rows (doc_id, item_id, words): documents that hold a stretch of at least `min_words` words of an item.
 
@@ -206,22 +286,12 @@ def find_leaks(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", doc_te
     for part in parts:
         bits |= np.frombuffer(part[0], dtype=np.uint8)
     keep = spark.sparkContext.broadcast(bits.tobytes())
-    seeds = left.mapInArrow(_seed_batches(keep), "key long, mask byte, position int, seed long")
-    hits = seeds.select(F.col("key").alias("doc_id"), "mask", F.col("position").alias("doc_at"), "seed").join(
-        test.select(F.col("key").alias("item_id"), F.col("position").alias("item_at"), "seed"), "seed"
-    )
-    # The seeds of 36 words lie within 40 document positions and, with four words dropped or added, within four
-    # neighbouring diagonals. Cells twice as large, laid twice with half a cell between, hold any such group whole.
-    diagonal = F.col("doc_at") - F.col("item_at")
-    shifts = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a in (0, WINDOW) for b in (0, DRIFT)])
-    pairs = (
-        hits.select("doc_id", "item_id", "mask", "doc_at", diagonal.alias("diagonal"), F.explode(shifts).alias("s"))
-        .groupBy("doc_id", "item_id", "s", F.floor((F.col("doc_at") + F.col("s.a")) / (2 * WINDOW)).alias("x"), F.floor((F.col("diagonal") + F.col("s.b")) / (2 * DRIFT)).alias("y"))
-        .agg(F.sum((F.col("mask") == 0).cast("int")).alias("n"), F.min("diagonal").alias("low"), F.max("diagonal").alias("high"))
-        .where(F.col("n") >= MIN_SEEDS)
-        .groupBy("doc_id", "item_id").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_set(F.array("low", "high"))))).alias("diagonals"))
-    )
-    pairs = cut_lineage(pairs.select("doc_id", "item_id", "diagonals"), "leak-pairs")
+    rows = test.count()
+    if rows * TEST_ROW_BYTES <= BROADCAST_LIMIT_BYTES:
+        pairs = _broadcast_join(left, test, keep)
+    else:
+        pairs = _shuffled_join(left, test, keep)
+    pairs = cut_lineage(pairs, "leak-pairs")
     texts = left.join(pairs.select(F.col("doc_id").alias("key")).distinct(), "key", "left_semi")
     full = pairs.join(texts.select(F.col("key").alias("doc_id"), F.col("text").alias("doc_text")), "doc_id").join(right.select(F.col("key").alias("item_id"), F.col("text").alias("item_text")), "item_id")
     found = full.select("doc_id", "item_id", "diagonals", "doc_text", "item_text").mapInArrow(_verify_batches(min_words), "doc_id long, item_id long, words int")
