@@ -3,7 +3,12 @@
 from __future__ import annotations
 
 from presswerk.operators.timestamps import p7_found
+from presswerk.plans import retrieval_queries, text_queries
 
+MODULES = [text_queries, retrieval_queries]
 QUERIES = {"p7_found": p7_found}
 ORACLES: dict[str, str] = {}
-FLAGSHIP = "p7_found"
+for _module in MODULES:
+    QUERIES |= _module.QUERIES
+    ORACLES |= _module.ORACLES
+FLAGSHIP = "r13_retrieve_feed"
