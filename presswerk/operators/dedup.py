@@ -1,8 +1,7 @@
 """Exact and near-duplicate removal within an interest's hits: first kept wins.
 
 A candidate is compared with kept hits only, so the result depends on the order and is no connected component. A
-run's hits of one interest are bounded by its top-k, so one group is small; `corpus_pairs` finds pairs over a whole
-corpus by blocking instead.
+run's hits of one interest are bounded by its top-k, so one group is small.
 """
 
 from __future__ import annotations
@@ -11,8 +10,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from presswerk.functions.similarity import indel_ratio, indel_ratio_udf, ratio_bound
-from presswerk.functions.text import ascii_tokens, jaccard, norm_text, normal_url, url_domain
+from presswerk.functions.similarity import indel_ratio
+from presswerk.functions.text import ascii_tokens, norm_text, normal_url, url_domain
 
 BODY_TOKENS = 180
 
@@ -150,21 +149,3 @@ def block_key_column(title: Column, tokens: Column, domain: Column) -> Column:
     grams = F.slice(F.array_distinct(F.when(F.length(squeezed) >= 3, F.transform(F.sequence(F.lit(1), F.length(squeezed) - 2), lambda i: F.substring(squeezed, i, F.lit(3)))).otherwise(F.array().cast("array<string>"))), 1, 4)
     keys = F.concat(F.transform(words, lambda w: F.concat(F.lit("t:"), w)), F.when(domain != "", F.transform(words, lambda w: F.concat(F.lit("d:"), domain, F.lit("|"), w))).otherwise(F.array().cast("array<string>")), F.transform(grams, lambda g: F.concat(F.lit("g:"), g)))
     return F.when(F.size(keys) > 0, keys).when(domain != "", F.array(F.concat(F.lit("donly:"), domain))).otherwise(F.array().cast("array<string>"))
-
-
-def corpus_pairs(docs: DataFrame, min_title: float = 0.90, min_body: float = 0.62) -> DataFrame:
-    """(a, b, title_ratio, body_jaccard) over a corpus (id, title, body_tokens), by prefix filtering.
-
-    With words in order of rarity, sets of Jaccard similarity t share a word among their first n - ceil(t n) + 1, so
-    only these block; the exact similarity, the native length bound and the ratio then decide. No pair is missed.
-    """
-    x = docs.select("id", "title", F.array_distinct("body_tokens").alias("words")).where(F.size("words") > 0)
-    words = x.select("id", F.explode("words").alias("w"))
-    counts = words.groupBy("w").agg(F.count("*").alias("n"))
-    ordered = words.join(counts, "w").groupBy("id").agg(F.array_sort(F.collect_list(F.struct("n", "w"))).alias("o"))  # at most the words of one text
-    prefix = (F.size("o") - F.ceil(F.lit(min_body) * F.size("o")) + 1).cast("int")
-    keyed = ordered.select("id", F.explode(F.slice("o", F.lit(1), prefix)).alias("x")).select("id", F.col("x.w").alias("w"))
-    pairs = keyed.select("w", F.col("id").alias("a")).join(keyed.select("w", F.col("id").alias("b")), "w").where("a < b").select("a", "b").distinct()
-    full = pairs.join(x.select(F.col("id").alias("a"), F.col("title").alias("ta"), F.col("words").alias("wa")), "a").join(x.select(F.col("id").alias("b"), F.col("title").alias("tb"), F.col("words").alias("wb")), "b")
-    near = full.where(ratio_bound(F.col("ta"), F.col("tb")) >= min_title).withColumn("body_jaccard", jaccard(F.col("wa"), F.col("wb"))).where(F.col("body_jaccard") >= min_body)
-    return near.withColumn("title_ratio", indel_ratio_udf("ta", "tb")).where(F.col("title_ratio") >= min_title).select("a", "b", "title_ratio", "body_jaccard")

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from presswerk.functions.similarity import dot
 from presswerk.functions.text import norm_text, unicode_tokens
-from presswerk.session import broadcast_if_small
+from presswerk.session import broadcast_if_small, cut_lineage
 
 
 @dataclasses.dataclass(frozen=True)
@@ -159,19 +159,22 @@ def final_score(rrf_norm: Column, dense_max: Column, dense_cov: Column, lex_norm
 
 def retrieve(docs: DataFrame, vectors: DataFrame, specs: DataFrame, config: RetrievalConfig, langs: list[str] | None = None) -> DataFrame:
     """(interest, rank, id, score) over docs (id, title, body, lang), vectors (id, vec) and merged specs, in one plan."""
-    specs = specs.withColumn("q", F.concat_ws("#", "interest", F.col("q_pos").cast("string")))
+    specs = specs.withColumn("q", F.concat_ws("#", "interest", F.col("q_pos").cast("string"))).select("q", "interest", "q_pos", "text", "weight", "kind", F.col("vec").cast("array<double>").alias("vec"))
+    # The specs of a run are a few for each interest; as a local table they are planned once, not in every branch.
+    specs = specs.sparkSession.createDataFrame(specs.collect(), specs.schema)
     small = F.broadcast(specs.select("q", "interest", "weight"))  # the specs of one run: a few for each interest
     dense = []
     for kind, k in (("anchor", config.dense_per_anchor), ("expansion", config.dense_per_expansion)):
         if k > 0:
             dense.append(dense_topk(vectors, specs.where(F.col("kind") == kind), k))
-    found = dense[0] if len(dense) == 1 else dense[0].unionByName(dense[1])
+    # Ranked hits are at most k for a spec; written down, they are not computed again for each of their uses.
+    found = cut_lineage(dense[0] if len(dense) == 1 else dense[0].unionByName(dense[1]), "dense-hits")
     dense_rrf = rrf(found.join(small, "q"), ["interest", "id"], F.col("weight"), k=config.rrf_k).withColumnRenamed("rrf", "dense_rrf")
     lexical = []
     for field, k in (("title", config.title_k), ("body", config.body_k)):
         scored = bm25_scores(docs.select("id", F.col(field).alias("text")), specs.select("q", "text"))
         lexical.append(rank_within(scored, ["q"], "score", "id", k))
-    lex = lexical[0].unionByName(lexical[1]).join(small, "q")
+    lex = cut_lineage(lexical[0].unionByName(lexical[1]), "lexical-hits").join(small, "q")
     lex_rrf = rrf(lex, ["interest", "id"], F.col("weight"), k=config.rrf_k).withColumnRenamed("rrf", "lex_rrf")
     lex_best = lex.groupBy("interest", "id").agg(F.max(F.col("weight") * F.col("score")).alias("lex_best"))
     both = dense_rrf.join(lex_rrf, ["interest", "id"], "full").join(lex_best, ["interest", "id"], "left").na.fill(0.0, ["dense_rrf", "lex_rrf", "lex_best"])

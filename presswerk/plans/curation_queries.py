@@ -7,6 +7,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from presswerk.functions import text as t
+from presswerk.functions.similarity import indel_ratio_udf, ratio_bound
 from presswerk.operators import dedup, rerank
 from presswerk.plans.text_queries import norm, strip
 from presswerk.session import read_table
@@ -64,13 +65,15 @@ def p12_token_jaccard(spark, sf_dir):
     return pairs.select("interest", "a", "b", F.round(t.jaccard(F.col("wa"), F.col("wb")), 6).alias("jaccard"))
 
 
-def a9_removal_reasons(spark, sf_dir):
-    return dp2_dedup_hits(spark, sf_dir).where("reason <> ''").groupBy("reason").agg(F.count("*").alias("n"))
+def p13_title_ratio(spark, sf_dir):
+    """Indel ratio of the titles of neighbouring hits, where the lengths allow a half."""
+    p = hits(spark, sf_dir).select("interest", "rank", t.norm_text(F.col("title")).alias("title"))
+    pairs = p.join(p.select("interest", (F.col("rank") - 1).alias("rank"), F.col("title").alias("other")), ["interest", "rank"]).where(ratio_bound(F.col("title"), F.col("other")) >= 0.5)
+    return pairs.select("interest", "rank", F.round(indel_ratio_udf("title", "other"), 6).alias("ratio"))
 
 
-def u_corpus_pairs(spark, sf_dir):
-    a = latest(spark, sf_dir).select("id", t.norm_text(F.col("title")).alias("title"), t.ascii_tokens(F.col("title")).alias("title_tokens"), F.slice(t.ascii_tokens(F.col("content")), 1, dedup.BODY_TOKENS).alias("body_tokens"))
-    return dedup.corpus_pairs(a).select("a", "b", F.round("title_ratio", 6).alias("title_ratio"), F.round("body_jaccard", 6).alias("body_jaccard"))
+def a9_removal_reasons(spark, sf_dir):
+    return dp2_dedup_hits(spark, sf_dir).where("reason <> ''").groupBy("reason").agg(F.count("*").alias("n"))
 
 
 def w2_first_by_fingerprint(spark, sf_dir):
@@ -168,7 +171,7 @@ _FP = "md5(lower({0})||'||'||lower({1})||'||'||substr(lower({2}),1,400))".format
 
 QUERIES = {
     "dp1_prepare": dp1_prepare, "dp2_dedup_hits": dp2_dedup_hits, "dp6_dedup_stories": dp6_dedup_stories, "dp7_dedup_output": dp7_dedup_output, "dp3_block_keys": dp3_block_keys, "j9_block_pairs": j9_block_pairs,
-    "jaccard_title_tokens": p12_token_jaccard, "a9_removal_reasons": a9_removal_reasons, "dp_corpus_pairs": u_corpus_pairs, "w2_first_by_fingerprint": w2_first_by_fingerprint, "w2_first_by_url": w2_first_by_url,
+    "jaccard_title_tokens": p12_token_jaccard, "title_ratio": p13_title_ratio, "a9_removal_reasons": a9_removal_reasons, "w2_first_by_fingerprint": w2_first_by_fingerprint, "w2_first_by_url": w2_first_by_url,
     "j2_hydrate": j2_hydrate, "j3_lookup_cascade": j3_lookup_cascade, "j8_resume_index": j8_resume_index, "j6_candidate_vectors": j6_candidates_with_vectors, "j13_pair_in_interest": j13_pair_in_interest,
     "x3_rerank": x3_rerank, "x13_collapse": x13_collapse, "x8_denoise": x8_denoise, "t6_pool": t6_pool,
 }
