@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 BROADCAST_LIMIT_BYTES = 64 << 20
 
 _written: list[tuple[SparkSession, str]] = []
+_own_folder: list[str] = []
 
 
 def build_session(master: str = "local[4]", shuffle_partitions: int = 8, memory: str = "4g") -> SparkSession:
@@ -39,10 +40,11 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def shared_folder(spark: SparkSession) -> str:
     """The cluster's shared folder (spark.checkpoint.dir); a local one is made only where none is set."""
-    folder = spark.conf.get("spark.checkpoint.dir", "")
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not folder:
-        folder = "file://" + tempfile.mkdtemp(prefix="presswerk-")
-        spark.conf.set("spark.checkpoint.dir", folder)
+        if not _own_folder:
+            _own_folder.append("file://" + tempfile.mkdtemp(prefix="presswerk-"))
+        folder = _own_folder[0]
     return folder.rstrip("/")
 
 
