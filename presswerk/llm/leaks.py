@@ -25,14 +25,13 @@ MIN_WORDS = 36
 EDIT_SHARE = 8
 MIN_SEEDS = 7
 #: Size of the filter of test seeds that travels to the executors; full of bits it lets everything through.
-FILTER_BITS = 24
+FILTER_BITS = 22
 #: 36 words with four added ones take 40 words of a document.
 WINDOW = 40
 DRIFT = 5
 #: The seeds of 36 words lie within 40 document positions and, with four words dropped or added, within four
 #: neighbouring diagonals. Cells twice as large, laid twice with half a cell between, hold any such group whole.
-#: Gapped seeds alone, where words were changed one by one, must be more to count.
-MIN_GAPPED = 12
+#: Gapped seeds bridge changed words and so widen the diagonals that the exact check looks at.
 #: The test table is broadcast if it stays under the limit at so many bytes a seed, else joined by a shuffle.
 TEST_ROW_BYTES = 24
 
@@ -54,15 +53,17 @@ def _probes(seeds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return seeds >> np.uint64(64 - FILTER_BITS), (seeds >> np.uint64(8)) & np.uint64((1 << FILTER_BITS) - 1)
 
 
+def _known(found: np.ndarray, bits: np.ndarray) -> np.ndarray:
+    first, second = _probes(found)
+    hit = bits[first]
+    at = np.flatnonzero(hit)
+    hit[at] = bits[second[at]]
+    return hit
+
+
 def _dense(seeds: list[np.ndarray], bits: np.ndarray) -> list[np.ndarray]:
-    """For each mask, which windows may be in a leaked passage: known seeds of which enough stand close together."""
-    known = []
-    for found in seeds:
-        first, second = _probes(found)
-        known.append(bits[first] & bits[second])
-    at = np.zeros(len(seeds[0]), dtype=np.int64)
-    for x in known:
-        at[: len(x)] |= x
+    """For each mask, which windows may be in a leaked passage: near enough known windows without a gap."""
+    at = _known(seeds[0], bits)
     if at.sum() < MIN_SEEDS:
         return []
     total = np.concatenate([[0], np.cumsum(at)])
@@ -74,7 +75,7 @@ def _dense(seeds: list[np.ndarray], bits: np.ndarray) -> list[np.ndarray]:
     np.add.at(cover, starts, 1)
     np.add.at(cover, ends[starts], -1)
     inside = np.cumsum(cover)[:-1] > 0
-    return [x & inside[: len(x)] for x in known]
+    return [at & inside, *(_known(x, bits) & inside[: len(x)] for x in seeds[1:])]
 
 
 def _seed_batches(keep):
@@ -113,14 +114,24 @@ def _filter_batches(batches):
 def _local_pairs(doc: list[np.ndarray], kept: list[np.ndarray], table: tuple[np.ndarray, ...]) -> dict[int, list[int]]:
     """Items of which enough seeds meet in one cell of position and diagonal, with the diagonals of these cells."""
     seeds, items, places = table
-    columns = []
-    for mask, (found, keep) in enumerate(zip(doc, kept, strict=True)):
-        positions = np.flatnonzero(keep)
-        low, high = np.searchsorted(seeds, found[positions], "left"), np.searchsorted(seeds, found[positions], "right")
+
+    def hits(mask: int):
+        positions = np.flatnonzero(kept[mask])
+        found = doc[mask][positions]
+        low, high = np.searchsorted(seeds, found, "left"), np.searchsorted(seeds, found, "right")
         many = high - low
         rows = np.repeat(low - np.concatenate([[0], np.cumsum(many)[:-1]]), many) + np.arange(many.sum())
-        columns.append((np.repeat(positions, many), items[rows], places[rows], np.full(len(rows), mask)))
+        return np.repeat(positions, many), items[rows], places[rows], np.full(len(rows), mask)
+
+    first_hits = hits(0)
+    # An item without enough windows in the whole document has not enough in any cell either.
+    enough = np.bincount(first_hits[1]) >= MIN_SEEDS if len(first_hits[1]) else np.zeros(1, bool)
+    if not enough.any():
+        return {}
+    columns = [first_hits, *(hits(mask) for mask in range(1, len(doc)))]
     at, item, place, mask = (np.concatenate(x) for x in zip(*columns, strict=True))
+    wanted = (item < len(enough)) & enough[np.minimum(item, len(enough) - 1)]
+    at, item, place, mask = at[wanted], item[wanted], place[wanted], mask[wanted]
     diagonal = at - place
     out: dict[int, list[int]] = {}
     for a in (0, WINDOW):
@@ -130,7 +141,7 @@ def _local_pairs(doc: list[np.ndarray], kept: list[np.ndarray], table: tuple[np.
             if counts.max(initial=0) < MIN_SEEDS:
                 continue
             whole = np.bincount(where, weights=mask == 0)
-            for k in np.flatnonzero((whole >= MIN_SEEDS) | (counts - whole >= MIN_GAPPED)):
+            for k in np.flatnonzero(whole >= MIN_SEEDS):
                 inside = diagonal[where == k]
                 out.setdefault(int(item[first[k]]), []).extend((int(inside.min()), int(inside.max())))
     return out
@@ -265,8 +276,8 @@ def _shuffled_join(left: DataFrame, test: DataFrame, keep) -> DataFrame:
     return (
         hits.select("doc_id", "item_id", "mask", "doc_at", diagonal.alias("diagonal"), F.explode(shifts).alias("s"))
         .groupBy("doc_id", "item_id", "s", F.floor((F.col("doc_at") + F.col("s.a")) / (2 * WINDOW)).alias("x"), F.floor((F.col("diagonal") + F.col("s.b")) / (2 * DRIFT)).alias("y"))
-        .agg(gapless.alias("n"), (F.count("*") - gapless).alias("m"), F.min("diagonal").alias("low"), F.max("diagonal").alias("high"))
-        .where((F.col("n") >= MIN_SEEDS) | (F.col("m") >= MIN_GAPPED))
+        .agg(gapless.alias("n"), F.min("diagonal").alias("low"), F.max("diagonal").alias("high"))
+        .where(F.col("n") >= MIN_SEEDS)
         .groupBy("doc_id", "item_id").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_set(F.array("low", "high"))))).cast("array<int>").alias("diagonals"))
     )
 
