@@ -228,6 +228,7 @@ ORACLES = {
     "s16_expansions": f"WITH u AS (SELECT interest, unnest(range(0, len(items))) AS pos, unnest(items) AS raw_item FROM interest_expansions WHERE interest IS NOT NULL), i AS (SELECT interest, pos, {strip('raw_item')} AS item FROM u), f AS (SELECT interest, item, min(pos) AS pos FROM i WHERE item <> '' GROUP BY 1, 2) SELECT interest, string_agg(item, '|' ORDER BY pos) AS items FROM f GROUP BY interest",
     "g7_clean_summary": f"SELECT id, md5(coalesce(array_to_string(list_filter(list_transform(string_split({_CL}, chr(10)), lambda x: {strip('x')}), lambda y: y <> ''), ' '), '')) AS clean_md5 FROM article_summaries",
     "g_usable_summary": f"SELECT id, {_CONT} AS contaminated, length({strip(chr(99)+'oalesce(summary_fr,'+chr(39)*2+')')}) >= 350 AND NOT {_CONT} AS usable FROM article_summaries",
+    "g5_raw_json": "SELECT id, coalesce(array_to_string(list_sort(json_keys(raw_llm)), ','), 'none') AS keys FROM article_summaries",
     "a2_cache_metadata": "SELECT count(*) AS n, max(epoch_us(updated_at)) AS latest_us FROM articles",
     "a13_interest_counts": "SELECT interest, count(*) AS n, max(writing_run_id) AS last FROM article_summaries GROUP BY interest",
     "n13_normalise": f"WITH {LATEST} SELECT id, md5(coalesce({_J.format('headline')}, {_J.format('title')}, '')) AS title_md5, md5(coalesce({_J.format('text')}, {_J.format('article')}, {_J.format('description')}, {_J.format('content')}, '')) AS content_md5, coalesce({_J.format('source_name')}, {_J.format('domain')}, {_J.format('source')}, '') AS source, coalesce({_J.format('link')}, {_J.format('url')}, '') AS url FROM a",

@@ -79,9 +79,13 @@ def v8_pipeline(spark, sf_dir):
     return out["written"].select("interest", "rank", "id", "status", F.length("summary").alias("chars"))
 
 
+# A few function words of each language.
+GUESS_WORDS = {"en": "the of and to in that for with", "fr": "le les des du et dans pour sur", "de": "der die das und im von mit für", "es": "el los las del y por con según", "it": "il gli di della nel che dopo secondo", "pt": "o os do da dos das no em com não"}
+
+
 def n15_detect_lang(spark, sf_dir):
     """A guess from function words; NULL under twenty characters or without evidence."""
-    words = {"en": "the of and to in that for with", "fr": "le les des du et dans pour sur", "de": "der die das und im von mit für", "es": "el los las del y por con según", "it": "il gli di della nel che dopo secondo", "pt": "o os do da dos das no em com não"}
+    words = GUESS_WORDS
     d = read_table(spark, sf_dir, "documents")
     tokens = F.regexp_extract_all(F.lower(F.coalesce("text", F.lit(""))), F.lit(r"[\p{L}\p{N}_]+"), F.lit(0))
     count = lambda ws: F.size(F.filter(F.col("w"), lambda x: x.isin(ws.split())))
@@ -92,10 +96,12 @@ def n15_detect_lang(spark, sf_dir):
 
 _TIDY_LINE = STRIP.format("regexp_replace(x, '[\\s\\p{Z}]+', ' ', 'g')")
 _TEXT = f"array_to_string(list_filter(list_transform(string_split(regexp_replace(coalesce(text,''), '\\r\\n?', chr(10), 'g'), chr(10)), lambda x: {_TIDY_LINE}), lambda y: y <> ''), chr(10))"
+_GUESS = ", ".join(f"struct_pack(n := len(list_filter(w, lambda x: x IN {tuple(ws.split())!r})), i := {-i}, c := '{c}')" for i, (c, ws) in enumerate(GUESS_WORDS.items()))
 QUERIES = {"n28_page_extract": n28_extract, "page_filters": page_filters, "s6_archive_scan": s6_archive, "s11_gkg_scan": s11_gkg, "s10_gkg_manifest": s10_manifests, "s8_archive_manifest": s8_archive_manifest, "v8_pipeline": v8_pipeline, "n15_detect_lang": n15_detect_lang}
 ORACLES = {
     "n28_page_extract": f"SELECT doc_id, '2026-01-02 03:04:05' AS date, 'page.example' AS domain, CASE WHEN length(t) >= 120 THEN '' ELSE 'short_text' END AS reason, md5(CASE WHEN length(t) >= 120 THEN t ELSE '' END) AS text_md5 FROM (SELECT doc_id, coalesce({_TEXT}, '') AS t FROM documents WHERE text IS NOT NULL)",
     "s6_archive_scan": f"SELECT doc_id, md5(t) AS text_md5 FROM (SELECT doc_id, {_TEXT} AS t FROM documents WHERE text IS NOT NULL) WHERE length(t) >= 120 AND NOT regexp_matches(lower(t), '^(?:login|sign in|search|tag:|author:)') AND NOT regexp_matches(lower(substr(t, 1, 3000)), 'captcha|access denied')",
+    "n15_detect_lang": rf"SELECT doc_id, CASE WHEN chars >= 20 AND b.n > 0 THEN b.c ELSE 'none' END AS lang FROM (SELECT doc_id, chars, list_max([{_GUESS}]) AS b FROM (SELECT doc_id, length(coalesce(text,'')) AS chars, regexp_extract_all(lower(coalesce(text,'')), '[\p{{L}}\p{{N}}_]+') AS w FROM documents))",
     "s11_gkg_scan": r"SELECT source, coalesce(url,'') AS url, regexp_replace(lower(regexp_extract(coalesce(url,''), '^([A-Za-z][A-Za-z0-9+.-]*)://([^/?#]*)([^?#]*).*$', 2)), '^www\.', '') AS domain, 'ECON TAX' AS themes, 1767323045 AS epoch FROM articles WHERE source IS NOT NULL AND lang = 'en'",
     "s10_gkg_manifest": "SELECT DISTINCT 'http://x.example/'||strftime(d, '%Y%m%d')||'000000.gkg.csv.zip' AS url FROM (SELECT DATE '2026-01-01' + CAST(doc_id % 20 AS INTEGER) AS d FROM documents) WHERE d BETWEEN DATE '2026-01-03' AND DATE '2026-01-07'",
     "s8_archive_manifest": "SELECT DISTINCT 'crawl-data/CC-NEWS-'||strftime(d, '%Y%m%d')||'101010-00001.warc.gz' AS path FROM (SELECT DATE '2026-01-01' + CAST(doc_id % 20 AS INTEGER) AS d FROM documents) WHERE d <= DATE '2026-01-09'",
