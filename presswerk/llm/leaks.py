@@ -1,9 +1,9 @@
 """Evaluation texts leaking into training text (problem 8), by spaced-seed hashing.
 
 Fixed masks pick six words out of a window and ignore the others. The seeds of the test items are joined with those
-of the documents; documents with enough seeds of an item go to an exact check, which chains the runs of equal words
-around the hits and looks for a stretch of the item with at most one edit in eight words. Before the join a filter
-of fixed size drops the windows of documents that no test item has, or that stand too far apart.
+of the documents; documents with enough seeds of an item go to an exact check, which aligns both texts around the
+hits and looks for a stretch of the item with at most one edit in eight words. Before the join a filter of fixed size
+drops the windows of documents that no test item has, or that stand too far apart.
 
 The number of seeds asked for follows from the definition: 36 words with four edits leave 32 equal words in at most
 five runs, so at least 32 - 5 x 5 = 7 windows of six words without a gap.
@@ -28,9 +28,9 @@ MIN_SEEDS = 7
 FILTER_BITS = 22
 #: 36 words with four added ones take 40 words of a document.
 WINDOW = 40
-DRIFT = 5
-#: The seeds of 36 words lie within 40 document positions and, with four words dropped or added, within four
-#: neighbouring diagonals. Cells twice as large, laid twice with half a cell between, hold any such group whole.
+DRIFT = 10
+#: A stretch that holds no shorter one has at most 81 words and so ten edits, by which its diagonals can differ.
+#: The seeds of 36 words lie within 40 document positions. Cells twice as large, laid twice with half a cell between, hold any such group whole.
 #: Gapped seeds bridge changed words and so widen the diagonals that the exact check looks at.
 #: The test table is broadcast if it stays under the limit at so many bytes a seed, else joined by a shuffle.
 TEST_ROW_BYTES = 24
@@ -167,30 +167,79 @@ def _local_batches(keep, table):
 
 
 def longest_stretch(item: np.ndarray, doc: np.ndarray, diagonals: list[int], min_words: int = MIN_WORDS) -> int:
-    """Words of the longest stretch of `item` that `doc` holds with at most one edit in eight words, if long enough.
+    """Words of the longest stretch of `item` found in `doc` with at most one edit in eight words; 0 if there is none.
 
-    `diagonals` are document minus item positions of seed hits. Runs of at least two equal words near them are
-    chained in order; between two runs, the longer of the two gaps counts as edits.
+    `diagonals` are document minus item positions of seed hits. A stretch begins and ends with an equal word; its edits
+    are those of an alignment within `DRIFT` of the hits' diagonals. Whether there is a stretch is exact; where a longer
+    one ends right behind several edits in a row, its length may be a few words short.
     """
     best = 0
     for low, high in _bands(diagonals):
-        found: list[tuple[int, int, int]] = []  # item start, document start, length
-        for d in range(low - 6, high + 7):
-            a0, b0 = max(0, -d), max(0, d)
-            n = min(len(item) - a0, len(doc) - b0)
-            if n < 2:
-                continue
-            equal = np.flatnonzero(np.diff(np.concatenate([[0], (item[a0 : a0 + n] == doc[b0 : b0 + n]).view(np.int8), [0]])))
-            found.extend((a0 + s, b0 + s, e - s) for s, e in zip(equal[::2].tolist(), equal[1::2].tolist(), strict=True) if e - s >= 2)
-        chain = _chain(found)
-        for i in range(len(chain)):
-            edits = 0
-            for j in range(i, len(chain)):
-                if j > i:
-                    edits += max(chain[j][0] - chain[j - 1][0] - chain[j - 1][2], chain[j][1] - chain[j - 1][1] - chain[j - 1][2])
-                words = chain[j][0] + chain[j][2] - chain[i][0]
-                if words >= min_words and edits * EDIT_SHARE <= words:
-                    best = max(best, words)
+        low, high = max(low - DRIFT, 1 - len(item)), min(high + DRIFT, len(doc) - 1)
+        if low <= high and len(item) - max(0, -high) > best:
+            best = max(best, _longest_in_band(item, doc, low, high, max(min_words, best + 1)))
+    return best
+
+
+def _longest_in_band(item: np.ndarray, doc: np.ndarray, low: int, high: int, least: int) -> int:
+    """Longest stretch of `least` words or more on the diagonals `low` to `high`, by furthest reaches for 0, 1, 2 ... edits."""
+    n = len(item)
+    places = np.arange(n) + np.arange(low, high + 1)[:, None]
+    equal = (places >= 0) & (places < len(doc))
+    equal &= doc[np.clip(places, 0, len(doc) - 1)] == item
+    # end[d, i]: where the run of equal words ends that begins at i of diagonal d.
+    end = np.full((len(equal), n + 1), n)
+    end[:, :n] = np.minimum.accumulate(np.where(equal, n, np.arange(n))[:, ::-1], axis=1)[:, ::-1]
+    # A word that no diagonal holds costs an edit in any alignment, which bounds where a stretch from i can end.
+    balance = np.arange(n + 1) - EDIT_SHARE * np.concatenate([[0], np.cumsum(~equal.any(axis=0))])
+    highest = np.maximum.accumulate(balance[::-1])
+    row, start = np.nonzero(equal & ~np.pad(equal, ((0, 0), (1, 0)))[:, :-1])
+    limit = n - np.searchsorted(highest, balance[start], "left")
+    at = np.full((len(start), len(equal)), -1)
+    at[np.arange(len(start)), row] = end[row, start]
+    best, edits, unsure = 0, 0, set()
+    rows = np.arange(len(equal))
+    while True:
+        alive = limit - start >= max(least, best + 1, EDIT_SHARE * edits)
+        if not alive.any():
+            break
+        if not alive.all():
+            row, start, limit, at = row[alive], start[alive], limit[alive], at[alive]
+        if edits:
+            # A changed word, a dropped one (from the diagonal above) or an added one (from the one below).
+            step = np.where(at >= 0, at + 1, -1)
+            step[:, :-1] = np.maximum(step[:, :-1], np.where(at[:, 1:] >= 0, at[:, 1:] + 1, -1))
+            step[:, 1:] = np.maximum(step[:, 1:], at[:, :-1])
+            at = np.where(step >= 0, end[rows, np.minimum(step, n)], -1)
+        words = at - start[:, None]
+        enough = (at >= 0) & (np.minimum(words, (limit - start)[:, None]) >= max(least, EDIT_SHARE * edits))
+        if enough.any():
+            last = equal[rows, np.maximum(at, 1) - 1]
+            best = max(best, int(words[enough & last].max(initial=0)))
+            # Reached with an edit as the last step: an end with an equal word may lie shortly before it.
+            open_end = (enough & ~last).any(axis=1)
+            unsure.update(zip(row[open_end].tolist(), start[open_end].tolist(), strict=True))
+        edits += 1
+    if not best:
+        best = max((_longest_from(equal, d, i, least) for d, i in unsure), default=0)
+    return best
+
+
+def _longest_from(equal: np.ndarray, row: int, start: int, least: int) -> int:
+    """Longest stretch that begins with the equal word at `start` of a diagonal, by the whole table of edit distances."""
+    n, best = equal.shape[1], 0
+    rows = np.arange(len(equal))
+    cost = np.where(rows >= row, rows - row, n)
+    for i in range(start + 1, n):
+        words = i + 1 - start
+        ends = equal[:, i] & (EDIT_SHARE * cost <= words)
+        if words >= least and ends.any():
+            best = words
+        below = np.append(cost[1:], n) + 1
+        cost = np.minimum(cost + ~equal[:, i], below)
+        cost = np.minimum.accumulate(cost - rows) + rows
+        if EDIT_SHARE * cost.min() > n - start:
+            break
     return best
 
 
@@ -198,42 +247,13 @@ def _bands(diagonals: list[int]) -> list[tuple[int, int]]:
     """Groups of diagonals that one passage with its dropped and added words can touch."""
     out: list[tuple[int, int]] = []
     for d in sorted(set(diagonals)):
-        if out and d - out[-1][1] <= 6:
+        if out and d - out[-1][1] <= 2 * DRIFT:
             out[-1] = (out[-1][0], d)
         else:
             out.append((d, d))
     return out
 
 
-def _chain(found: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
-    """The chain of runs, ordered in both texts and cut where they overlap, that wins most words over its edits."""
-    found = sorted(found)
-    score, before, part = [], [], []
-    for k, (a, b, n) in enumerate(found):
-        top, link, mine = float(n), -1, (a, b, n)
-        for m in range(k - 1, -1, -1):
-            pa_, pb, pn = part[m]
-            cut = max(0, pa_ + pn - a, pb + pn - b)
-            if cut >= n or a + cut < pa_ + pn or b + cut < pb + pn:
-                continue
-            gap = max(a + cut - pa_ - pn, b + cut - pb - pn)
-            if gap > 24:
-                continue
-            value = score[m] + n - cut - 0.9 * gap
-            if value > top:
-                top, link, mine = value, m, (a + cut, b + cut, n - cut)
-        score.append(top)
-        before.append(link)
-        part.append(mine)
-    if not score:
-        return []
-    k, out = int(np.argmax(score)), []
-    while k >= 0:
-        out.append(part[k])
-        k = before[k]
-    return out[::-1]
-
-
 def _verify_batches(min_words):
     schema = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("words", pa.int32())])
 

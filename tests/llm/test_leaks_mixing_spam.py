@@ -63,6 +63,48 @@ def test_stretch_limits():
     assert leaks.longest_stretch(item, doc, [-10]) == 0
 
 
+def test_single_words_between_edits():
+    item = np.arange(36, dtype=np.uint64)
+    doc = item.copy()
+    doc[[10, 12, 20, 28]] = 1000
+    assert leaks.longest_stretch(item, doc, [0]) == 36
+    doc = item.copy()
+    doc[[1, 3, 20, 34]] = 1000
+    assert leaks.longest_stretch(item, doc, [0]) == 36
+    doc[25] = 1000
+    assert leaks.longest_stretch(item, doc, [0]) == 0
+    # 31 words, four dropped ones and one more word: the end is reached before the furthest reach of as many edits.
+    assert leaks.longest_stretch(item, np.append(item[:31], item[35]), [0]) == 36
+
+
+def has_stretch(item, doc):
+    """The whole table of edit distances from every pair of equal words."""
+    for i in range(len(item)):
+        for j in np.flatnonzero(doc == item[i]):
+            cost = np.arange(len(doc) - j)
+            for k in range(i + 1, len(item)):
+                words, new = k + 1 - i, np.append(cost[0] + 1, np.minimum(cost[1:] + 1, cost[:-1] + (doc[j + 1 :] != item[k])))
+                if words >= 36 and (8 * cost[:-1][doc[j + 1 :] == item[k]] <= words).any():
+                    return True
+                cost = np.minimum.accumulate(new - np.arange(len(new))) + np.arange(len(new))
+    return False
+
+
+def test_stretches_match_brute_force():
+    rng = np.random.default_rng(7)
+    found = []
+    for k in range(40):
+        item = rng.integers(0, 60, 60).astype(np.uint64)
+        n = 36 + k % 14
+        piece, edits = item[5 : 5 + n].tolist(), n // 8 + k % 2
+        for at in sorted(rng.choice(n - 2, edits, replace=False) + 1, reverse=True):
+            piece[at : at + 1] = [[1000], [], [piece[at], 1000]][rng.integers(0, 3)]
+        doc = np.array([*rng.integers(0, 60, 15), *piece, *rng.integers(0, 60, 15)], dtype=np.uint64)
+        found.append(leaks.longest_stretch(item, doc, [10]) >= 36)
+        assert found[-1] == has_stretch(item, doc)
+    assert 5 < sum(found) < 40
+
+
 needs_tokenizer = pytest.mark.skipif(not os.path.exists(mixing.TOKENIZER_FILE), reason="no tokenizer here")
 
 
