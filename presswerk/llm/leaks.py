@@ -5,8 +5,11 @@ of the documents; documents with enough seeds of an item go to an exact check, w
 hits and looks for a stretch of the item with at most one edit in eight words. Before the join a filter of fixed size
 drops the windows of documents that no test item has, or that stand too far apart.
 
-The number of seeds asked for follows from the definition: 36 words with four edits leave 32 equal words in at most
-five runs, so at least 32 - 5 x 5 = 7 windows of six words without a gap.
+The number of seeds asked for follows from the definition: L words with E = L // 8 edits leave L - E equal words in at
+most E + 1 runs, so at least L - 6 E - 5 windows of six words without a gap; t of the edits being added words, t more.
+From 36 words on this is least for 40 words with five edits: 5 windows, the first and last of them at most 40 starts
+apart. A stretch that holds no shorter one has at most 81 words. If its windows span more than 48 starts of the
+document, they span at most 86 and number nine or more, so that one of two halves of 48 has five.
 """
 
 from __future__ import annotations
@@ -23,14 +26,13 @@ from presswerk.session import BROADCAST_LIMIT_BYTES, cut_lineage, read_table
 MASKS = ((0, 1, 2, 3, 4, 5), (0, 1, 2, 4, 5, 6), (0, 1, 3, 4, 6, 7))
 MIN_WORDS = 36
 EDIT_SHARE = 8
-MIN_SEEDS = 7
+MIN_SEEDS = 5
 #: Size of the filter of test seeds that travels to the executors; full of bits it lets everything through.
 FILTER_BITS = 22
-#: 36 words with four added ones take 40 words of a document.
-WINDOW = 40
+#: Five seeds of any stretch lie within so many document positions, on diagonals that differ by its edits, ten at most.
+WINDOW = 48
 DRIFT = 10
-#: A stretch that holds no shorter one has at most 81 words and so ten edits, by which its diagonals can differ.
-#: The seeds of 36 words lie within 40 document positions. Cells twice as large, laid twice with half a cell between, hold any such group whole.
+#: Cells twice as large, laid twice with half a cell between, hold any such group whole.
 #: Gapped seeds bridge changed words and so widen the diagonals that the exact check looks at.
 #: The test table is broadcast if it stays under the limit at so many bytes a seed, else joined by a shuffle.
 TEST_ROW_BYTES = 24

@@ -105,6 +105,23 @@ def test_stretches_match_brute_force():
     assert 5 < sum(found) < 40
 
 
+def test_evenly_edited_passages_have_seeds_enough(spark):
+    item = [f"i{k}" for k in range(120)]
+    docs = []
+    for n, changed in ((40, (6, 13, 20, 27, 34)), (48, (6, 13, 20, 27, 34, 41)), (40, (5, 6, 13, 20, 27, 34))):
+        piece = [f"c{k}" if k in changed else w for k, w in enumerate(item[30 : 30 + n])]
+        docs.append((len(docs), " ".join([f"a{k}" for k in range(50)] + piece + [f"b{k}" for k in range(50)])))
+    d = spark.createDataFrame(docs, "doc_id long, text string")
+    i = spark.createDataFrame([(7, " ".join(item))], "item_id long, content string")
+    assert sorted((r.doc_id, r.words) for r in leaks.find_leaks(d, i).collect()) == [(0, 40), (1, 48)]
+    old = leaks.TEST_ROW_BYTES
+    leaks.TEST_ROW_BYTES = 1 << 40
+    try:
+        assert sorted((r.doc_id, r.words) for r in leaks.find_leaks(d, i).collect()) == [(0, 40), (1, 48)]
+    finally:
+        leaks.TEST_ROW_BYTES = old
+
+
 needs_tokenizer = pytest.mark.skipif(not os.path.exists(mixing.TOKENIZER_FILE), reason="no tokenizer here")
 
 
