@@ -169,3 +169,14 @@ def test_spam(spark):
     shares = {r.doc_id: r.spam_share for r in spam.spam_shares(df).collect()}
     assert 203 not in shares and shares[202] == 0.0 and len(shares) == len({x[0] for x in docs}) - 1
     assert spam.find_spam(df.limit(0)).count() == 0
+
+
+def test_word_salad(spark):
+    """Random words are spam whether their pairs are unknown (a small corpus) or not; told stories are not."""
+    rng = random.Random(8)
+    rare = [f"w{i}" for i in range(600)]
+    runs = [rng.sample(rare, 12) for _ in range(60)]
+    docs = [(k, ". ".join(" ".join(["Said", *rng.choice(runs)]) for _ in range(8)) + ".") for k in range(150)]
+    docs += [(1000 + k, ". ".join(" ".join(["Said", *rng.choices(rare, k=12)]) for _ in range(8)) + ".") for k in range(10)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    assert sorted(r.doc_id for r in spam.find_spam(df).collect()) == list(range(1000, 1010))
