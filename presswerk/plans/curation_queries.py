@@ -53,10 +53,14 @@ def dp3_block_keys(spark, sf_dir):
 
 
 def j9_block_pairs(spark, sf_dir):
-    """Votes of pairs of hits of one interest that share blocking keys."""
-    p = dedup.prepare(hits(spark, sf_dir)).select("interest", "rank", F.explode(dedup.block_key_column(F.col("title"), F.col("title_tokens"), F.coalesce("domain", F.lit("")))).alias("key")).where("key like 't:%' or key like 'd:%'")
+    """Votes of pairs of hits of one interest that share blocking keys, any of the four kinds."""
+    return _block_pairs(dedup.prepare(hits(spark, sf_dir)))
+
+
+def _block_pairs(prepared: DataFrame) -> DataFrame:
+    p = prepared.select("interest", "rank", F.explode(dedup.block_key_column(F.col("title"), F.col("title_tokens"), F.coalesce("domain", F.lit("")))).alias("key"))
     pairs = p.select("interest", "key", F.col("rank").alias("a")).join(p.select("interest", "key", F.col("rank").alias("b")), ["interest", "key"]).where("a < b")
-    return pairs.groupBy("interest", "a", "b").agg(F.count("*").alias("votes")).where("votes >= 3")
+    return pairs.groupBy("interest", "a", "b").agg(F.count("*").alias("votes"))
 
 
 def p12_token_jaccard(spark, sf_dir):

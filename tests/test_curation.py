@@ -4,6 +4,7 @@ import pandas as pd
 from pyspark.sql import functions as F
 
 from presswerk.operators import dedup, evaluation, profile, rerank, retrieval, store, writing
+from presswerk.plans import curation_queries
 
 
 def hit(i, title, body="", url="", fp="", domain="d.example"):
@@ -147,3 +148,16 @@ def test_merge_specs(spark):
     out = retrieval.merge_specs(spark.createDataFrame(rows, "interest string, q_pos int, text string, weight double, kind string")).orderBy("q_pos").toPandas()
     assert out[["q_pos", "text", "weight", "kind"]].values.tolist() == [[1, "Night Trains", 1.0, "anchor"], [2, "METRO", 0.3, "expansion"]]
     assert isinstance(out, pd.DataFrame)
+
+
+HIT_SCHEMA = "interest string, rank int, score double, id string, url string, fingerprint string, title string, body string, domain string"
+
+
+def test_block_pairs_take_any_key(spark):
+    titles = [("night trains return", "a.example"), ("trains at night", "b.example"), ("nightly news", "c.example"), ("?", "d.example"), ("!", "d.example"), ("other things", "e.example")]
+    rows = [("x", k + 1, 1.0, f"h{k}", "", "", title, "", domain) for k, (title, domain) in enumerate(titles)]
+    prepared = dedup.prepare(spark.createDataFrame(rows, HIT_SCHEMA))
+    kept = prepared.toPandas().to_dict("records")
+    want = {(i["rank"], j["rank"]): n for i in kept for j in kept if i["rank"] < j["rank"] and (n := len(set(dedup.block_keys(i)) & set(dedup.block_keys(j))))}
+    got = {(r.a, r.b): r.votes for r in curation_queries._block_pairs(prepared).collect()}
+    assert got == want and (1, 2) in got and (1, 3) in got and (4, 5) in got
