@@ -7,7 +7,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from presswerk.functions import text as t
-from presswerk.functions.similarity import indel_ratio_udf, ratio_bound
+from presswerk.functions.similarity import indel_ratio_udf
 from presswerk.operators import dedup, rerank
 from presswerk.plans.text_queries import norm, strip
 from presswerk.session import read_table
@@ -63,17 +63,19 @@ def _block_pairs(prepared: DataFrame) -> DataFrame:
     return pairs.groupBy("interest", "a", "b").agg(F.count("*").alias("votes"))
 
 
+def _title_pairs(prepared: DataFrame) -> DataFrame:
+    """The pairs from blocking with both titles and their words."""
+    side = lambda at: prepared.select("interest", F.col("rank").alias(at), F.col("title").alias(f"title_{at}"), F.array_distinct("title_tokens").alias(f"words_{at}"))
+    return _block_pairs(prepared).join(side("a"), ["interest", "a"]).join(side("b"), ["interest", "b"])
+
+
 def p12_token_jaccard(spark, sf_dir):
-    p = dedup.prepare(hits(spark, sf_dir)).select("interest", "rank", F.array_distinct("title_tokens").alias("w"))
-    pairs = p.select("interest", F.col("rank").alias("a"), F.col("w").alias("wa")).join(p.select("interest", F.col("rank").alias("b"), F.col("w").alias("wb")), "interest").where("b = a + 1")
-    return pairs.select("interest", "a", "b", F.round(t.jaccard(F.col("wa"), F.col("wb")), 6).alias("jaccard"))
+    return _title_pairs(dedup.prepare(hits(spark, sf_dir))).select("interest", "a", "b", F.round(t.jaccard(F.col("words_a"), F.col("words_b")), 6).alias("jaccard"))
 
 
 def p13_title_ratio(spark, sf_dir):
-    """Indel ratio of the titles of neighbouring hits, where the lengths allow a half."""
-    p = hits(spark, sf_dir).select("interest", "rank", t.norm_text(F.col("title")).alias("title"))
-    pairs = p.join(p.select("interest", (F.col("rank") - 1).alias("rank"), F.col("title").alias("other")), ["interest", "rank"]).where(ratio_bound(F.col("title"), F.col("other")) >= 0.5)
-    return pairs.select("interest", "rank", F.round(indel_ratio_udf("title", "other"), 6).alias("ratio"))
+    """Indel ratio of the titles of the pairs from blocking."""
+    return _title_pairs(dedup.prepare(hits(spark, sf_dir))).select("interest", "a", "b", F.round(indel_ratio_udf("title_a", "title_b"), 6).alias("ratio"))
 
 
 def a9_removal_reasons(spark, sf_dir):

@@ -161,3 +161,12 @@ def test_block_pairs_take_any_key(spark):
     want = {(i["rank"], j["rank"]): n for i in kept for j in kept if i["rank"] < j["rank"] and (n := len(set(dedup.block_keys(i)) & set(dedup.block_keys(j))))}
     got = {(r.a, r.b): r.votes for r in curation_queries._block_pairs(prepared).collect()}
     assert got == want and (1, 2) in got and (1, 3) in got and (4, 5) in got
+
+
+def test_title_predicates_judge_pairs_from_blocking(spark, small):
+    pairs = {(r.interest, r.a, r.b) for r in curation_queries.j9_block_pairs(spark, small).collect()}
+    assert any(b > a + 1 for _, a, b in pairs)
+    for query, low in ((curation_queries.p12_token_jaccard, "jaccard"), (curation_queries.p13_title_ratio, "ratio")):
+        rows = query(spark, small).collect()
+        assert {(r.interest, r.a, r.b) for r in rows} == pairs and len(rows) == len(pairs)
+        assert all(0 <= r[low] <= 1 for r in rows)
