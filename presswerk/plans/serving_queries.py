@@ -152,10 +152,10 @@ def g5_raw_json(spark, sf_dir):
 
 
 def g10_write(spark, sf_dir):
-    """Summaries and titles of the first three hits of each run's interests, by the offline generator."""
-    h = read_table(spark, sf_dir, "retrieval_hits").where("rank <= 3").select(F.col("interest"), "rank", F.col("article_id").alias("id"), "retrieval_run_id")
+    """Summaries and titles of all hits of each run's interests, by the offline generator."""
+    h = read_table(spark, sf_dir, "retrieval_hits").select(F.col("interest"), "rank", F.col("article_id").alias("id"), "retrieval_run_id")
     a = latest(spark, sf_dir).select("id", "title", "lang", t.stable_excerpt(F.col("content"), 9000).alias("text"))
-    return writing.write_hits(h.join(a, "id").select("interest", "rank", "id", "title", "lang", "text"), writing.LeadGenerator())
+    return writing.write_hits(h.join(a, "id").select("retrieval_run_id", "interest", "rank", "id", "title", "lang", "text"), writing.LeadGenerator(), ("retrieval_run_id",))
 
 
 def r15_profiles(spark, sf_dir):
