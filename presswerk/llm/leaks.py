@@ -1,169 +1,202 @@
 """Evaluation texts leaking into training text (problem 8), by spaced-seed hashing.
 
-Fixed masks pick six words out of a window and ignore the others. The seeds of the test items are joined with those
-of the documents; documents with enough seeds of an item go to an exact check, which aligns both texts around the
-hits and looks for a stretch of the item with at most one edit in eight words. Before the join a filter of fixed size
-drops the windows of documents that no test item has, or that stand too far apart.
-
-The number of seeds asked for follows from the definition: L words with E = L // 8 edits leave L - E equal words in at
-most E + 1 runs, so at least L - 6 E - 5 windows of six words without a gap; t of the edits being added words, t more.
-From 36 words on this is least for 40 words with five edits: 5 windows, the first and last of them at most 40 starts
-apart. A stretch that holds no shorter one has at most 81 words. If its windows span more than 48 starts of the
-document, they span at most 86 and number nine or more, so that one of two halves of 48 has five.
+Fixed masks take five words out of a window of six and ignore the other one. The seeds of the test items are joined
+with those of the documents; a document with enough seeds of an item near one another goes to an exact check, which
+aligns both texts around the hits and looks for a stretch of the item with at most one edit in eight words. The test
+table is the stated query set: it is looked up in blocks of a fixed size, one pass over the documents each, so nothing
+that grows is broadcast and no document is shuffled.
+
+How many seeds are asked for follows from the definition. L words with E = L // 8 edits leave L - E equal words in at
+most E + 1 runs, so at least L - 6 E - 5 windows of six words without an edit (t more if t edits are added words), and
+each of them is a seed of every mask. A changed word adds the windows in which a mask ignores it. A stretch that can be
+cut into two parts that both qualify is found by either, which bounds the stretches to look at: any part of m words
+with m - m // 8 >= min_words can lose the edits at its end and is still long enough, so stretches of 2 m - 1 words are
+the longest that cannot be cut. Their seeds stand within 2 m - 1 words and as many edits, on as many diagonals.
 """
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from presswerk.llm.words import PLAIN_WORD, WordHashes, runs
-from presswerk.session import BROADCAST_LIMIT_BYTES, cut_lineage, read_table
+from presswerk.session import cut_lineage, read_table
 
-#: Offsets of the words that a seed takes; the first mask ignores none, the others bridge changed words.
-MASKS = ((0, 1, 2, 3, 4, 5), (0, 1, 2, 4, 5, 6), (0, 1, 3, 4, 6, 7))
+#: Offsets of the words that a seed takes out of a window of six; each mask ignores one word.
+MASKS = ((0, 1, 2, 4, 5), (0, 1, 3, 4, 5))
+SPAN = 6
 MIN_WORDS = 36
 EDIT_SHARE = 8
-MIN_SEEDS = 5
-#: Size of the filter of test seeds that travels to the executors; full of bits it lets everything through.
-FILTER_BITS = 22
-#: Five seeds of any stretch lie within so many document positions, on diagonals that differ by its edits, ten at most.
-WINDOW = 48
-DRIFT = 10
-#: Cells twice as large, laid twice with half a cell between, hold any such group whole.
-#: Gapped seeds bridge changed words and so widen the diagonals that the exact check looks at.
-#: The test table is broadcast if it stays under the limit at so many bytes a seed, else joined by a shuffle.
-TEST_ROW_BYTES = 24
+#: Words of the test table in one block: with its seeds some 40 bytes a word, so under 64 MB travel to the executors.
+BLOCK_WORDS = 1_500_000
+#: Documents are looked up together until they have so many words.
+CHUNK_WORDS = 100_000
+#: Longer texts are cut into pieces that overlap by more than any stretch that must be found whole.
+PIECE_WORDS, PIECE_OVERLAP = 1 << 20, 1 << 12
+
+
+class Limits:
+    """What any stretch of at least `min_words` words must show: seeds, within so many words, on so many diagonals."""
+
+    def __init__(self, min_words: int = MIN_WORDS):
+        part = min_words
+        while part - part // EDIT_SHARE < min_words:
+            part += 1
+        longest = 2 * part - 1
+        windows = min(n - 6 * (n // EDIT_SHARE) - 5 for n in range(min_words, longest + 1))
+        if windows < 1 or longest + longest // EDIT_SHARE > PIECE_OVERLAP // 2:
+            raise ValueError(f"stretches of {min_words} words are too short or too long to be found by these seeds")
+        self.min_words, self.seeds = min_words, windows * len(MASKS)
+        self.drift = longest // EDIT_SHARE
+        self.window = longest + self.drift
 
 
 def _tokens(text: str | None) -> list[str]:
     return PLAIN_WORD.findall(text.casefold()) if text else []
 
 
-def _seeds(text: str | None, cache: WordHashes) -> list[np.ndarray]:
-    """The seeds of all windows of each mask in a text."""
-    words = _tokens(text)
-    if len(words) <= MASKS[0][-1]:
-        return []
-    hashes = cache.array(words)
-    return [runs(hashes, mask) * np.uint64(2 * k + 1) for k, mask in enumerate(MASKS)]
-
+def _pieces(words: np.ndarray):
+    for at in range(0, max(1, len(words) - PIECE_OVERLAP), PIECE_WORDS - PIECE_OVERLAP):
+        yield words[at : at + PIECE_WORDS]
 
-def _probes(seeds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    return seeds >> np.uint64(64 - FILTER_BITS), (seeds >> np.uint64(8)) & np.uint64((1 << FILTER_BITS) - 1)
 
+def _seeds(words: np.ndarray) -> list[np.ndarray]:
+    """The seeds of all windows of six words, for each mask."""
+    return [runs(words, mask)[: max(0, len(words) - SPAN + 1)] * np.uint64(2 * k + 1) for k, mask in enumerate(MASKS)]
 
-def _known(found: np.ndarray, bits: np.ndarray) -> np.ndarray:
-    first, second = _probes(found)
-    hit = bits[first]
-    at = np.flatnonzero(hit)
-    hit[at] = bits[second[at]]
-    return hit
 
-
-def _dense(seeds: list[np.ndarray], bits: np.ndarray) -> list[np.ndarray]:
-    """For each mask, which windows may be in a leaked passage: near enough known windows without a gap."""
-    at = _known(seeds[0], bits)
-    if at.sum() < MIN_SEEDS:
-        return []
-    total = np.concatenate([[0], np.cumsum(at)])
-    ends = np.minimum(np.arange(len(at)) + WINDOW, len(at))
-    starts = np.flatnonzero(total[ends] - total[:-1] >= MIN_SEEDS)
-    if not len(starts):
+def _item_batches(batches):
+    """(key, text) -> (key, words, n): the words' hashes of each piece of an item."""
+    cache = WordHashes()
+    for batch in batches:
+        out = [(key, piece.tobytes(), len(piece)) for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True) for piece in _pieces(cache.array(_tokens(text)))]
+        yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], t) for i, t in enumerate((pa.int64(), pa.binary(), pa.int64()))], names=["key", "words", "n"])
+
+
+class TestTable:
+    """One block of the test table: its items' words, and its seeds in order with the item and position of each."""
+
+    def __init__(self, keys: list[int], texts: list[np.ndarray]):
+        self.keys, self.texts = keys, texts
+        found, items, places = [], [], []
+        for i, words in enumerate(texts):
+            for seeds in _seeds(words):
+                found.append(seeds)
+                items.append(np.full(len(seeds), i, np.int32))
+                places.append(np.arange(len(seeds), dtype=np.int32))
+        seeds = np.concatenate(found) if found else np.empty(0, np.uint64)
+        order = np.argsort(seeds, kind="stable")
+        self.items, self.places = (np.concatenate(x)[order] if x else np.empty(0, np.int32) for x in (items, places))
+        seeds = seeds[order]
+        new = np.flatnonzero(np.append(True, seeds[1:] != seeds[:-1])) if len(seeds) else np.empty(0, np.int64)
+        self.seeds, self.first = seeds[new], np.append(new, len(seeds))
+
+    def filter(self) -> np.ndarray:
+        """A bit table, sixteen bits for each seed or more, made where it is used."""
+        self.shift = np.uint64(64 - max(16, math.ceil(math.log2(16 * max(1, len(self.seeds))))))
+        bits = np.zeros(1 << (64 - int(self.shift)), dtype=bool)
+        bits[self.seeds >> self.shift] = True
+        return bits
+
+
+def candidates(words: np.ndarray, lengths: np.ndarray, table: TestTable, bits: np.ndarray, limits: Limits):
+    """(document number, item number, lowest and highest diagonal) of places where enough seeds meet.
+
+    `words` are the documents' words behind one another. A group of seeds that a stretch must have lies whole in one of
+    four layouts of cells twice as large, each half a cell off the others in position or diagonal.
+    """
+    ends = np.cumsum(lengths)
+    doc_of = np.repeat(np.arange(len(lengths)), lengths)
+    whole = doc_of[: len(words) - SPAN + 1] == doc_of[SPAN - 1 :] if len(words) >= SPAN else np.empty(0, bool)
+    at, seeds = [], []
+    for found in _seeds(words):
+        known = np.flatnonzero(whole & bits[found >> table.shift])
+        at.append(known)
+        seeds.append(found[known])
+    at, seeds = np.concatenate(at), np.concatenate(seeds)
+    near = min(limits.seeds, len(at)) - 1
+    if len(at) < limits.seeds:
         return []
-    cover = np.zeros(len(at) + 1, dtype=np.int64)
-    np.add.at(cover, starts, 1)
-    np.add.at(cover, ends[starts], -1)
+    # Hits with too few others around them are dropped before they are looked up.
+    order = np.argsort(at, kind="stable")
+    at, seeds = at[order], seeds[order]
+    dense = np.flatnonzero(at[near:] - at[: len(at) - near] <= limits.window)
+    cover = np.zeros(len(at) + 1, np.int64)
+    np.add.at(cover, dense, 1)
+    np.add.at(cover, dense + near + 1, -1)
     inside = np.cumsum(cover)[:-1] > 0
-    return [at & inside, *(_known(x, bits) & inside[: len(x)] for x in seeds[1:])]
-
-
-def _seed_batches(keep):
-    """mapInArrow over (key, text) -> (key, mask, position, seed); `keep` is the filter's bits or None for all seeds."""
-    schema = pa.schema([("key", pa.int64()), ("mask", pa.int8()), ("position", pa.int32()), ("seed", pa.int64())])
-
-    def run(batches):
-        cache = WordHashes()
-        bits = None if keep is None else np.unpackbits(np.frombuffer(keep.value, dtype=np.uint8)).view(bool)
-        for batch in batches:
-            out: list[list[np.ndarray]] = [[np.empty(0, np.int64)], [np.empty(0, np.int8)], [np.empty(0, np.int32)], [np.empty(0, np.uint64)]]
-            for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                seeds = _seeds(text, cache)
-                masks = ([np.ones(len(x), bool) for x in seeds] if bits is None else _dense(seeds, bits)) if seeds else []
-                for mask, (found, kept) in enumerate(zip(seeds, masks, strict=False)):
-                    positions = np.flatnonzero(kept)
-                    out[0].append(np.full(len(positions), key, np.int64))
-                    out[1].append(np.full(len(positions), mask, np.int8))
-                    out[2].append(positions.astype(np.int32))
-                    out[3].append(found[positions])
-            keys, masks, positions, found = (np.concatenate(x) for x in out)
-            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(masks), pa.array(positions), pa.array(found.view(np.int64))], schema=schema)
-
-    return run
-
-
-def _filter_batches(batches):
-    """Bits of the seeds of one partition, packed in pieces of a fixed number."""
-    bits = np.zeros(1 << FILTER_BITS, dtype=bool)
-    for batch in batches:
-        for probe in _probes(batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64)):
-            bits[probe] = True
-    yield pa.RecordBatch.from_arrays([pa.array([np.packbits(bits).tobytes()], pa.binary())], names=["bits"])
-
-
-def _local_pairs(doc: list[np.ndarray], kept: list[np.ndarray], table: tuple[np.ndarray, ...]) -> dict[int, list[int]]:
-    """Items of which enough seeds meet in one cell of position and diagonal, with the diagonals of these cells."""
-    seeds, items, places = table
-
-    def hits(mask: int):
-        positions = np.flatnonzero(kept[mask])
-        found = doc[mask][positions]
-        low, high = np.searchsorted(seeds, found, "left"), np.searchsorted(seeds, found, "right")
-        many = high - low
-        rows = np.repeat(low - np.concatenate([[0], np.cumsum(many)[:-1]]), many) + np.arange(many.sum())
-        return np.repeat(positions, many), items[rows], places[rows], np.full(len(rows), mask)
-
-    first_hits = hits(0)
-    # An item without enough windows in the whole document has not enough in any cell either.
-    enough = np.bincount(first_hits[1]) >= MIN_SEEDS if len(first_hits[1]) else np.zeros(1, bool)
-    if not enough.any():
-        return {}
-    columns = [first_hits, *(hits(mask) for mask in range(1, len(doc)))]
-    at, item, place, mask = (np.concatenate(x) for x in zip(*columns, strict=True))
-    wanted = (item < len(enough)) & enough[np.minimum(item, len(enough) - 1)]
-    at, item, place, mask = at[wanted], item[wanted], place[wanted], mask[wanted]
-    diagonal = at - place
-    out: dict[int, list[int]] = {}
-    for a in (0, WINDOW):
-        for b in (0, DRIFT):
-            cell = (item << 34) | (((at + a) // (2 * WINDOW)) << 20) | ((diagonal + b) // (2 * DRIFT) + (1 << 19))
-            _, first, where, counts = np.unique(cell, return_index=True, return_inverse=True, return_counts=True)
-            if counts.max(initial=0) < MIN_SEEDS:
-                continue
-            whole = np.bincount(where, weights=mask == 0)
-            for k in np.flatnonzero(whole >= MIN_SEEDS):
-                inside = diagonal[where == k]
-                out.setdefault(int(item[first[k]]), []).extend((int(inside.min()), int(inside.max())))
-    return out
-
+    at, seeds = at[inside], seeds[inside]
+    where = np.searchsorted(table.seeds, seeds)
+    known = np.flatnonzero(table.seeds[np.minimum(where, len(table.seeds) - 1)] == seeds)
+    at, where = at[known], where[known]
+    first, many = table.first[where], table.first[where + 1] - table.first[where]
+    rows = np.repeat(first - np.concatenate([[0], np.cumsum(many)[:-1]]), many) + np.arange(many.sum())
+    at, item, place = np.repeat(at, many), table.items[rows].astype(np.int64), table.places[rows].astype(np.int64)
+    # An item without enough seeds in the whole document has not enough in any cell either.
+    pair = doc_of[at] * len(table.keys) + item
+    pairs, number = np.unique(pair, return_inverse=True) if len(lengths) * len(table.keys) > 1 << 24 else (None, pair)
+    enough = np.bincount(number)[number] >= limits.seeds
+    at, item, place, pair = at[enough], item[enough], place[enough], pair[enough]
+    if not len(at):
+        return []
+    local = at - (ends - lengths)[doc_of[at]]
+    diagonal = local - place
+    window, drift = limits.window, limits.drift
+    across, down = int(local.max()) // (2 * window) + 2, (int(diagonal.max()) - int(diagonal.min())) // (2 * drift) + 2
+    assert int(pair.max() + 1) * across * down < 1 << 63, "a chunk is bounded in words and a block in items"
+    level = diagonal - diagonal.min()
+    out = []
+    for a in (0, window):
+        for b in (0, drift):
+            cell = (pair * across + (local + a) // (2 * window)) * down + (level + b) // (2 * drift)
+            order = np.argsort(cell, kind="stable")
+            cell = cell[order]
+            starts = np.flatnonzero(np.append(True, cell[1:] != cell[:-1]))
+            counts = np.diff(np.append(starts, len(cell)))
+            sorted_diagonal = diagonal[order]
+            low, high = np.minimum.reduceat(sorted_diagonal, starts), np.maximum.reduceat(sorted_diagonal, starts)
+            full = counts >= limits.seeds
+            out.append((pair[order[starts[full]]], low[full], high[full]))
+    pair, low, high = (np.concatenate(x) for x in zip(*out, strict=True))
+    spots = np.unique(np.stack([pair, low, high]), axis=1) if len(pair) else np.empty((3, 0), np.int64)
+    return [(p // len(table.keys), p % len(table.keys), a, b) for p, a, b in spots.T.tolist()]
+
+
+def _search_batches(table, limits: Limits):
+    """mapInArrow over (key, text) -> (doc_id, item_id, words): seeds, cells and the exact check, chunk by chunk."""
+    schema = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("words", pa.int32())])
 
-def _local_batches(keep, table):
-    """mapInArrow over (key, text) -> (doc_id, item_id, diagonals): the join with a test table of checked size."""
-    schema = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("diagonals", pa.list_(pa.int32()))])
+    def search(keys, texts, block, bits):
+        out = []
+        spots: dict[tuple[int, int], list[int]] = {}
+        for doc, item, low, high in candidates(np.concatenate(texts), np.array([len(x) for x in texts]), block, bits, limits):
+            spots.setdefault((doc, item), []).extend((low, high))
+        for (doc, item), diagonals in spots.items():
+            words = longest_stretch(block.texts[item], texts[doc], diagonals, limits.min_words)
+            if words:
+                out.append((keys[doc], block.keys[item], words))
+        return pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], t) for i, t in enumerate(schema.types)], schema=schema)
 
     def run(batches):
-        cache = WordHashes()
-        bits = np.unpackbits(np.frombuffer(keep.value, dtype=np.uint8)).view(bool)
-        ids, *arrays = table.value
+        cache, block = WordHashes(), table.value
+        bits = block.filter()
+        keys, texts, size = [], [], 0
         for batch in batches:
-            out = []
-            for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                seeds = _seeds(text, cache)
-                if seeds and (kept := _dense(seeds, bits)):
-                    out.extend((key, int(ids[i]), sorted(set(d))) for i, d in _local_pairs(seeds, kept, arrays).items())
-            yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], t) for i, t in enumerate(schema.types)], schema=schema)
+            for key, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                for piece in _pieces(cache.array(_tokens(text.as_py()))):
+                    if len(piece) >= SPAN:
+                        keys.append(key)
+                        texts.append(piece)
+                        size += len(piece)
+                    if size >= CHUNK_WORDS:
+                        yield search(keys, texts, block, bits)
+                        keys, texts, size = [], [], 0
+        if texts:
+            yield search(keys, texts, block, bits)
 
     return run
 
@@ -172,12 +205,13 @@ def longest_stretch(item: np.ndarray, doc: np.ndarray, diagonals: list[int], min
     """Words of the longest stretch of `item` found in `doc` with at most one edit in eight words; 0 if there is none.
 
     `diagonals` are document minus item positions of seed hits. A stretch begins and ends with an equal word; its edits
-    are those of an alignment within `DRIFT` of the hits' diagonals. Whether there is a stretch is exact; where a longer
+    are those of an alignment near the hits' diagonals. Whether there is a stretch is exact; where a longer
     one ends right behind several edits in a row, its length may be a few words short.
     """
     best = 0
-    for low, high in _bands(diagonals):
-        low, high = max(low - DRIFT, 1 - len(item)), min(high + DRIFT, len(doc) - 1)
+    drift = Limits(min_words).drift
+    for low, high in _bands(diagonals, drift):
+        low, high = max(low - drift, 1 - len(item)), min(high + drift, len(doc) - 1)
         if low <= high and len(item) - max(0, -high) > best:
             best = max(best, _longest_in_band(item, doc, low, high, max(min_words, best + 1)))
     return best
@@ -186,15 +220,15 @@ def longest_stretch(item: np.ndarray, doc: np.ndarray, diagonals: list[int], min
 def _longest_in_band(item: np.ndarray, doc: np.ndarray, low: int, high: int, least: int) -> int:
     """Longest stretch of `least` words or more on the diagonals `low` to `high`, by furthest reaches for 0, 1, 2 ... edits."""
     n = len(item)
-    places = np.arange(n) + np.arange(low, high + 1)[:, None]
-    equal = (places >= 0) & (places < len(doc))
-    equal &= doc[np.clip(places, 0, len(doc) - 1)] == item
-    # end[d, i]: where the run of equal words ends that begins at i of diagonal d.
-    end = np.full((len(equal), n + 1), n)
-    end[:, :n] = np.minimum.accumulate(np.where(equal, n, np.arange(n))[:, ::-1], axis=1)[:, ::-1]
+    equal = _equal_words(item, doc, low, high)
     # A word that no diagonal holds costs an edit in any alignment, which bounds where a stretch from i can end.
     balance = np.arange(n + 1) - EDIT_SHARE * np.concatenate([[0], np.cumsum(~equal.any(axis=0))])
     highest = np.maximum.accumulate(balance[::-1])
+    if n < least or (highest[::-1][least:] < balance[: n + 1 - least]).all():
+        return 0
+    # end[d, i]: where the run of equal words ends that begins at i of diagonal d.
+    end = np.full((len(equal), n + 1), n)
+    end[:, :n] = np.minimum.accumulate(np.where(equal, n, np.arange(n))[:, ::-1], axis=1)[:, ::-1]
     row, start = np.nonzero(equal & ~np.pad(equal, ((0, 0), (1, 0)))[:, :-1])
     limit = n - np.searchsorted(highest, balance[start], "left")
     at = np.full((len(start), len(equal)), -1)
@@ -227,6 +261,18 @@ def _longest_in_band(item: np.ndarray, doc: np.ndarray, low: int, high: int, lea
     return best
 
 
+def _equal_words(item: np.ndarray, doc: np.ndarray, low: int, high: int) -> np.ndarray:
+    """equal[d, i]: whether word i of the item stands on diagonal low + d of the document."""
+    n = len(item)
+    begin, end = max(0, low), min(len(doc), n + high)
+    padded = np.zeros(n + high - low, dtype=np.uint64)
+    there = np.zeros(n + high - low, dtype=bool)
+    padded[begin - low : end - low] = doc[begin:end]
+    there[begin - low : end - low] = True
+    window = np.lib.stride_tricks.sliding_window_view
+    return (window(padded, n) == item) & window(there, n)
+
+
 def _longest_from(equal: np.ndarray, row: int, start: int, least: int) -> int:
     """Longest stretch that begins with the equal word at `start` of a diagonal, by the whole table of edit distances."""
     n, best = equal.shape[1], 0
@@ -245,90 +291,47 @@ def _longest_from(equal: np.ndarray, row: int, start: int, least: int) -> int:
     return best
 
 
-def _bands(diagonals: list[int]) -> list[tuple[int, int]]:
+def _bands(diagonals: list[int], drift: int) -> list[tuple[int, int]]:
     """Groups of diagonals that one passage with its dropped and added words can touch."""
     out: list[tuple[int, int]] = []
     for d in sorted(set(diagonals)):
-        if out and d - out[-1][1] <= 2 * DRIFT:
+        if out and d - out[-1][1] <= 2 * drift:
             out[-1] = (out[-1][0], d)
         else:
             out.append((d, d))
     return out
 
 
-def _verify_batches(min_words):
-    schema = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("words", pa.int32())])
-
-    def run(batches):
-        cache = WordHashes()
-        for batch in batches:
-            out = []
-            doc_id, text, hashes = None, None, None
-            for doc, item, diagonals, doc_text, item_text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if doc != doc_id or doc_text is not text:
-                    doc_id, text, hashes = doc, doc_text, cache.array(_tokens(doc_text))
-                words = longest_stretch(cache.array(_tokens(item_text)), hashes, diagonals, min_words)
-                if words:
-                    out.append((doc, item, words))
-            yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], t) for i, t in enumerate(schema.types)], schema=schema)
-
-    return run
-
-
-def _broadcast_join(left: DataFrame, test: DataFrame, keep) -> DataFrame:
-    """Pairs of a document and an item with the diagonals of their seeds; the caller has checked the table's size."""
-    spark = left.sparkSession
-    known = test.select("seed", "key", "position").toPandas()
-    ids, items = np.unique(known["key"].to_numpy(), return_inverse=True)
-    seeds = known["seed"].to_numpy().view(np.uint64)
-    order = np.argsort(seeds, kind="stable")
-    table = spark.sparkContext.broadcast((ids, seeds[order], items[order].astype(np.int64), known["position"].to_numpy()[order].astype(np.int64)))
-    return left.mapInArrow(_local_batches(keep, table), "doc_id long, item_id long, diagonals array<int>").distinct()
-
-
-def _shuffled_join(left: DataFrame, test: DataFrame, keep) -> DataFrame:
-    """The same pairs for a test table of any size, by a join of the seeds."""
-    seeds = left.mapInArrow(_seed_batches(keep), "key long, mask byte, position int, seed long")
-    hits = seeds.select(F.col("key").alias("doc_id"), "mask", F.col("position").alias("doc_at"), "seed").join(
-        test.select(F.col("key").alias("item_id"), F.col("position").alias("item_at"), "seed"), "seed"
-    )
-    diagonal = F.col("doc_at") - F.col("item_at")
-    shifts = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a in (0, WINDOW) for b in (0, DRIFT)])
-    gapless = F.sum((F.col("mask") == 0).cast("int"))
-    return (
-        hits.select("doc_id", "item_id", "mask", "doc_at", diagonal.alias("diagonal"), F.explode(shifts).alias("s"))
-        .groupBy("doc_id", "item_id", "s", F.floor((F.col("doc_at") + F.col("s.a")) / (2 * WINDOW)).alias("x"), F.floor((F.col("diagonal") + F.col("s.b")) / (2 * DRIFT)).alias("y"))
-        .agg(gapless.alias("n"), F.min("diagonal").alias("low"), F.max("diagonal").alias("high"))
-        .where(F.col("n") >= MIN_SEEDS)
-        .groupBy("doc_id", "item_id").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_set(F.array("low", "high"))))).cast("array<int>").alias("diagonals"))
-    )
-
-
-def find_leaks(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", doc_text: str = "text", item_id: str = "item_id", item_text: str = "content", min_words: int = MIN_WORDS) -> DataFrame:
+def find_leaks(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", doc_text: str = "text", item_id: str = "item_id", item_text: str = "content", min_words: int = MIN_WORDS, block_words: int = BLOCK_WORDS) -> DataFrame:
     """Rows (doc_id, item_id, words): documents that hold a stretch of at least `min_words` words of an item.
 
     Null, empty and short texts give no rows, repeated rows count once, extra columns are ignored, empty tables give
-    an empty result. Texts of any length are read whole.
+    an empty result. Texts of any length are read whole; stretches longer than 4,096 words may be reported shorter
+    where a text has over a million words. A `min_words` for which the seeds guarantee nothing (under 18) is an error.
     """
-    spark = docs.sparkSession
+    spark, limits = docs.sparkSession, Limits(min_words)
     left = docs.where(F.col(doc_id).isNotNull() & F.col(doc_text).isNotNull()).select(F.col(doc_id).cast("long").alias("key"), F.col(doc_text).alias("text"))
     right = items.where(F.col(item_id).isNotNull() & F.col(item_text).isNotNull()).select(F.col(item_id).cast("long").alias("key"), F.col(item_text).alias("text"))
-    test = cut_lineage(right.mapInArrow(_seed_batches(None), "key long, mask byte, position int, seed long").distinct(), "test-seeds")
-    parts = test.select("seed").coalesce(8).mapInArrow(_filter_batches, "bits binary").collect()  # at most eight filters of a fixed size
-    bits = np.zeros((1 << FILTER_BITS) // 8, dtype=np.uint8)
-    for part in parts:
-        bits |= np.frombuffer(part[0], dtype=np.uint8)
-    keep = spark.sparkContext.broadcast(bits.tobytes())
-    rows = test.count()
-    if rows * TEST_ROW_BYTES <= BROADCAST_LIMIT_BYTES:
-        pairs = _broadcast_join(left, test, keep)
-    else:
-        pairs = _shuffled_join(left, test, keep)
-    pairs = cut_lineage(pairs, "leak-pairs")
-    texts = left.join(pairs.select(F.col("doc_id").alias("key")).distinct(), "key", "left_semi")
-    full = pairs.join(texts.select(F.col("key").alias("doc_id"), F.col("text").alias("doc_text")), "doc_id").join(right.select(F.col("key").alias("item_id"), F.col("text").alias("item_text")), "item_id")
-    found = full.select("doc_id", "item_id", "diagonals", "doc_text", "item_text").mapInArrow(_verify_batches(min_words), "doc_id long, item_id long, words int")
-    return found.groupBy("doc_id", "item_id").agg(F.max("words").alias("words"))
+    test = right.distinct().mapInArrow(_item_batches, "key long, words binary, n long").where(F.col("n") >= min_words)
+    test = cut_lineage(test.withColumn("row", F.monotonically_increasing_id()), "test-items")
+    total = test.agg(F.sum("n")).first()[0] or 0
+    blocks = math.ceil(total / block_words)
+    found = []
+    for b in range(blocks):
+        # A block has some `block_words` words, and a piece more at most for every one that its items' hashes bring together.
+        rows = test.where(F.pmod(F.xxhash64("row"), F.lit(blocks)) == b).select("key", "words").collect()
+        table = spark.sparkContext.broadcast(TestTable([r[0] for r in rows], [np.frombuffer(r[1], np.uint64) for r in rows]))
+        hits = left.mapInArrow(_search_batches(table, limits), "doc_id long, item_id long, words int")
+        if blocks > 1:
+            hits = cut_lineage(hits, "leaks")
+            table.destroy()
+        found.append(hits)
+    if not found:
+        return spark.createDataFrame([], "doc_id long, item_id long, words int")
+    out = found[0]
+    for more in found[1:]:
+        out = out.union(more)
+    return out.groupBy("doc_id", "item_id").agg(F.max("words").alias("words"))
 
 
 def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:

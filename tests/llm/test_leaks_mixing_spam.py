@@ -43,12 +43,8 @@ def test_leaks(spark):
     i = spark.createDataFrame(items + items[:2] + [(900, None, "x"), (None, "a b", "x")], "item_id long, content string, text string")
     got = {(r.doc_id, r.item_id): r.words for r in leaks.find_leaks(d, i).collect()}
     assert set(got) == want and min(got.values()) >= 36
-    old = leaks.TEST_ROW_BYTES
-    leaks.TEST_ROW_BYTES = 1 << 40  # a table too large to broadcast goes through the shuffle, with the same result
-    try:
-        assert {(r.doc_id, r.item_id): r.words for r in leaks.find_leaks(d, i).collect()} == got
-    finally:
-        leaks.TEST_ROW_BYTES = old
+    # A test table of many blocks gives the same result.
+    assert {(r.doc_id, r.item_id): r.words for r in leaks.find_leaks(d, i, block_words=700).collect()} == got
     assert leaks.find_leaks(d.limit(0), i).count() == 0 and leaks.find_leaks(d, i.limit(0)).count() == 0
 
 
@@ -108,18 +104,40 @@ def test_stretches_match_brute_force():
 def test_evenly_edited_passages_have_seeds_enough(spark):
     item = [f"i{k}" for k in range(120)]
     docs = []
-    for n, changed in ((40, (6, 13, 20, 27, 34)), (48, (6, 13, 20, 27, 34, 41)), (40, (5, 6, 13, 20, 27, 34))):
+    for n, changed in ((40, (6, 13, 20, 27, 34)), (40, (5, 12, 19, 26, 33)), (48, (6, 13, 20, 27, 34, 41)), (80, tuple(range(4, 80, 8))), (40, (5, 6, 13, 20, 27, 34))):
         piece = [f"c{k}" if k in changed else w for k, w in enumerate(item[30 : 30 + n])]
         docs.append((len(docs), " ".join([f"a{k}" for k in range(50)] + piece + [f"b{k}" for k in range(50)])))
     d = spark.createDataFrame(docs, "doc_id long, text string")
     i = spark.createDataFrame([(7, " ".join(item))], "item_id long, content string")
-    assert sorted((r.doc_id, r.words) for r in leaks.find_leaks(d, i).collect()) == [(0, 40), (1, 48)]
-    old = leaks.TEST_ROW_BYTES
-    leaks.TEST_ROW_BYTES = 1 << 40
-    try:
-        assert sorted((r.doc_id, r.words) for r in leaks.find_leaks(d, i).collect()) == [(0, 40), (1, 48)]
-    finally:
-        leaks.TEST_ROW_BYTES = old
+    assert sorted((r.doc_id, r.words) for r in leaks.find_leaks(d, i).collect()) == [(0, 40), (1, 40), (2, 48), (3, 80)]
+
+
+@pytest.mark.parametrize("min_words", [24, 36, 50])
+def test_any_stretch_is_a_candidate(min_words):
+    """Random stretches at the limit, of any length and with any kinds of edits, have the seeds the limits ask for."""
+    rng = np.random.default_rng(min_words)
+    limits = leaks.Limits(min_words)
+    for k in range(150):
+        n = int(rng.integers(min_words, 3 * min_words))
+        item = np.arange(1, 2 * n + 20, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        piece = item[7 : 7 + n].tolist()
+        for at in sorted(rng.choice(n - 2, n // 8, replace=False) + 1, reverse=True):
+            kind = [0, 1, 2, int(rng.integers(0, 3))][k % 4]
+            piece[at : at + 1] = [[at], [], [piece[at], at]][kind]
+        doc = np.array([*range(1000, 1090), *piece, *range(2000, 2090)], dtype=np.uint64)
+        table = leaks.TestTable([1], [item])
+        found = leaks.candidates(doc, np.array([len(doc)]), table, table.filter(), limits)
+        assert found and leaks.longest_stretch(item, doc, [x for f in found for x in f[2:]], min_words) >= min_words, (n, k)
+    with pytest.raises(ValueError):
+        leaks.Limits(17)
+
+
+def test_long_texts_are_cut_with_overlap():
+    words = np.arange(3 * leaks.PIECE_WORDS, dtype=np.uint64)
+    pieces = list(leaks._pieces(words))
+    assert pieces[0][0] == 0 and pieces[-1][-1] == words[-1] and max(map(len, pieces)) <= leaks.PIECE_WORDS
+    assert all(a[-1] - b[0] >= leaks.PIECE_OVERLAP - 1 for a, b in zip(pieces, pieces[1:]))
+    assert len(list(leaks._pieces(words[:5]))) == 1 and len(list(leaks._pieces(words[:0]))) == 1
 
 
 needs_tokenizer = pytest.mark.skipif(not os.path.exists(mixing.TOKENIZER_FILE), reason="no tokenizer here")
