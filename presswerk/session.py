@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import atexit
-import os
+import shutil
 import tempfile
 import uuid
 
@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 #: Broadcast hints are given only to inputs with a proven bound under this many bytes.
 BROADCAST_LIMIT_BYTES = 64 << 20
 
-_written: list[tuple[SparkSession, str]] = []
+_written: dict[str, SparkSession] = {}
 _own_folder: list[str] = []
 
 
@@ -39,45 +39,62 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's shared folder (spark.checkpoint.dir); a local one is made only where none is set."""
+    """The cluster's shared folder (spark.checkpoint.dir); only a local session may go without and gets one of its own."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not folder:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         if not _own_folder:
             _own_folder.append("file://" + tempfile.mkdtemp(prefix="presswerk-"))
         folder = _own_folder[0]
     return folder.rstrip("/")
 
 
+def file_system(spark: SparkSession, path: str):
+    """The Hadoop file system of `path`, and the path as it takes it."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
+
+
 def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:
     """Write `df` as a Parquet table in the shared folder and read it back.
 
     The table survives lost executors and is columnar, so later reads are pruned to the columns they use.
-    It is removed when the driver ends.
+    It is removed by `release`, or when the driver ends.
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     if not _written:
         atexit.register(_remove_written)
-    _written.append((spark, path))
-    return spark.read.schema(df.schema).parquet(path)
+    _written[path] = spark
+    out = spark.read.schema(df.schema).parquet(path)
+    out._written_path = path
+    return out
+
+
+def release(*tables: DataFrame) -> None:
+    """Remove tables written by `cut_lineage` that nothing reads any more."""
+    for table in tables:
+        _remove(table._written_path)
+
+
+def _remove(path: str) -> None:
+    spark = _written.pop(path, None)
+    if spark is None:
+        return
+    try:
+        system, target = file_system(spark, path)
+        system.delete(target, True)
+    except Exception:  # noqa: BLE001 - the session may be gone by now
+        local = path.removeprefix("file://")
+        if local.startswith("/"):
+            shutil.rmtree(local, ignore_errors=True)
 
 
 def _remove_written() -> None:
-    for _spark, path in _written:
-        local = path.removeprefix("file://")
-        if local.startswith("/") and os.path.isdir(local):
-            import shutil
-
-            shutil.rmtree(local, ignore_errors=True)
-            continue
-        try:
-            jvm = _spark.sparkContext._jvm
-            target = jvm.org.apache.hadoop.fs.Path(path)
-            target.getFileSystem(_spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
-        except Exception:  # noqa: BLE001 - the session may be gone by now
-            pass
-    _written.clear()
+    for path in list(_written):
+        _remove(path)
 
 
 def broadcast_if_small(df: DataFrame, rows: int, row_bytes: int) -> DataFrame:
