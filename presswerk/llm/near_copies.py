@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from presswerk.llm.blocks import has_text
 from presswerk.llm.words import WORD, WordHashes, mix, runs
-from presswerk.session import cut_lineage, read_table
+from presswerk.session import cut_lineage, read_table, release
 
 RUN = (0, 1, 2)
 MIN_SIMILARITY = 0.5
@@ -27,6 +27,11 @@ SKETCH = BANDS * ROWS
 #: Coordinates kept with eight bits each for thinning out candidates: at similarity 0.5 they show 0.502 with a
 #: standard deviation of 0.063, so a true pair stays below the limit with a chance of about 1 in 100,000.
 THIN, THIN_LIMIT = 64, 0.23
+#: Records whose bands are made at a time, and records of one band of them from which one leader stands for the rest.
+BATCH_RECORDS, LOCAL_GROUP = 2000, 64
+ALONE, LEADS = -1, -2
+#: Different texts of one band whose pairs are all looked at directly; larger bands are compared by leader, then in blocks.
+GROUP = 256
 
 
 def shingles(title: str | None, content: str, cache: WordHashes) -> np.ndarray:
@@ -84,18 +89,98 @@ def _sketch_batches(batches):
             )
 
 
-def _band_batches(batches):
-    """(rep, bands) -> (band, rep): the band's number and hash in one key."""
-    schema = pa.schema([("band", pa.int64()), ("rep", pa.int64())])
-    for batch in batches:
-        reps = batch.column(0).to_numpy(zero_copy_only=False)
-        if not len(reps):
-            continue
-        raw = np.frombuffer(b"".join(batch.column(1).to_pylist()), dtype=np.uint8).reshape(len(reps), BANDS, 6)
-        wide = np.zeros((len(reps), BANDS, 8), dtype=np.uint8)
-        wide[:, :, :6] = raw
-        wide[:, :, 6] = np.arange(BANDS, dtype=np.uint8)
-        yield pa.RecordBatch.from_arrays([pa.array(wide.view(np.int64).reshape(-1)), pa.array(np.repeat(reps, BANDS))], schema=schema)
+def _band_batches(local_group: int):
+    """(rep, bands) -> (key, rep, leader, band), one row for each band of a record.
+
+    The key is the band's number and hash. Where a batch itself holds many records of one band, its first one, the
+    leader, stands for them; the others come with the leader and a key of their own, so no band is a hot key.
+    """
+
+    def run(batches):
+        schema = pa.schema([("key", pa.int64()), ("rep", pa.int64()), ("leader", pa.int64()), ("band", pa.int64())])
+        for batch in batches:
+            for at in range(0, batch.num_rows, BATCH_RECORDS):
+                part = batch.slice(at, BATCH_RECORDS)
+                n = part.num_rows
+                raw = np.frombuffer(b"".join(part.column(1).to_pylist()), dtype=np.uint8).reshape(n, BANDS, 6)
+                wide = np.zeros((n, BANDS, 8), dtype=np.uint8)
+                wide[:, :, :6] = raw
+                wide[:, :, 6] = np.arange(BANDS, dtype=np.uint8)
+                band = wide.view(np.int64).reshape(-1)
+                rep = np.repeat(part.column(0).to_numpy(zero_copy_only=False), BANDS)
+                order = np.argsort(band, kind="stable")
+                band, rep = band[order], rep[order]
+                starts = np.flatnonzero(np.append(True, band[1:] != band[:-1]))
+                sizes = np.diff(np.append(starts, len(band)))
+                many = np.repeat(sizes > local_group, sizes)
+                first = np.repeat(rep[starts], sizes)
+                follows = many & (rep != first)
+                leader = np.where(follows, first, np.where(many, LEADS, ALONE))
+                key = np.where(follows, mix((band ^ (first << 20)).view(np.uint64)).view(np.int64), band)
+                yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(rep), pa.array(leader), pa.array(np.where(follows, band, 0))], schema=schema)
+
+    return run
+
+
+def _pair_batches(group: int):
+    """Rows (key, rep, leader, band) in order of key and rep -> pairs (a, b, band) of records that share a band.
+
+    A group of up to `group` records gives all its pairs, with band null. A larger one is streamed through: every
+    record is paired with the first one, and the band is told, for the rest of its pairs to be looked at in blocks.
+    """
+
+    def run(batches):
+        schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("band", pa.int64())])
+
+        def out(a, b, band=None):
+            tail = pa.nulls(len(a), pa.int64()) if band is None else pa.array(band)
+            return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b)), tail], schema=schema)
+
+        def groups(key, rep, leads):
+            """Pairs of whole groups; a group with a leader of others counts as a large one."""
+            if not len(key):
+                return
+            starts = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+            sizes = np.diff(np.append(starts, len(key)))
+            large = np.repeat((sizes > group) | np.logical_or.reduceat(leads, starts), sizes)
+            if large.any():
+                yield out(np.repeat(rep[starts], sizes)[large], rep[large], key[large])
+                key, rep = key[~large], rep[~large]
+            for lag in range(1, min(group, len(key))):
+                same = np.flatnonzero(key[lag:] == key[:-lag])
+                if not len(same):
+                    return
+                yield out(rep[same], rep[same + lag])
+
+        held = [np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, bool)]
+        hot, first = None, 0
+        for batch in batches:
+            key, rep, leader, band = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(4))
+            led = leader >= 0
+            if led.any():
+                yield out(leader[led], rep[led], band[led])
+                key, rep, leader = key[~led], rep[~led], leader[~led]
+            if hot is not None:
+                more = key == hot
+                if more.any():
+                    yield out(np.full(more.sum(), first), rep[more], np.full(more.sum(), hot))
+                    key, rep, leader = key[~more], rep[~more], leader[~more]
+                if not len(key):
+                    continue
+                hot = None
+            held = [np.concatenate(x) for x in zip(held, (key, rep, leader == LEADS), strict=True)]
+            if not len(held[0]):
+                continue
+            last = int(np.searchsorted(held[0], held[0][-1]))
+            yield from groups(*(x[:last] for x in held))
+            held = [x[last:] for x in held]
+            if len(held[0]) > group:
+                hot, first = held[0][0], held[1][0]
+                yield from groups(*held)
+                held = [x[:0] for x in held]
+        yield from groups(*held)
+
+    return run
 
 
 def _thin_batches(batches):
@@ -120,13 +205,15 @@ def _set_batches(batches):
 
 
 def _verify_batches(min_similarity):
+    """(a, b, set_a, set_b) -> (a, b) of the pairs that are similar enough."""
+
     def run(batches):
         for batch in batches:
             keep, last, left = [], None, None
-            for a, raw_a, raw_b in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
-                if a != last:
-                    last, left = a, np.frombuffer(raw_a, "<u8")
-                right = np.frombuffer(raw_b, "<u8")
+            for k in range(batch.num_rows):
+                if (a := batch.column(0)[k].as_py()) != last:
+                    last, left = a, np.frombuffer(batch.column(2)[k].as_buffer(), "<u8")
+                right = np.frombuffer(batch.column(3)[k].as_buffer(), "<u8")
                 both = len(np.intersect1d(left, right, assume_unique=True))
                 keep.append(both >= min_similarity * (len(left) + len(right) - both))
             mask = pa.array(keep, pa.bool_())
@@ -142,52 +229,93 @@ def components(edges: DataFrame) -> DataFrame:
     written tables, so a chain of any length needs few of them and none is repeated.
     """
     both = cut_lineage(edges.select("a", "b").union(edges.select("b", "a")).distinct(), "edges")
-    labels = both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.first("a")).alias("label"))
+    labels, written = both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.first("a")).alias("label")), None
     while True:
         near = both.join(labels.select(F.col("node").alias("b"), "label"), "b").groupBy(F.col("a").alias("node")).agg(F.min("label").alias("near"))
         stepped = labels.join(near, "node").select("node", "label", F.least("label", "near").alias("next"))
         # The label's own label, one hop further; the smallest node of a component is its own label.
         jumps = stepped.select(F.col("node").alias("next"), F.col("next").alias("jump"))
         following = cut_lineage(stepped.join(jumps, "next", "left").select("node", "label", F.least("next", F.coalesce("jump", "next")).alias("next")), "labels")
-        if following.where("next <> label").isEmpty():
-            return following.select("node", F.col("next").alias("label"))
+        settled = following.where("next <> label").isEmpty()
+        if written is not None:
+            release(written)
+        written = following
         labels = following.select("node", F.col("next").alias("label"))
+        if settled:
+            release(both)
+            return labels
 
 
-def near_copy_classes(df: DataFrame, id_col: str = "id", title_col: str = "title", text_col: str = "content", min_similarity: float = MIN_SIMILARITY) -> DataFrame:
-    """Rows (id, class_id, links): one for each id with text; ids of one class belong together.
-
-    `links` is the number of different texts similar to the id's text. Null ids, texts without content (null, empty,
-    None / nan) and texts of fewer than three words have no row. Repeated rows of an id count once, equal texts are
-    one class, extra columns are ignored, an empty table gives an empty result. Texts are read whole.
-    """
-    rows = df.where(F.col(id_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(id_col).cast("string").alias("id"), F.col(title_col).alias("title"), F.col(text_col).alias("content"))
-    sketches = rows.mapInArrow(_sketch_batches, "id string, set_a long, set_b long, bands binary, bits binary")
-    members = cut_lineage(sketches, "sketches")
-    # One representative for each set; equal texts meet in the partial aggregation, before the shuffle.
-    sets = members.groupBy("set_a", "set_b").agg(F.min("id").alias("id"), F.min(F.struct("bands", "bits")).alias("x"))
-    reps = cut_lineage(sets.select("set_a", "set_b", "id", "x.bands", "x.bits", F.monotonically_increasing_id().alias("rep")), "representatives")
-
-    bands = reps.select("rep", "bands").mapInArrow(_band_batches, "band long, rep long")
-    pairs = bands.select("band", F.col("rep").alias("a")).join(bands.select("band", F.col("rep").alias("b")), "band").where("a < b").select("a", "b").distinct()
-    bits = reps.select("rep", "bits")
-    thinned = pairs.join(bits.select(F.col("rep").alias("a"), F.col("bits").alias("bits_a")), "a").join(bits.select(F.col("rep").alias("b"), F.col("bits").alias("bits_b")), "b")
+def _similar(pairs: DataFrame, members: DataFrame, rows: DataFrame, min_similarity: float) -> DataFrame:
+    """The pairs (a, b) whose texts are similar enough: thinned out by short coordinates, then checked exactly."""
+    bits = members.select("row", "bits")
+    thinned = pairs.join(bits.select(F.col("row").alias("a"), F.col("bits").alias("bits_a")), "a").join(bits.select(F.col("row").alias("b"), F.col("bits").alias("bits_b")), "b")
     candidates = cut_lineage(thinned.select("a", "b", "bits_a", "bits_b").mapInArrow(_thin_batches, "a long, b long"), "candidates")
-
-    needed = candidates.select(F.col("a").alias("rep")).union(candidates.select("b")).distinct()
-    wanted = reps.select("rep", "id").join(needed, "rep", "left_semi")
-    texts = rows.join(wanted, "id").select("rep", "title", "content").dropDuplicates(["rep"])
+    needed = candidates.select(F.col("a").alias("row")).union(candidates.select("b")).distinct()
+    wanted = members.select("row", "id").join(needed, "row", "left_semi")
+    texts = rows.join(wanted, "id").select(F.col("row").alias("rep"), "title", "content").dropDuplicates(["rep"])
     elements = cut_lineage(texts.mapInArrow(_set_batches, "rep long, elements binary"), "sets")
     checked = candidates.join(elements.select(F.col("rep").alias("a"), F.col("elements").alias("set_a")), "a").join(elements.select(F.col("rep").alias("b"), F.col("elements").alias("set_b")), "b")
     edges = cut_lineage(checked.select("a", "b", "set_a", "set_b").mapInArrow(_verify_batches(min_similarity), "a long, b long"), "links")
+    release(candidates, elements)
+    return edges
+
+
+def _unconnected_pairs(hot: DataFrame, labels: DataFrame, group: int) -> DataFrame:
+    """Pairs of records of one large band that are not yet of one class, by blocks of the band's records.
 
+    `hot` has (band, node). A band's records are spread over blocks, and each two blocks meet in a key of their own,
+    so no key holds more than two blocks, whatever the size of the band.
+    """
+    known = hot.join(labels, "node", "left").select("band", "node", F.coalesce("label", "node").alias("label"))
+    mixed = known.groupBy("band").agg(F.count("*").alias("n"), F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
+    blocks = F.ceil(F.col("n") / group).cast("int")
+    placed = known.join(mixed.select("band", "n"), "band").select("band", "node", "label", blocks.alias("blocks"), F.pmod(F.xxhash64("node"), blocks).cast("int").alias("i"))
+    met = placed.select("band", "node", "label", "i", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("j"))
+    met = met.select("band", "node", "label", F.least("i", "j").alias("x"), F.greatest("i", "j").alias("y"))
+    keys = ["band", "x", "y"]
+    left, right = met.select(*keys, F.col("node").alias("a"), F.col("label").alias("label_a")), met.select(*keys, F.col("node").alias("b"), F.col("label").alias("label_b"))
+    return left.join(right, keys).where("a < b and label_a <> label_b").select("a", "b").distinct()
+
+
+def near_copy_classes(df: DataFrame, id_col: str = "id", title_col: str = "title", text_col: str = "content", min_similarity: float = MIN_SIMILARITY, group: int = GROUP, local_group: int = LOCAL_GROUP) -> DataFrame:
+    """Rows (id, class_id, links): one for each id with text; ids of one class belong together.
+
+    `links` is the number of different texts found similar to the id's text; of a band held by more than `group`
+    different texts, or by more than `local_group` of one batch, only the links that are needed to connect its
+    classes are looked for. Null ids, texts without content (null, empty, None / nan) and texts of fewer than three
+    words have no row. Repeated rows of an id count once, equal texts are one class, extra columns are ignored, an
+    empty table gives an empty result. Texts are read whole.
+    """
+    rows = df.where(F.col(id_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(id_col).cast("string").alias("id"), F.col(title_col).alias("title"), F.col(text_col).alias("content"))
+    sketches = rows.mapInArrow(_sketch_batches, "id string, set_a long, set_b long, bands binary, bits binary")
+    members = cut_lineage(sketches.withColumn("row", F.monotonically_increasing_id()), "sketches")
+    # One row stands for each set; equal texts meet in the partial aggregation, before the shuffle.
+    sets = members.groupBy("set_a", "set_b").agg(F.min(F.struct("row", "bands")).alias("x")).select("x.row", "x.bands")
+    bands = sets.mapInArrow(_band_batches(local_group), "key long, rep long, leader long, band long")
+    met = cut_lineage(bands.repartition("key").sortWithinPartitions("key", "rep").mapInArrow(_pair_batches(group), "a long, b long, band long"), "met")
+    edges = _similar(met.select("a", "b").where("a < b").distinct(), members, rows, min_similarity)
     labels = components(edges)
+    hot = met.where("band is not null").select("band", F.explode(F.array("a", "b")).alias("node")).distinct()
+    if not hot.isEmpty():
+        # A band of many texts: those still apart are compared too, so no link between classes is lost.
+        more = _similar(_unconnected_pairs(cut_lineage(hot, "large-bands"), labels, group), members, rows, min_similarity)
+        edges = edges.union(more)
+        labels = components(edges)
+    release(met)
+
     links = edges.select(F.col("a").alias("node")).union(edges.select("b")).groupBy("node").agg(F.count("*").cast("int").alias("links"))
-    classes = reps.select("set_a", "set_b", "rep").join(labels.join(links, "node").select(F.col("node").alias("rep"), "label", "links"), "rep", "left")
-    classes = classes.select("set_a", "set_b", F.coalesce("label", "rep").alias("class_id"), F.coalesce("links", F.lit(0)).alias("links"))
+    known = labels.join(links, "node").select(F.col("node").alias("rep"), "label", "links")
+    sets = members.groupBy("set_a", "set_b").agg(F.min("row").alias("rep")).join(known, "rep", "left")
+    classes = sets.select("set_a", "set_b", F.coalesce("label", "rep").alias("class_id"), F.coalesce("links", F.lit(0)).alias("links"))
     return members.select("id", "set_a", "set_b").dropDuplicates(["id"]).join(classes, ["set_a", "set_b"]).select("id", "class_id", "links")
 
 
+def p2_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The form that grows with the input: one row for each id."""
+    return near_copy_classes(read_table(spark, sf_dir, "articles"))
+
+
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     classes = cut_lineage(near_copy_classes(read_table(spark, sf_dir, "articles")).select("id", "class_id"), "classes")
     shared = classes.groupBy("class_id").agg(F.count("*").alias("n")).where("n > 1").select("class_id")

@@ -61,6 +61,38 @@ def test_near_copies_match_brute_force(spark):
     assert near_copies.near_copy_classes(df.limit(0)).count() == 0
 
 
+def test_large_bands_lose_no_link(spark):
+    """With groups of two, every band goes through leaders and blocks; classes stay those of the brute force."""
+    rng = random.Random(3)
+    base, rows = [rng.choice(WORDS) for _ in range(60)], []
+    for g in range(12):
+        words = base[:45] + [f"g{g}x{k}" for k in range(rng.choice([15, 30, 60]))]
+        for k in range(6):
+            w = list(words)
+            for _ in range(k):
+                w[rng.randrange(len(w))] = rng.choice(WORDS)
+            rows.append((f"g{g}k{k}", None, " ".join(w)))
+    rng.shuffle(rows)
+    df = spark.createDataFrame(rows, "id string, title string, content string").repartition(3)
+    classes = {r.id: r.class_id for r in near_copies.near_copy_classes(df, group=2, local_group=2).collect()}
+    assert {(a, b) for a in classes for b in classes if a < b and classes[a] == classes[b]} == brute_pairs(rows)
+
+
+def test_pairs_of_bands_in_any_batches():
+    rng = np.random.default_rng(1)
+    key = np.sort(np.concatenate([rng.integers(0, 50, 200), np.full(700, 51), np.full(100, 60)]))
+    rep = np.arange(len(key))
+    import pyarrow as pa
+
+    for size in (1, 7, 100, 5000):
+        batches = [pa.RecordBatch.from_arrays([pa.array(key[i : i + size]), pa.array(rep[i : i + size]), pa.array(np.full(len(key[i : i + size]), -1)), pa.array(np.zeros(len(key[i : i + size]), np.int64))], names=["key", "rep", "leader", "band"]) for i in range(0, len(key), size)]
+        got = [(a, b, c) for x in near_copies._pair_batches(near_copies.GROUP)(iter(batches)) for a, b, c in zip(*(y.to_pylist() for y in x.columns))]
+        want = {(a, b) for a in rep for b in rep if a < b and key[a] == key[b] and key[a] != 51}
+        assert {(a, b) for a, b, c in got if c is None} == want and len([1 for x in got if x[2] is None]) == len(want)
+        star = {(a, b) for a, b, c in got if c == 51 and a < b}
+        assert len(star) == 699 and len({a for a, _ in star}) == 1
+
+
 def test_sketch_fills_and_estimates():
     cache = WordHashes()
     a = near_copies.shingles("", " ".join(WORDS[:300]), cache)
