@@ -30,6 +30,8 @@ THIN, THIN_LIMIT = 64, 0.23
 #: Records whose bands are made at a time, and records of one band of them from which one leader stands for the rest.
 BATCH_RECORDS, LOCAL_GROUP = 2000, 64
 ALONE, LEADS = -1, -2
+#: Size of the filter of the records to be compared, and of the parts in which a set travels.
+FILTER_BITS, PART_BYTES = 25, 16_380
 #: Different texts of one band whose pairs are all looked at directly; larger bands are compared by leader, then in blocks.
 GROUP = 256
 
@@ -39,6 +41,12 @@ def shingles(title: str | None, content: str, cache: WordHashes) -> np.ndarray:
     return np.unique(runs(cache.array(WORD.findall(f"{title or ''}\n{content}".lower())), RUN))
 
 
+def set_digest(elements: np.ndarray) -> tuple[int, int]:
+    """128 bits that stand for a set, as two numbers."""
+    digest = xxhash.xxh3_128_digest(elements.tobytes())
+    return int.from_bytes(digest[:8], "little", signed=True), int.from_bytes(digest[8:], "little", signed=True)
+
+
 def sketches(sets: list[np.ndarray], size: int = SKETCH) -> np.ndarray:
     """Fast similarity sketches of non-empty sets, one row each: (round, value) packed into one number for each bin.
 
@@ -83,7 +91,7 @@ def _sketch_batches(batches):
             # 48 bits of a band are enough within the band: a rare chance meeting is thinned out or verified away.
             packed = np.ascontiguousarray(bands.view(np.uint8).reshape(len(sets), BANDS, 8)[:, :, :6])
             bits = (coordinates[:, :: SKETCH // THIN][:, :THIN] & np.uint64(255)).astype(np.uint8)
-            digests = np.array([(int.from_bytes(d[:8], "little", signed=True), int.from_bytes(d[8:], "little", signed=True)) for d in (xxhash.xxh3_128_digest(x.tobytes()) for x in sets)], dtype=np.int64)
+            digests = np.array([set_digest(x) for x in sets], dtype=np.int64)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(keys, pa.string()), pa.array(digests[:, 0]), pa.array(digests[:, 1]), pa.array([x.tobytes() for x in packed], pa.binary()), pa.array([x.tobytes() for x in bits], pa.binary())], schema=schema
             )
@@ -193,31 +201,81 @@ def _thin_batches(batches):
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(keep), batch.column(1).filter(keep)], names=["a", "b"])
 
 
+def _filter_batches(batches):
+    """(hash) -> bits of the hashes of one partition, packed."""
+    bits = np.zeros(1 << FILTER_BITS, dtype=bool)
+    for batch in batches:
+        bits[batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64) >> np.uint64(64 - FILTER_BITS)] = True
+    yield pa.RecordBatch.from_arrays([pa.array([np.packbits(bits).tobytes()], pa.binary())], names=["bits"])
+
+
+def _kept_batches(keep):
+    """(hash, id, title, content) -> (id, title, content) of the rows whose bit is set."""
+
+    def run(batches):
+        bits = np.unpackbits(np.frombuffer(keep.value, dtype=np.uint8)).view(bool)
+        for batch in batches:
+            mask = bits[batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64) >> np.uint64(64 - FILTER_BITS)]
+            yield pa.RecordBatch.from_arrays([batch.column(i) for i in (1, 2, 3)], names=["id", "title", "content"]).filter(pa.array(mask))
+
+    return run
+
+
 def _set_batches(batches):
-    """(rep, title, content) -> (rep, elements): the set of the exact check, as bytes."""
-    cache = WordHashes()
+    """(a, b, row, set_a, set_b, title, content) -> (a, b, row, part, elements): the pair's side with its set, in parts.
+
+    Elements are their upper 40 bits, in order; two different runs of a text of 1,000 share them once in a million texts.
+    A text that is not the row's (another one came under the same id) is left out.
+    """
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("row", pa.int64()), ("part", pa.int32()), ("elements", pa.binary())])
+    cache, last, parts, digest = WordHashes(), None, [], None
     for batch in batches:
-        keys, sets = [], []
-        for key, title, content in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            keys.append(key)
-            sets.append(shingles(title, content, cache).astype("<u8").tobytes())
-        yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(sets, pa.binary())], names=["rep", "elements"])
+        out, size = [], 0
+        for a, b, row, set_a, set_b, title, content in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            if last is None or last[0] != row or last[1] != title or last[2] != content:
+                last, elements = (row, title, content), shingles(title, content, cache)
+                digest = set_digest(elements)
+                packed = np.ascontiguousarray(elements.astype(">u8").view(np.uint8).reshape(-1, 8)[:, :5]).tobytes()
+                parts = [packed[i : i + PART_BYTES] for i in range(0, len(packed), PART_BYTES)]
+            if digest == (set_a, set_b):
+                out.extend((a, b, row, i, x) for i, x in enumerate(parts))
+                size += sum(map(len, parts))
+            if size > 4 << 20:
+                yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], t) for i, t in enumerate(schema.types)], schema=schema)
+                out, size = [], 0
+        yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], t) for i, t in enumerate(schema.types)], schema=schema)
 
 
 def _verify_batches(min_similarity):
-    """(a, b, set_a, set_b) -> (a, b) of the pairs that are similar enough."""
+    """Rows (a, b, row, part, elements) in this order -> (a, b) of the pairs that are similar enough."""
+
+    def elements(parts: dict[int, bytes]) -> np.ndarray:
+        raw = np.frombuffer(b"".join(parts[i] for i in sorted(parts)), np.uint8).reshape(-1, 5)
+        wide = np.zeros((len(raw), 8), np.uint8)
+        wide[:, 3:] = raw
+        return wide.view(">u8").reshape(-1)
+
+    def similar(sides: dict[int, dict[int, bytes]]) -> bool:
+        if len(sides) < 2:
+            return False
+        left, right = (elements(x) for x in sides.values())
+        both = len(np.intersect1d(left, right, assume_unique=True))
+        return both >= min_similarity * (len(left) + len(right) - both)
 
     def run(batches):
+        now, sides = None, {}
         for batch in batches:
-            keep, last, left = [], None, None
-            for k in range(batch.num_rows):
-                if (a := batch.column(0)[k].as_py()) != last:
-                    last, left = a, np.frombuffer(batch.column(2)[k].as_buffer(), "<u8")
-                right = np.frombuffer(batch.column(3)[k].as_buffer(), "<u8")
-                both = len(np.intersect1d(left, right, assume_unique=True))
-                keep.append(both >= min_similarity * (len(left) + len(right) - both))
-            mask = pa.array(keep, pa.bool_())
-            yield pa.RecordBatch.from_arrays([batch.column(0).filter(mask), batch.column(1).filter(mask)], names=["a", "b"])
+            found = []
+            column = batch.column(4)
+            for k, (a, b, row, part) in enumerate(zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True)):
+                if (a, b) != now:
+                    if now is not None and similar(sides):
+                        found.append(now)
+                    now, sides = (a, b), {}
+                sides.setdefault(row, {})[part] = column[k].as_py()
+            yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in found], pa.int64()) for i in (0, 1)], names=["a", "b"])
+        if now is not None and similar(sides):
+            yield pa.RecordBatch.from_arrays([pa.array([x], pa.int64()) for x in now], names=["a", "b"])
 
     return run
 
@@ -251,13 +309,19 @@ def _similar(pairs: DataFrame, members: DataFrame, rows: DataFrame, min_similari
     bits = members.select("row", "bits")
     thinned = pairs.join(bits.select(F.col("row").alias("a"), F.col("bits").alias("bits_a")), "a").join(bits.select(F.col("row").alias("b"), F.col("bits").alias("bits_b")), "b")
     candidates = cut_lineage(thinned.select("a", "b", "bits_a", "bits_b").mapInArrow(_thin_batches, "a long, b long"), "candidates")
-    needed = candidates.select(F.col("a").alias("row")).union(candidates.select("b")).distinct()
-    wanted = members.select("row", "id").join(needed, "row", "left_semi")
-    texts = rows.join(wanted, "id").select(F.col("row").alias("rep"), "title", "content").dropDuplicates(["rep"])
-    elements = cut_lineage(texts.mapInArrow(_set_batches, "rep long, elements binary"), "sets")
-    checked = candidates.join(elements.select(F.col("rep").alias("a"), F.col("elements").alias("set_a")), "a").join(elements.select(F.col("rep").alias("b"), F.col("elements").alias("set_b")), "b")
-    edges = cut_lineage(checked.select("a", "b", "set_a", "set_b").mapInArrow(_verify_batches(min_similarity), "a long, b long"), "links")
-    release(candidates, elements)
+    sides = candidates.select("a", "b", F.explode(F.array("a", "b")).alias("row")).join(members.select("row", "id", "set_a", "set_b"), "row")
+    sides = cut_lineage(sides, "sides")
+    # Texts that no candidate needs stay where they are; the filter has a fixed size, and full of bits it lets all through.
+    bits = np.zeros((1 << FILTER_BITS) // 8, dtype=np.uint8)
+    for part in sides.select(F.xxhash64("id")).coalesce(8).mapInArrow(_filter_batches, "bits binary").collect():
+        bits |= np.frombuffer(part[0], dtype=np.uint8)
+    keep = pairs.sparkSession.sparkContext.broadcast(bits.tobytes())
+    texts = rows.select(F.xxhash64("id"), "id", "title", "content").mapInArrow(_kept_batches(keep), "id string, title string, content string")
+    met = sides.join(texts, "id").select("a", "b", "row", "set_a", "set_b", "title", "content").mapInArrow(_set_batches, "a long, b long, row long, part int, elements binary")
+    # Both sides of a pair meet under the pair's own key, so a record with many links makes no hot key.
+    edges = met.repartition("a", "b").sortWithinPartitions("a", "b", "row", "part").mapInArrow(_verify_batches(min_similarity), "a long, b long")
+    edges = cut_lineage(edges, "links")
+    release(candidates, sides)
     return edges
 
 
@@ -300,8 +364,9 @@ def near_copy_classes(df: DataFrame, id_col: str = "id", title_col: str = "title
     if not hot.isEmpty():
         # A band of many texts: those still apart are compared too, so no link between classes is lost.
         more = _similar(_unconnected_pairs(cut_lineage(hot, "large-bands"), labels, group), members, rows, min_similarity)
-        edges = edges.union(more)
-        labels = components(edges)
+        if not more.isEmpty():
+            edges = edges.union(more)
+            labels = components(edges)
     release(met)
 
     links = edges.select(F.col("a").alias("node")).union(edges.select("b")).groupBy("node").agg(F.count("*").cast("int").alias("links"))
