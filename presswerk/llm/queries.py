@@ -10,7 +10,7 @@ from presswerk.llm.mixing import p9_mix, p9_shares
 from presswerk.llm.near_copies import p2_classes, p2_found
 from presswerk.llm.repeated_lines import p1_cleaned, p1_found
 from presswerk.llm.spam import p10_found
-from presswerk.llm.survivors import p5_found
+from presswerk.llm.survivors import p5_current, p5_found
 
 _LINES = r"""
 l AS (SELECT DISTINCT id, source, unnest(range(1, len(parts) + 1)) - 1 AS line_no, unnest(parts) AS line FROM
@@ -29,5 +29,5 @@ p AS (SELECT id, unnest(range(1, len(parts) + 1)) - 1 AS line_no, unnest(parts)
 c AS (SELECT p.id, coalesce(string_agg(line, chr(10) ORDER BY p.line_no) FILTER (WHERE f.id IS NULL), '') AS content FROM p LEFT JOIN f ON p.id = f.id AND p.line_no = f.line_no GROUP BY p.id)
 SELECT a.id, CASE WHEN a.content IS NULL THEN NULL ELSE c.content END AS content FROM a LEFT JOIN c USING (id)"""
 
-QUERIES = {"p1_found": p1_found, "p1_cleaned": p1_cleaned, "p2_found": p2_found, "p2_classes": p2_classes, "p3_found": p3_found, "p4_found": p4_found, "p5_found": p5_found, "p6_found": p6_found, "p8_found": p8_found, "p9_mix": p9_mix, "p9_shares": p9_shares, "p10_found": p10_found}
+QUERIES = {"p1_found": p1_found, "p1_cleaned": p1_cleaned, "p2_found": p2_found, "p2_classes": p2_classes, "p3_found": p3_found, "p4_found": p4_found, "p5_found": p5_found, "p5_current": p5_current, "p6_found": p6_found, "p8_found": p8_found, "p9_mix": p9_mix, "p9_shares": p9_shares, "p10_found": p10_found}
 ORACLES = {"p1_found": P1_FOUND, "p1_cleaned": P1_CLEANED}

@@ -171,3 +171,29 @@ def test_survivors(spark):
     assert got["f5"] == ("u1", "u1", "u2", "u2")
     assert set(got) == {"f1", "f2", "f4", "f5"} | {f"gr{g}" for g in range(12)}
     assert survivors.best_representatives(df.limit(0), src).count() == 0
+
+
+def test_currency_orders_by_reachability(spark):
+    """Three values in a chain, one apart: only values that lead to one another order the members."""
+    day = lambda d: f"2025-01-{d:02d}T00:00:00Z"
+    rows = []
+    for g in range(6):
+        rows += [(f"h{g}a", f"h{g}", "x", day(1), "A"), (f"h{g}b", f"h{g}", "x", day(2), "B")]
+        rows += [(f"k{g}b", f"k{g}", "x", day(1), "B"), (f"k{g}c", f"k{g}", "x", day(2), "C")]
+    # Equal texts, no timestamps: A leads to C by way of B, which the group does not hold.
+    rows += [("p2", "p", "x", None, "A"), ("p1", "p", "x", None, "C")]
+    # D is not ordered with C or A, though C has two values below it: C overtakes A, and of C and D the larger id is taken.
+    rows += [("q1", "q", "x", None, "C"), ("q2", "q", "x", None, "D"), ("q3", "q", "x", None, "A")]
+    # An undated member is later than the latest dated one only if its value follows that one's.
+    rows += [("r1", "r", "x", day(9), "B"), ("r2", "r", "x", "yesterday", "C"), ("s1", "s", "x", day(9), "B"), ("s2", "s", "x", None, "D"), ("t1", "t", "x", day(9), "C"), ("t2", "t", "x", None, "A")]
+    # Equal instants: the later value.
+    rows += [("u2", "u", "x", day(9), "A"), ("u1", "u", "x", day(9), "B"), ("u0", "u", "x", day(1), "C")]
+    df = spark.createDataFrame(rows, "id string, fingerprint string, content string, published_date string, source string")
+    src = spark.createDataFrame([(x, "UTC", True, 1) for x in "ABCD"], "source string, home_zone string, day_first boolean, trust int")
+    got = {r.fingerprint: r for r in survivors.best_representatives(df, src).collect()}
+    assert got["p"].content_id == got["p"].current_id == got["p"].source_id == "p1" and got["p"].date_id is None
+    assert got["q"].content_id == got["q"].current_id == "q2"
+    assert (got["r"].current_id, got["s"].current_id, got["t"].current_id) == ("r2", "s1", "t1")
+    assert got["u"].date_id == got["u"].current_id == "u1" and got["u"].content_id == "u0"
+    none = spark.createDataFrame([], "attribute string, group_key string, id string, value string, epoch_us long")
+    assert survivors.learn_precedence(none).count() == 0
