@@ -1,8 +1,9 @@
 """Page boilerplate against main content (problem 4): two passes of block rules over the lines of a text.
 
 Pass one decides each line by itself from its length, its stop-word density and its link density (separators, list
-marks, bracketed buttons, address words), with the publisher names and a few consent, sharing and legal cues as
-further evidence. Pass two gives short, undecided lines the label of the nearest decided neighbours.
+marks, bracketed buttons). Cues of consent, offers, sharing, credits and legal notices, addresses to the reader and
+publisher names are further evidence: a sentence is a notice if two kinds of them meet in it, never for one alone.
+Pass two gives short, undecided lines the label of the nearest decided neighbours.
 """
 
 from __future__ import annotations
@@ -34,19 +35,24 @@ STOP_WORDS = frozenset(
     " o os as um uma do da dos das no na nos nas ao à em de por pelo pela para com não se foi que mais sem sob entre após segundo enquanto desde".split()
 )
 
-# Words of buttons, prompts and notices by which a page addresses its reader.
-_CONSENT_THING = ("cookie", "traceurs", "small files", "petits fichiers", "kleine dateien", "pequeños archivos", "piccoli file", "pequenos ficheiros", "privacy", "vie privée", "privatsphäre", "privacidad", "riservatezza")
-_READER = re.compile(
-    r"\b(?:we|our|your|you|us|this site|nous|votre|vos|vous|ce site|wir|unsere|unseren|unserer|ihre[mnrs]?|ihr|sie|diese seite|nosotros|nuestros?|nuestras?|tu|tus|te|este sitio|noi|nostr[oie]|tuo|tua|tue|accetti|questo sito|nós|nossos?|nossas?|seu aparelho|sua|suas|este sítio|aceita)\b"
-)
-_NOTICE_START = re.compile(
-    r"(?:©|\(c\)|copyright\b|advertisement|anzeige|publicité|publicidad|pubblicità|publicidade|werbung|sponsored|"
-    r"see more|read also|read more|see also|à lire aussi|lire aussi|voir aussi|voir plus|lesen sie auch|mehr dazu|mehr >|siehe auch|lea también|lee también|ver más|leggi anche|vedi anche|altro >|leia também|leia ainda|ver mais|"
-    r"all\s+content\s+on|the\s+views\s+expressed|reproduction\s+of\s+this|tous\s+les\s+contenus\s+de|les\s+opinions\s+ex|toute\s+reproduction,|alle\s+inhalte\s+von|die\s+geäußerten\s+mei|"
-    r"todos\s+los\s+contenidos\s+de|las\s+opiniones\s+ex|la\s+riproduzione|le\s+opinioni\s+es|todos\s+os\s+conteúdos\s+de|as\s+opiniões\s+ex|a\s+reprodução|"
-    r"tap\s+to|share\s+this|partagez|teilen\s+sie|comparte\s|condividi|partilhe)"
-)
-_NOTICE_INSIDE = (">>", "all rights reserved", "tous droits réservés", "alle rechte vorbehalten", "todos los derechos", "tutti i diritti", "todos os direitos", "newsletter", "sign up", "subscribe", "send this page", "diese seite per", "esta página por", "cette page par", "questa pagina", "esta página por")
+# Cues by which a page speaks of itself, in six languages. None of them decides a sentence alone.
+_CUES = {
+    "address": "we|our|your|you|us|this site|this page|nous|votre|vos|vous|ce site|cette page|wir|unsere|unseren|unserer|ihre|ihrem|ihren|ihrer|ihres|ihr|sie|diese seite|nosotros|nuestro|nuestros|nuestra|nuestras|tu|tus|te|este sitio|esta página|noi|nostro|nostri|nostra|nostre|tuo|tua|tue|accetti|questo sito|questa pagina|nós|nosso|nossos|nossa|nossas|seu aparelho|sua|suas|este sítio|aceita",
+    "consent": "cookie|cookies|traceurs|small files|petits fichiers|kleine dateien|pequeños archivos|piccoli file|pequenos ficheiros|privacy|vie privée|privatsphäre|privacidad|privacidade|riservatezza",
+    "legal": "copyright|all rights reserved|tous droits réservés|alle rechte vorbehalten|todos los derechos|tutti i diritti|todos os direitos|all content|the content of|tous les contenus|alle inhalte|todos los contenidos|tutti i contenuti|todos os conteúdos|external sites|fremde seiten|sitios externos|siti esterni|sítios externos|"
+    "is not responsible|non responsable|haftet nicht|no responde|non risponde|não responde|views expressed|opinions exprimées|geäusserten meinungen|opiniones expresadas|opinioni espresse|opiniões expressas|reproduction|reproducción|riproduzione|reprodução|licence|license|lizenz|licencia|licenza|licença|"
+    "registered under|registre no|handelsregister|case file|aktenzeichen|expediente|media ltd|médias sa",
+    "offer": "newsletter|sign up|subscribe|abonnez|abonnieren|suscríbete|abbonati|assine|briefing|inbox|lettre du matin|lettera del mattino|carta de la mañana|morgenbrief|alert|alerts|alerte|alertes|eilmeldungen|alertas|avvisi|reader of|lecteur de|leser von|lector de|lettore di|lê|"
+    "support our|soutenez|unterstützen sie|apoya|sostieni|apoie|a month|par mois|im monat|al mes|al mese|por mês|get the|recevez|erhalten sie|recibe|ricevi|receba",
+    "share": "tap|share|send|partagez|envoyez|teilen|senden|schicken|comparte|envía|enviar|condividi|invia|partilhe|envie|by mail|par mail|per mail|por correo|via mail|por mail",
+    "credit": "newsroom|staff|agencies|agences|agenturen|agencias|agenzie|agências|rédaction|redaktion|redacción|redazione|redação|correspondents|correspondants|korrespondenten|corresponsales|corrispondenti|correspondentes|night desk|edición nocturna|turno di notte|edição da noite",
+    "reference": "see more|read also|read more|see also|à lire aussi|lire aussi|voir aussi|voir plus|lesen sie auch|mehr dazu|mehr|siehe auch|lea también|lee también|ver más|leggi anche|vedi anche|altro|leia também|leia ainda|ver mais",
+}
+_BY_FIRST: dict[str, list[tuple[str, tuple[str, ...]]]] = {}
+for _kind, _phrases in _CUES.items():
+    for _phrase in _phrases.split("|"):
+        _BY_FIRST.setdefault(_phrase.split()[0], []).append((_kind, tuple(_phrase.split())))
+_QUOTED = re.compile(r"[“„«][^“”„«»]*[”“»]|\"[^\"]*\"")
 _ADVERT = frozenset("advertisement advert anzeige annonce anuncio annuncio anúncio publicidad publicité".split())
 _PROMPT = re.compile(r"^[^.]{3,60}\?\s+[^?]{3,40}!$|!$")
 _ENDING = re.compile(r"[.!?…][\"'”»“’)\]]*(?:\s\([^()]*\))?$")
@@ -70,48 +76,68 @@ class PublisherNames:
                 self.by_first.setdefault(words[0], []).append(words)
         self.firsts = frozenset(self.by_first)
 
-    def __call__(self, words: list[str]) -> bool:
+    def longest(self, words: list[str]) -> int:
+        """Words of the longest name that the line holds."""
+        best = 0
         for i, word in enumerate(words):
             for name in self.by_first.get(word, ()):
-                if tuple(words[i : i + len(name)]) == name:
-                    return True
-        return False
-
-
-def is_notice(low: str, words: list[str], names: PublisherNames) -> bool:
-    """Whether the case-folded line names a publisher or holds a consent, sharing, reference or legal cue."""
-    if not names.firsts.isdisjoint(words) and names(words):
-        return True
-    if _NOTICE_START.match(low) or any(x in low for x in _NOTICE_INSIDE):
-        return True
-    return any(x in low for x in _CONSENT_THING) and _READER.search(low) is not None
+                if len(name) > best and tuple(words[i : i + len(name)]) == name:
+                    best = len(name)
+        return best
+
+
+def cues(low: str, words: list[str], named: bool) -> int:
+    """How many kinds of cues the case-folded line holds: a publisher's name, an address to the reader, notices."""
+    if '"' in low or "“" in low or "„" in low or "«" in low:
+        low = _QUOTED.sub(" ", low)  # what somebody says is no notice of the page
+        words = _WORD.findall(low)
+    found = {"name"} if named else set()
+    if "©" in low or low.startswith("(c)"):
+        found.add("legal")
+    if ">>" in low:
+        found.add("reference")
+    for i, word in enumerate(words):
+        for kind, phrase in _BY_FIRST.get(word, ()):
+            if (i == 0 or kind != "reference") and (len(phrase) == 1 or tuple(words[i : i + len(phrase)]) == phrase):
+                found.add(kind)
+    return 0 if found == {"address"} else len(found)
 
 
 def decide(line: str, names: PublisherNames) -> int:
-    """Pass one: STORY, PAGE, SHORT, HEADLINE or SUBHEAD for one line, BLANK for one without text."""
+    """Pass one: STORY, PAGE, SHORT, HEADLINE or SUBHEAD for one line, BLANK for one without text.
+
+    Running text of some length and stop-word density is story unless two kinds of cues speak against it; lines of
+    links are page; for the rest, lines without an end, one notice or a name that makes up the line is enough.
+    """
     text = line.strip()
     if not text:
         return BLANK
     low = text.casefold()
     words = _WORD.findall(low)
-    if not words or is_notice(low, words, names):
+    if not words:
         return PAGE
-    if _ENDING.search(text):
+    name = 0 if names.firsts.isdisjoint(words) else names.longest(words)
+    ended = _ENDING.search(text) is not None
+    if ended:
         if len(words) < 14 and _PROMPT.search(text):
             return PAGE
-        if len(words) >= 12:
-            return STORY
-        if len(words) < LONG_WORDS:
+        if len(words) < LONG_WORDS and not name:
             return SHORT
-        return STORY if sum(w in STOP_WORDS for w in words) / len(words) >= MIN_STOP_DENSITY else SHORT
+        if cues(low, words, name > 0) >= 2:
+            return PAGE
+        return STORY if len(words) >= 12 or (len(words) >= LONG_WORDS and sum(w in STOP_WORDS for w in words) / len(words) >= MIN_STOP_DENSITY) else SHORT
     marked = _LIST_MARK.match(text)
     if _RESULT.match(text[marked.end() :] if marked else text):
         return STORY
     links = len(_SEPARATOR.findall(text)) + len(_BUTTONS.findall(text))
     if links and (links + 1) / len(words) >= LINK_DENSITY:
         return PAGE
-    if _SENTENCE_INSIDE.search(text[marked.end() :] if marked else text):
-        return STORY  # running text that was cut off
+    cut = _SENTENCE_INSIDE.search(text[marked.end() :] if marked else text) is not None  # running text that was cut off
+    found = cues(low, words, name > 0)
+    if found >= 2 or (not cut and (found > (name > 0) or 3 * name >= len(words))):
+        return PAGE
+    if cut:
+        return STORY
     if len(words) <= 9 and _SUBHEAD.match(text):
         return SUBHEAD
     # Headlines, menu items and labels end without a full stop; so does a sentence that was cut off.
@@ -155,9 +181,16 @@ def has_text(content: str | None) -> bool:
     return content is not None and content.strip().casefold() not in ("", "none", "nan")
 
 
+#: A register of more publishers than this would not fit every worker.
+MAX_NAMES = 1_000_000
+
+
 def publisher_names(sources: DataFrame) -> list[str]:
     """The publishers' display names; the sources table is the publishers' register, not a table of documents."""
-    return sorted(r[0] for r in sources.select("display_name").where("display_name is not null").distinct().collect())
+    names = [r[0] for r in sources.select("display_name").where("display_name is not null").distinct().limit(MAX_NAMES + 1).collect()]
+    if len(names) > MAX_NAMES:
+        raise ValueError(f"the register has more than {MAX_NAMES} names")
+    return sorted(names)
 
 
 def _label_batches(names: list[str]):

@@ -101,6 +101,19 @@ def test_block_rules(spark):
     assert blocks.find_page_lines(df.limit(0), sources).count() == 0
 
 
+def test_one_cue_decides_no_sentence():
+    names = blocks.PublisherNames(["Mondhavn Herald"])
+    story = [
+        "The editor told the Mondhavn Herald that the council of the town would build the bridge in May.",
+        "The company sells a newsletter to its readers and the court ruled on it on Monday.",
+        "“We use cookies to protect your privacy,” a spokesman of the airline told the council in May.",
+        "All content on the shelves was damaged by the water, a speaker of the museum said.",
+    ]
+    page = ["All  content on MONDHAVN HERALD is protected and may not be copied without written consent.", "We and our partners use cookies, as described in the notice.", "Mondhavn Herald staff and agencies", "Read also: the council met in May and was told of the plan"]
+    assert [blocks.decide(x, names) for x in story] == [blocks.STORY] * 4
+    assert [blocks.decide(x, names) for x in page] == [blocks.PAGE] * 4
+
+
 @pytest.fixture(scope="module")
 def labelled(spark, small):
     folder = small.replace("sf0.001", "sf0.01")
