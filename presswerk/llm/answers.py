@@ -15,11 +15,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from presswerk.llm.blocks import STORY, PublisherNames, has_text, label_lines, publisher_names
+from presswerk.llm.blocks import STOP_WORDS, STORY, PublisherNames, has_text, label_lines, publisher_names
 from presswerk.session import read_table
 
 MIN_TILE = 4
 COPY_COVERAGE = 0.95
+#: Texts of so many words and more have at least this share of function words of their language (sf0.1, 4,767 sound answers: 0.2 or more).
+MIN_LANGUAGE_WORDS, MIN_FUNCTION_SHARE = 8, 0.15
+#: Kinds of defects, the one that counts where several hold first.
+PRECEDENCE = ("empty", "refusal", "copy", "language", "truncated")
 
 _LABEL = re.compile(r"^\W{0,3}(?:summary|abstract|answer|response|output|title|headline|résumé|zusammenfassung|resumen|riassunto|resumo)\s*[:\-–—]\s*", re.I)
 _PLACEHOLDERS = frozenset("none null nil nan na n/a n.a. empty (empty) tbd todo undefined unknown blank - -- — … ... .".split() + ["no summary", "no answer", "not available", "no content", "n / a", "to be completed", "summary", "lorem ipsum"])
@@ -40,6 +44,12 @@ for _code, _words in _FUNCTION_WORDS.items():
     for _word in _words.split():
         _BY_WORD.setdefault(_word, []).append(_code)
 
+# Further function words of English, to tell it from languages that no list here knows.
+_COMMON = {
+    "en": frozenset(_FUNCTION_WORDS["en"].split())
+    | frozenset("a an at as it its he she they we you i his her our your my be but or if than then there here before later against without within between behind through under out up down into during each every all any some other more most no nor so such only own same too very can will just should could may might must both when where why how what which these those ahead again off until since because despite following further two one three".split())
+}
+
 # The grammar of refusals: an answerer that speaks of itself, or an answer spoken of as a thing, with a negation.
 _SELF = r"(?:i|we|me|my|i['’]m|i['’]d|i['’]ve)"
 _CANNOT = r"(?:can\s?not|can['’]t|could not|couldn['’]t|won['’]t|will not|(?:am|are|is|be) (?:not able|unable)|not be able|unable|must decline|decline|declined|have to decline|would rather not|(?:would|['’]d) prefer|(?:do not|don['’]t|cannot|won['’]t) (?:feel|want|take part)|refuse)"
@@ -73,16 +83,32 @@ class Ending:
 _CLOSERS = {")": "(", "]": "[", "}": "{"}
 _TAG = re.compile(r"<(/?)([a-zA-Z][a-zA-Z0-9]*)(?:\s[^<>]*)?(/?)>")
 _VOID_TAGS = frozenset("br hr img input meta link".split())
-_ITEM = re.compile(r"^\s*(?:[-*•]|\d{1,2}[.)])\s+\S", re.M)
+_ITEM = re.compile(r"[ \t]*(?:[-*•]|\d{1,3}[.)])[ \t]+(?=\S)")
+ITEM = "item"
 
 
 def parse_ending(text: str) -> Ending:
-    """Follow brackets, quotations, code fences and tags with a stack; look at how the text ends outside of them."""
+    """Follow brackets, quotations, code fences, tags and list items with a stack; look at how the text ends outside of them.
+
+    An item opens at its mark and is closed by the next one or by a blank line; one left open at the end must be complete.
+    """
     stack: list[str] = []
-    i, n = 0, len(text)
+    items: list[str] = []
+    i, n, begin = 0, len(text), -1
     while i < n:
         c = text[i]
         top = stack[-1] if stack else ""
+        if (i == 0 or text[i - 1] == "\n") and top != "```":
+            mark = _ITEM.match(text, i)
+            blank = c == "\n"
+            if (mark or blank) and begin >= 0:
+                items.append(text[begin:i])
+                begin = -1
+                if blank:
+                    items = []
+            if mark:
+                begin = i = mark.end()
+                continue
         if text.startswith("```", i):
             stack.pop() if top == "```" else stack.append("```")
             i += 3
@@ -119,16 +145,36 @@ def parse_ending(text: str) -> Ending:
             else:
                 stack.append(c)
         i += 1
+    if begin >= 0:
+        items.append(text[begin:])
+    else:
+        items = []
+    ended = _ended(text)
+    # A quotation that is still open at a full stop may continue in a later paragraph; one cut off before is open.
+    left = [x for x in stack if x not in ("“", "„", "«", '"')] if ended else stack
+    closed = bool(items) and not left and _items_closed(items)
+    return Ending([*left, ITEM] if items and not (ended or closed) else left, ended, closed)
+
+
+def _ended(text: str) -> bool:
+    """Whether the last sentence is complete, whatever closes behind it."""
     bare = text.rstrip()
-    while bare and bare[-1] in "”\"’'»“)]}*_`  ":
+    while bare and bare[-1] in "”\"’'»“)]}*_`  ":
         bare = bare[:-1].rstrip()
     if bare.endswith(">"):
         bare = re.sub(r"(?:<[^<>]*>\s*)+$", "", bare).rstrip()
-    ended = bool(bare) and bare[-1] in ".!?" and not bare.endswith("...")
-    # A quotation that is still open at a full stop may continue in a later paragraph; one cut off before is open.
-    left = [x for x in stack if x not in ("“", "„", "«", '"')] if ended else stack
-    listed = len(_ITEM.findall(text)) >= 2 and not stack
-    return Ending(left, ended, listed)
+    return bool(bare) and bare[-1] in ".!?" and not bare.endswith("...")
+
+
+def _items_closed(items: list[str]) -> bool:
+    """Whether the last item of a list, which does not end a sentence, is complete as the items before it are.
+
+    Items that are sentences must all end; items that are labels must not stop at a word that calls for another one.
+    """
+    if len(items) < 2 or any(_ended(x) for x in items[:-1]):
+        return False
+    words = _TOKEN.findall(items[-1].casefold())
+    return bool(words) and words[-1] not in STOP_WORDS and items[-1].rstrip()[-1] not in ",;:-–—("
 
 
 def tiles(answer: list[str], source: list[str], min_tile: int = MIN_TILE) -> list[tuple[int, int, int]]:
@@ -162,16 +208,24 @@ def tiles(answer: list[str], source: list[str], min_tile: int = MIN_TILE) -> lis
     return out
 
 
-def language_of(text: str) -> str:
-    """Code of the language most of the function words belong to; 'xx' for another script, '' without evidence."""
+def language_of(text: str, wanted: str = "en") -> str:
+    """Code of the language most of the function words belong to; 'xx' for another script or tongue, '' without evidence.
+
+    Running text of one of the six languages has its function words in number, so a longer text with hardly any of
+    `wanted` is in another language even if no list knows it.
+    """
     letters = [c for c in text if c.isalpha()]
     if letters and sum(ord(c) > 0x24F for c in letters) > len(letters) / 2:
         return "xx"
     scores = dict.fromkeys(_FUNCTION_WORDS, 0)
-    for word in _TOKEN.findall(text.lower()):
+    words = _TOKEN.findall(text.lower())
+    for word in words:
         for code in _BY_WORD.get(word, ()):
             scores[code] += 1
-    best = max(scores, key=lambda c: (scores[c], c == "en"))
+    best = max(scores, key=lambda c: (scores[c], c == wanted))
+    common = _COMMON.get(wanted) or frozenset(_FUNCTION_WORDS[wanted].split())
+    if best == wanted and len(words) >= MIN_LANGUAGE_WORDS and sum(w in common for w in words) < MIN_FUNCTION_SHARE * len(words):
+        return "xx"
     return best if scores[best] else ""
 
 
@@ -236,7 +290,7 @@ def defect_of(answer: str | None, title: str | None, content: str | None, names:
         return "refusal"
     if is_copy(text, title, content, names):
         return "copy"
-    if language_of(text) not in ("", language):
+    if language_of(text, language) not in ("", language):
         return "language"
     return "truncated" if parse_ending(text).truncated else None
 
@@ -263,7 +317,9 @@ def find_defects(answers: DataFrame, articles: DataFrame, sources: DataFrame, la
     right = articles.where(F.col(article_id_col).isNotNull()).select(F.col(article_id_col).alias("key"), F.col(title_col).alias("title"), F.col(content_col).alias("content"))
     joined = left.join(right, "key", "left").select("id", "answer", "title", "content")
     judged = joined.mapInArrow(_judge_batches(publisher_names(sources), language), "id long, defect string")
-    return judged.groupBy("id").agg(F.min("defect").alias("defect"))
+    # An answer may meet several versions of its article; the first kind in the order of precedence counts.
+    place = F.array_position(F.array(*[F.lit(x) for x in PRECEDENCE]), F.col("defect"))
+    return judged.groupBy("id").agg(F.min_by("defect", place).alias("defect"))
 
 
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -129,9 +129,25 @@ def test_pushdown_parser():
     e = answers.parse_ending
     assert not e("Done. “Yes.”").truncated and not e("```\ncode\n```\nDone.").truncated and e("```\ncode").truncated
     assert e("<p>Some text").truncated and not e("<p>Some <b>text</b>.</p>").truncated and not e("- one thing\n- two things").truncated
+    assert e("1. The council met on Monday.\n2. The bridge will be bui").truncated and e("- The council met on Monday\n- The bridge of the").truncated
+    assert not e("Points:\n- one thing.\n- two things.").truncated and not e("* one\n* two\n\nThat was all.").truncated and e("* one\n* two\n\nThat was").truncated
+    assert e("- only one item").truncated and e("- an item (with\n- another").truncated
     assert e("A list [of (things.").truncated and not e("(a [b] {c}).").truncated
 
 
+def test_languages_no_list_knows():
+    assert answers.language_of("De raad van de stad besprak een nieuwe brug over de rivier in het centrum.") != "en"
+    assert answers.language_of("Rada miasta omawiała nowy most nad rzeką w centrum miasta w poniedziałek.") != "en"
+    assert answers.language_of(GOOD) == "en" and answers.language_of("Council hears plan") in ("", "en")
+
+
+def test_first_kind_in_precedence_counts(spark):
+    s = spark.createDataFrame([(1, "art", "The airline would not say why it had withdrawn the offer to the drivers in")], "id long, article_id string, summary_fr string")
+    a = spark.createDataFrame([("art", "t", STORY), ("art", "t", "Another text of the article that came later on.")], "id string, title string, content string")
+    out = answers.find_defects(s, a, spark.createDataFrame([("s", "Mondhavn Herald")], "source string, display_name string")).collect()
+    assert [(r.id, r.defect) for r in out] == [(1, "copy")]
+
+
 def test_tiles_longest_first():
     a, b = "a b c d e x f g h i".split(), "f g h i q a b c d e".split()
     assert sorted(answers.tiles(a, b)) == [(0, 5, 5), (6, 0, 4)]
