@@ -184,8 +184,8 @@ QUERIES = {
 ORACLES = {
     "dp1_prepare": f"WITH {_PREP} SELECT interest, rank, id, url, fingerprint, title, md5(body) AS body_md5, domain, CAST(len(tt) AS INTEGER) AS title_tokens, CAST(len(bt) AS INTEGER) AS body_tokens FROM q",
     "dp3_block_keys": f"WITH {_PREP}, {_KEYS} SELECT interest, rank, coalesce(array_to_string(keys, ' '), '') AS keys FROM k3",
-    "j9_block_pairs": f"WITH {_PREP}, {_KEYS}, x AS (SELECT interest, rank, unnest(keys) AS key FROM k3) SELECT a.interest, a.rank AS a, b.rank AS b, count(*) AS votes FROM x a JOIN x b ON a.interest = b.interest AND a.key = b.key AND a.rank < b.rank WHERE a.key LIKE 't:%' OR a.key LIKE 'd:%' GROUP BY ALL HAVING count(*) >= 3",
-    "jaccard_title_tokens": f"WITH {_PREP}, d AS (SELECT interest, rank, list_distinct(tt) AS w FROM q) SELECT a.interest, a.rank AS a, b.rank AS b, round(CASE WHEN len(a.w) = 0 OR len(b.w) = 0 THEN 0 ELSE len(list_intersect(a.w, b.w)) / len(list_distinct(list_concat(a.w, b.w))) END, 6) AS jaccard FROM d a JOIN d b ON a.interest = b.interest AND b.rank = a.rank + 1",
+    "j9_block_pairs": f"WITH {_PREP}, {_KEYS}, x AS (SELECT interest, rank, unnest(keys) AS key FROM k3) SELECT a.interest, a.rank AS a, b.rank AS b, count(*) AS votes FROM x a JOIN x b ON a.interest = b.interest AND a.key = b.key AND a.rank < b.rank GROUP BY ALL",
+    "jaccard_title_tokens": f"WITH {_PREP}, {_KEYS}, x AS (SELECT interest, rank, unnest(keys) AS key FROM k3), b AS (SELECT DISTINCT x.interest, x.rank AS a, y.rank AS b FROM x JOIN x y ON x.interest = y.interest AND x.key = y.key AND x.rank < y.rank), d AS (SELECT interest, rank, list_distinct(tt) AS w FROM q) SELECT b.interest, a, b, round(CASE WHEN len(m.w) = 0 OR len(n.w) = 0 THEN 0 ELSE len(list_intersect(m.w, n.w)) / len(list_distinct(list_concat(m.w, n.w))) END, 6) AS jaccard FROM b JOIN d m ON m.interest = b.interest AND m.rank = a JOIN d n ON n.interest = b.interest AND n.rank = b",
     "w2_first_by_fingerprint": f"WITH {LATEST} SELECT min(id) AS id, lower(fingerprint) AS fingerprint FROM a WHERE fingerprint IS NOT NULL GROUP BY lower(fingerprint)",
     "w2_first_by_url": f"WITH {LATEST} SELECT min(id) AS id, key FROM (SELECT id, coalesce(nullif({nurl('url')}, ''), id) AS key FROM a) GROUP BY key",
     "j2_hydrate": f"WITH {LATEST}, u AS (SELECT {nurl('url')} AS aurl, arg_min(lang, id) AS url_lang FROM a GROUP BY 1 HAVING {nurl('url')} <> ''), {_PREP} SELECT p.interest, p.rank, p.id, coalesce(a.lang, url_lang, 'none') AS lang, CASE WHEN a.id IS NOT NULL THEN 'id' WHEN u.aurl IS NOT NULL THEN 'url' ELSE 'none' END AS via FROM p LEFT JOIN a ON a.id = p.id LEFT JOIN u ON u.aurl = p.url".replace("arg_min(lang, id)", "arg_min_null(lang, id)").replace("GROUP BY 1 HAVING", "GROUP BY 1 HAVING"),

@@ -138,9 +138,7 @@ def s16_expansions(spark, sf_dir):
 
 
 def g7_clean_summary(spark, sf_dir):
-    s = F.regexp_replace(F.coalesce("summary_fr", F.lit("")), r"(?is)<think>.*?</think>", "")
-    s = t.strip(F.regexp_replace(t.strip(s), r"(?i)^(?:summary|abstract)\s*[:\-–]\s*", ""))
-    return summaries(spark, sf_dir).select("id", F.md5(F.array_join(F.filter(F.transform(F.split(s, "\n"), lambda x: t.strip(x)), lambda x: x != ""), " ")).alias("clean_md5"))
+    return summaries(spark, sf_dir).select("id", F.md5(writing.cleaned_summary(F.col("summary_fr"))).alias("clean_md5"))
 
 
 def p16_usable(spark, sf_dir):
@@ -196,8 +194,21 @@ _EV = f"""{_HITN}, bi AS (SELECT id, min(struct_pack(rank, interest)) AS x FROM
 e AS (SELECT item_id, list_transform(coalesce(expected_interests, []), lambda y: lower(trim(y))) AS ex, coalesce(rank_target_max, 20) AS tg, coalesce(bi.x, bu.x) AS hit FROM eval_articles LEFT JOIN bi ON bi.id = article_id LEFT JOIN bu ON bu.u = {nurl('url')}),
 r AS (SELECT item_id, coalesce(ex[1], '') AS first_expected, hit IS NOT NULL AS found, coalesce(hit.interest, '') AS found_interest, CAST(coalesce(hit.rank, 0) AS INTEGER) AS found_rank, coalesce(list_contains(ex, lower(trim(hit.interest))), false) AS ok, tg FROM e),
 z AS (SELECT item_id, first_expected, found, found_interest, found_rank, ok, CASE WHEN NOT ok THEN 0.0::DOUBLE WHEN found_rank <= 0 THEN 0 WHEN found_rank <= least(3, tg) THEN 1 WHEN found_rank <= least(10, tg) THEN 0.7 WHEN found_rank <= tg THEN 0.4 ELSE 0.1 END AS rank_points FROM r)"""
-_CL = strip(f"regexp_replace({strip(chr(114)+'egexp_replace(coalesce(summary_fr,'+chr(39)*2+'), '+chr(39)+'(?is)<think>.*?</think>'+chr(39)+', '+chr(39)*2+', '+chr(39)+'g'+chr(39)+')')}, '(?i)^(?:summary|abstract)\\s*[:\\-–]\\s*', '')")
-_CONT = f"(len(list_filter({list(writing.MARKERS)!r}, lambda m: contains(lower(coalesce(summary_fr,'')), m))) > 0 OR len(regexp_extract_all(coalesce(summary_fr,''), '(?m)^\\s*(?:[-*•]|[0-9]+[.)])\\s+\\S')) >= 3 OR regexp_matches(coalesce(summary_fr,''), '(?m)^\\s*[-*•]\\s'))"
+# The statements below spell the fixed phrases out, so a wrong constant in the code shows.
+_LINES = r"'\r\n|[\n\x0B\f\r\x{85}\x{2028}\x{2029}]'"
+_OPENING = "CASE WHEN starts_with(lower(x), 'OPENING') AND contains(x, '.') THEN " + strip(r"regexp_replace(x, '(?s)^[^.]*\.', '')") + " ELSE x END"
+_CLEAN = rf"""c0 AS (SELECT id, summary_fr, {strip("coalesce(summary_fr, '')")} AS x FROM article_summaries),
+c1 AS (SELECT id, summary_fr, {_OPENING.replace('OPENING', 'according to')} AS x FROM c0), c2 AS (SELECT id, summary_fr, {_OPENING.replace('OPENING', 'based on')} AS x FROM c1), c3 AS (SELECT id, summary_fr, {_OPENING.replace('OPENING', 'here is')} AS x FROM c2),
+c4 AS (SELECT id, summary_fr, {_OPENING.replace('OPENING', 'this article')} AS x FROM c3), c5 AS (SELECT id, summary_fr, {_OPENING.replace('OPENING', 'i have analyzed')} AS x FROM c4),
+cl AS (SELECT id, summary_fr, list_filter(list_transform(string_split_regex(x, {_LINES}), lambda y: {strip('y')}), lambda z: z <> '') AS l FROM c5),
+cs AS (SELECT id, summary_fr, {strip(r"array_to_string(list_concat([" + strip(r"regexp_replace(l[1], '(?i)^(?:summary|résumé|resume)\s*:\s*', '')") + r"], l[2:]), ' ')")} AS clean FROM cl WHERE len(l) > 0 UNION ALL SELECT id, summary_fr, '' FROM cl WHERE len(l) = 0)"""
+_MARKED = """len(list_filter(['constraint checklist', 'confidence score', 'drafting the title', 'drafting the summary', 'input data:', 'output plain text only', 'first line only', 'second line onward', 'no json', 'no bullet points',
+'do not reveal reasoning', 'i should use a clean english news title', 'key points from text'], lambda m: contains(lower({0}), m))) > 0"""
+_THOUGHT = strip(r"regexp_replace(regexp_replace(coalesce(summary_fr, ''), '(?is)<think>.*?</think>', '', 'g'), '(?i)^```(?:json)?\s*|\s*```$', '', 'g')")
+_USABLE = rf"""WITH {_CLEAN}, an AS (SELECT id, clean, {_THOUGHT} AS answer, {strip("coalesce(summary_fr, '')")} AS body FROM cs),
+it AS (SELECT *, len(list_filter(string_split_regex(answer, {_LINES}), lambda y: regexp_matches({strip('y')}, '^(?:[-*•]+|[0-9]+[.)])\s+'))) AS items FROM an),
+ck AS (SELECT *, ({_MARKED.format('answer')} OR items >= 3) AS bad, ({_MARKED.format('body')} OR (items >= 1 AND (contains(body, '*') OR contains(body, '- ') OR contains(body, '1.')))) AS bad_body, ({_MARKED.format('clean')} OR (items >= 1 AND (contains(clean, '*') OR contains(clean, '- ') OR contains(clean, '1.')))) AS bad_clean FROM it)
+SELECT id, bad OR bad_body AS contaminated, length(clean) >= 350 AND NOT (bad OR bad_clean) AS usable FROM ck"""
 
 QUERIES = {
     "v1_feed_interests": v1_interests, "v2_feed_stories": v2_stories, "v4_latest_writing": v4_latest_writing, "v5_rank_points": v5_rank_points, "v6_eval_items": v6_eval_items, "a11_eval_global": a11_eval_global,
@@ -226,8 +237,8 @@ ORACLES = {
     "t8_interest_page": "SELECT interest, CAST(page AS INTEGER) AS page FROM (SELECT interest, row_number() OVER (ORDER BY interest) AS page FROM (SELECT DISTINCT lower(interest) AS interest FROM retrieval_hits)) WHERE page BETWEEN 3 AND 7",
     "j12_interest_aliases": "SELECT h.interest, coalesce(canonical, h.interest) AS canonical FROM (SELECT DISTINCT interest FROM retrieval_hits) h LEFT JOIN (SELECT lower(trim(interest)) AS key, min(interest) AS canonical FROM interest_expansions WHERE interest IS NOT NULL GROUP BY 1) e ON lower(trim(h.interest)) = key",
     "s16_expansions": f"WITH u AS (SELECT interest, unnest(range(0, len(items))) AS pos, unnest(items) AS raw_item FROM interest_expansions WHERE interest IS NOT NULL), i AS (SELECT interest, pos, {strip('raw_item')} AS item FROM u), f AS (SELECT interest, item, min(pos) AS pos FROM i WHERE item <> '' GROUP BY 1, 2) SELECT interest, string_agg(item, '|' ORDER BY pos) AS items FROM f GROUP BY interest",
-    "g7_clean_summary": f"SELECT id, md5(coalesce(array_to_string(list_filter(list_transform(string_split({_CL}, chr(10)), lambda x: {strip('x')}), lambda y: y <> ''), ' '), '')) AS clean_md5 FROM article_summaries",
-    "g_usable_summary": f"SELECT id, {_CONT} AS contaminated, length({strip(chr(99)+'oalesce(summary_fr,'+chr(39)*2+')')}) >= 350 AND NOT {_CONT} AS usable FROM article_summaries",
+    "g7_clean_summary": f"WITH {_CLEAN} SELECT id, md5(clean) AS clean_md5 FROM cs",
+    "g_usable_summary": _USABLE,
     "g5_raw_json": "SELECT id, coalesce(array_to_string(list_sort(json_keys(raw_llm)), ','), 'none') AS keys FROM article_summaries",
     "a2_cache_metadata": "SELECT count(*) AS n, max(epoch_us(updated_at)) AS latest_us FROM articles",
     "a13_interest_counts": "SELECT interest, count(*) AS n, max(writing_run_id) AS last FROM article_summaries GROUP BY interest",

@@ -100,15 +100,38 @@ def test_diversity_and_denoise():
 
 def test_writing_validators(spark):
     assert writing.clean_title('```\nTitle: "Harbour sold"\n```') == "Harbour sold"
-    assert writing.clean_summary("<think>x</think>Here is the text. The city paid.\nMore.") == "The city paid. More."
+    assert writing.clean_summary(writing.strip_thinking("<think>x</think>Here is the text. The city paid.\nMore.")) == "The city paid. More."
     assert writing.parse_answer('x {"title": "T", "summary": "S.", "points": ["a"]} y', "F") == {"title": "F", "summary": "S.", "points": ["a"], "notes": ""}
     assert writing.usable_summary("a" * 350, "") and not writing.usable_summary("a" * 349, "")
     assert writing.usable_title("x" * 8, "", "other", "fr") and not writing.usable_title("x" * 7, "", "o", "en") and not writing.usable_title("x" * 161, "", "o", "en")
     assert writing.usable_title("Same Title", "", "same title", "en") and not writing.usable_title("Été title", "", "ete title", "fr")
     assert writing.contaminated("- a b\n- c d\n- e f") and not writing.contaminated("plain text")
     assert writing.parse_items("1. Solar power\n- grid\nkeyword\nGrid\na b", 5) == ["solar power", "grid"]
-    df = spark.createDataFrame([("a" * 400, "fine"), ("a" * 400, "has a CHECKLIST"), (None, None)], "s string, raw string")
+    df = spark.createDataFrame([("a" * 400, "fine"), ("a" * 400, "has a constraint CHECKLIST"), (None, None)], "s string, raw string")
     assert [r[0] for r in df.select(writing.is_usable_summary(F.col("s"), F.col("raw"))).collect()] == [True, False, False]
+    texts = ["Summary: one\n two ", "According to them. Based on it. Rest. End", "based on nothing", "<think>a. b</think>Here is x. y", "```json\n{}\n```", "* a\n* b\n* c", "1. a\n text", "Résumé : été\r\n\r\nfin", "", None, "No JSON, please"]
+    rows = spark.createDataFrame([(x,) for x in texts], "s string").select("s", writing.cleaned_summary(F.col("s")).alias("c"), writing.is_contaminated(F.col("s"), F.col("s")).alias("k"), writing.thinking_stripped(F.col("s")).alias("t")).collect()
+    for r in rows:
+        assert r.c == writing.clean_summary(r.s) and r.k == writing.contaminated(r.s, summary=r.s or "") and r.t == writing.strip_thinking(r.s), r
+    assert [r.k for r in rows[4:8]] == [False, True, True, False] and rows[-1].k
+
+
+def test_free_form_answers():
+    parse = writing.parse_answer
+    assert parse("Title: A headline Summary: The text.", "F") == {"title": "A headline", "summary": "The text.", "points": [], "notes": ""}
+    assert parse("# A headline\n\nSummary: The text.\nMore.", "F")["summary"] == "The text. More."
+    assert parse('{"articles": [{"summary_fr": "S.", "points_cles": ["a", " "]}]}', "F") == {"title": "F", "summary": "S.", "points": ["a"], "notes": ""}
+    assert parse("word " * 40, "F")["title"] == "" and parse("", "F")["notes"] == "missing: title, summary" and parse("Only a title", "F")["notes"] == "missing: summary"
+
+
+def test_segments_of_pages():
+    assert rerank.segment_score("Home and tags of the day for all", set()) == -4.0 and rerank.segment_score("too short a line", set()) == -5.0
+    assert rerank.segment_score("THE CITY SOLD THE HARBOUR TODAY", set()) == -3.0
+    assert abs(rerank.segment_score("The city announced in 2024 that its harbour was sold for millions", {"harbour"}) - (0.7 + 0.7 + 0.9 + 0.4 + 0.4)) < 1e-9
+    assert rerank.repair_words("wo-\nrd aB stay up to date with notifications x") == "word a B x"
+    assert rerank.segments("One thing: two - three | four · fiveSix") == ["One thing:", "two", "three", "four", "five", "Six"]
+    assert rerank.pair_text("T", ["short"]) == "TITLE: T" and rerank.pair_text("T", ["b" * 700], denoise=False, summary="S") == f"TITLE: T\n\nSUMMARY: S\n\nBODY: {'b' * 600}"
+    assert rerank.pair_text("", [], url="u") == "URL: u"
 
 
 def test_second_pass_and_status():
