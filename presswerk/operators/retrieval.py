@@ -1,7 +1,7 @@
 """Lexical and dense retrieval and their fusion, for all interests in one plan.
 
-Queries are a small table; postings are filtered by its terms before anything is shuffled, vectors are scored in
-blocks against the whole table of queries, and only ranked candidates travel further.
+Queries are a small table of a checked size; only postings of its terms are made, vectors are scored in blocks against
+the whole table of queries, and only ranked candidates travel further.
 """
 
 from __future__ import annotations
@@ -9,14 +9,14 @@ from __future__ import annotations
 import dataclasses
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from presswerk.functions.similarity import dot
 from presswerk.functions.text import norm_text, unicode_tokens
-from presswerk.session import broadcast_if_small, cut_lineage
+from presswerk.session import broadcast_if_small, cut_lineage, spread
 
 
 @dataclasses.dataclass(frozen=True)
@@ -44,31 +44,129 @@ class RetrievalConfig:
 
 
 K1, B, EPSILON = 1.5, 0.75, 0.25
+#: Bounds of one run: query specs and their different terms; bytes of a term at most, by which a broadcast is checked.
+MAX_SPECS, MAX_TERMS, TERM_BYTES = 20_000, 20_000, 400
+#: Scores that a task holds at a time.
+BLOCK_CELLS = 1 << 22
 
 
-def bm25_statistics(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """From (id, text): postings (id, term, tf, dl), vocabulary (term, df, idf) and one row (n, avgdl)."""
+def _raw_idf(n: Column, df: Column) -> Column:
+    return F.log(n - df + 0.5) - F.log(df + 0.5)
+
+
+def corpus_size(docs: DataFrame) -> DataFrame:
+    """One row (n, avgdl) of docs (id, text)."""
+    return docs.select(F.size(unicode_tokens(F.col("text"))).alias("dl")).agg(F.count("*").alias("n"), F.avg("dl").alias("avgdl"))
+
+
+def _raw_vocabulary(docs: DataFrame, size: DataFrame) -> DataFrame:
+    """(term, df, raw) of every term; a document's terms are told apart inside its row, so only counts are shuffled."""
+    terms = docs.select(F.explode(F.array_distinct(unicode_tokens(F.col("text")))).alias("term")).groupBy("term").agg(F.count("*").alias("df"))
+    return terms.crossJoin(F.broadcast(size)).select("term", "df", _raw_idf(F.col("n"), F.col("df")).alias("raw"))  # one row
+
+
+def _floored(raw: DataFrame, mean: DataFrame) -> DataFrame:
+    """(term, df, idf): a negative value is replaced by a share of the mean over the vocabulary."""
+    return raw.crossJoin(F.broadcast(mean)).select("term", "df", F.when(F.col("raw") < 0, F.lit(EPSILON) * F.col("mean")).otherwise(F.col("raw")).alias("idf"))  # one row
+
+
+def vocabulary(docs: DataFrame, size: DataFrame) -> DataFrame:
+    """(term, df, idf) of every term of docs (id, text)."""
+    raw = _raw_vocabulary(docs, size)
+    return _floored(raw, raw.agg(F.avg("raw").alias("mean")))
+
+
+def term_postings(docs: DataFrame, terms: DataFrame | None = None) -> DataFrame:
+    """Postings (id, term, tf, dl) of docs (id, text); with `terms` only theirs, filtered before anything is shuffled."""
     words = docs.select("id", unicode_tokens(F.col("text")).alias("w"))
-    lengths = words.select("id", F.size("w").alias("dl"), "w")
-    postings = lengths.select("id", "dl", F.explode("w").alias("term")).groupBy("id", "dl", "term").agg(F.count("*").alias("tf"))
-    size = lengths.agg(F.count("*").alias("n"), F.avg("dl").alias("avgdl"))
-    df = postings.groupBy("term").agg(F.count("*").alias("df"))
-    raw = df.crossJoin(F.broadcast(size)).select("term", "df", (F.log(F.col("n") - F.col("df") + 0.5) - F.log(F.col("df") + 0.5)).alias("raw"))  # one row
-    mean = raw.agg(F.avg("raw").alias("mean"))
-    vocabulary = raw.crossJoin(F.broadcast(mean)).select("term", "df", F.when(F.col("raw") < 0, F.lit(EPSILON) * F.col("mean")).otherwise(F.col("raw")).alias("idf"))
-    return postings, vocabulary, size
+    words = words.select("id", F.size("w").alias("dl"), F.explode("w").alias("term"))
+    if terms is not None:
+        words = words.join(terms, "term", "left_semi")
+    return words.groupBy("id", "dl", "term").agg(F.count("*").alias("tf"))
 
 
-def bm25_scores(docs: DataFrame, queries: DataFrame) -> DataFrame:
-    """(q, id, score) with positive scores, from docs (id, text) and queries (q, text); query words count as often as they stand."""
-    postings, vocabulary, size = bm25_statistics(docs)
-    terms = queries.select("q", F.explode(unicode_tokens(F.col("text"))).alias("term")).groupBy("q", "term").agg(F.count("*").alias("qtf"))
-    weights = terms.join(vocabulary, "term").select("q", "term", (F.col("qtf") * F.col("idf")).alias("weight"))
+def query_terms(queries: DataFrame) -> DataFrame:
+    """(q, term, qtf) of queries (q, text), written once; a run's queries are few."""
+    return cut_lineage(queries.select("q", F.explode(unicode_tokens(F.col("text"))).alias("term")).groupBy("q", "term").agg(F.count("*").alias("qtf")), "query-terms")
+
+
+def weigh(postings: DataFrame, weights: DataFrame, size: DataFrame) -> DataFrame:
+    """(q, id, score), positive only, from postings, weights (q, term, weight) and the corpus size."""
     hits = postings.join(weights, "term").crossJoin(F.broadcast(size))  # one row
     part = F.col("weight") * F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * F.col("dl") / F.col("avgdl")))
     return hits.groupBy("q", "id").agg(F.sum(part).alias("score")).where("score > 0")
 
 
+def bm25_scores(docs: DataFrame, queries: DataFrame) -> DataFrame:
+    """(q, id, score) with positive scores, from docs (id, text) and queries (q, text); query words count as often as they stand.
+
+    Only postings of the queries' terms are made, and their document frequencies come from these. The whole vocabulary
+    is counted only if a term stands in more than half of the documents, as its idf is then a share of the mean one.
+    """
+    docs, terms = spread(docs), query_terms(queries)
+    wanted = terms.select("term").distinct()
+    size = cut_lineage(corpus_size(docs), "corpus-size")
+    postings = cut_lineage(term_postings(docs, broadcast_if_small(wanted, wanted.count(), TERM_BYTES)), "postings")
+    known = postings.groupBy("term").agg(F.count("*").alias("df")).crossJoin(F.broadcast(size)).select("term", "df", _raw_idf(F.col("n"), F.col("df")).alias("raw"))  # one row
+    if known.where("raw < 0").isEmpty():
+        known = known.withColumnRenamed("raw", "idf")
+    else:
+        known = _floored(known, _raw_vocabulary(docs, size).agg(F.avg("raw").alias("mean")))
+    return weigh(postings, terms.join(known, "term").select("q", "term", (F.col("qtf") * F.col("idf")).alias("weight")), size)
+
+
+class Bm25Index:
+    """A written index: postings in buckets of terms, vocabulary and size; a query reads the buckets of its terms only."""
+
+    BUCKETS = 256
+
+    def __init__(self, spark, path: str):
+        self.spark, self.path = spark, path.rstrip("/")
+
+    @staticmethod
+    def signature(docs: DataFrame, fingerprint_col: str | None = None) -> str:
+        """A hash over ids (and fingerprints) that does not depend on their order."""
+        key = F.xxhash64("id", fingerprint_col) if fingerprint_col else F.xxhash64("id")
+        n, total, mixed = docs.agg(F.count("*"), F.coalesce(F.sum(F.pmod(key, F.lit(1 << 31))), F.lit(0)), F.coalesce(F.bit_xor(key), F.lit(0))).first()
+        return f"{n}-{total}-{mixed}"
+
+    def _table(self, name: str) -> DataFrame:
+        return self.spark.read.parquet(f"{self.path}/{name}")
+
+    def build(self, docs: DataFrame, signature: str = "") -> Bm25Index:
+        """Write the index of docs (id, text); the signature comes last, so a build that broke off is not taken for one."""
+        docs, bucket = spread(docs), F.pmod(F.xxhash64("term"), F.lit(self.BUCKETS)).cast("int")
+        corpus_size(docs).write.mode("overwrite").parquet(f"{self.path}/size")
+        vocabulary(docs, self._table("size")).withColumn("bucket", bucket).repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(f"{self.path}/vocabulary")
+        # Frequent terms fill their bucket; several tasks share one, and rows are in order of terms for the scan's filter.
+        spread_out = term_postings(docs).withColumn("bucket", bucket).repartition("bucket", F.pmod(F.xxhash64("id"), F.lit(8)))
+        spread_out.sortWithinPartitions("bucket", "term").write.mode("overwrite").partitionBy("bucket").parquet(f"{self.path}/postings")
+        self.spark.createDataFrame([(signature,)], "signature string").coalesce(1).write.mode("overwrite").parquet(f"{self.path}/signature")
+        return self
+
+    def is_current(self, signature: str) -> bool:
+        try:
+            return self._table("signature").first()[0] == signature
+        except Exception:  # noqa: BLE001 - no index there, or half of one
+            return False
+
+    def load_or_build(self, docs: DataFrame, fingerprint_col: str | None = None) -> Bm25Index:
+        now = self.signature(docs, fingerprint_col)
+        return self if self.is_current(now) else self.build(docs.select("id", "text"), now)
+
+    def scores(self, queries: DataFrame) -> DataFrame:
+        """As `bm25_scores`, from the buckets of the queries' terms."""
+        terms = query_terms(queries)
+        wanted = [r[0] for r in terms.select("term").distinct().limit(MAX_TERMS + 1).collect()]
+        if len(wanted) > MAX_TERMS:
+            raise ValueError(f"a run has at most {MAX_TERMS} different query terms")
+        buckets = [r[0] for r in terms.select(F.pmod(F.xxhash64("term"), F.lit(self.BUCKETS)).cast("int")).distinct().collect()]  # at most BUCKETS
+        inside = F.col("bucket").isin(buckets) & F.col("term").isin(wanted)
+        known = self._table("vocabulary").where(inside).select("term", "idf")
+        weights = terms.join(known, "term").select("q", "term", (F.col("qtf") * F.col("idf")).alias("weight"))
+        return weigh(self._table("postings").where(inside).drop("bucket"), weights, self._table("size"))
+
+
 def rank_within(df: DataFrame, keys: list[str], score: str, id_col: str, k: int | None = None, name: str = "rank") -> DataFrame:
     """Rank by the rounded score, ties by id; the limit prunes within partitions before the shuffle."""
     w = Window.partitionBy(*keys).orderBy(F.round(score, 8).desc(), F.col(id_col))
@@ -76,35 +174,53 @@ def rank_within(df: DataFrame, keys: list[str], score: str, id_col: str, k: int
     return out if k is None else out.where(F.col(name) <= k)
 
 
+def bounded_specs(specs: DataFrame, *columns: str) -> list:
+    """The rows of a run's query specs, which are few for each interest; too many of them are an error."""
+    rows = specs.select(*columns).limit(MAX_SPECS + 1).collect()
+    if len(rows) > MAX_SPECS:
+        raise ValueError(f"a run has at most {MAX_SPECS} query specs")
+    return rows
+
+
 def dense_topk(vectors: DataFrame, specs: DataFrame, k: int, id_col: str = "id", vec_col: str = "vec") -> DataFrame:
     """(q, id, score, rank): the k most similar vectors for each row (q, vec) of the small table `specs`.
 
-    Every block of vectors is multiplied with all queries and keeps its best k, then the blocks' bests are merged.
+    Blocks of vectors are multiplied with all queries; a partition keeps its best k of a query and gives them once, at
+    its end, so what is shuffled does not grow with the number of batches. Null vectors take no part.
     """
-    rows = specs.select("q", "vec").collect()  # queries of one run, not documents
-    if not rows:
+    rows = bounded_specs(specs, "q", "vec")
+    kind = dict(vectors.dtypes)[id_col]
+    if not rows or k <= 0:
         return vectors.select(F.lit("").alias("q"), F.col(id_col).alias("id"), F.lit(0.0).alias("score"), F.lit(0).alias("rank")).limit(0)
     names = [r[0] for r in rows]
     matrix = np.array([r[1] for r in rows], dtype=np.float64)
     matrix /= np.linalg.norm(matrix, axis=1, keepdims=True) + 1e-12
-
-    def block(batches):
-        for pdf in batches:
-            if not len(pdf):
-                continue
-            data = np.array(pdf["vec"].tolist(), dtype=np.float64)
-            data /= np.linalg.norm(data, axis=1, keepdims=True) + 1e-12
-            scores = np.round(data @ matrix.T, 8)
-            ids = pdf["id"].to_numpy()
-            out = []
-            for j, q in enumerate(names):
-                order = np.lexsort((ids, -scores[:, j]))[:k]
-                out.append(pd.DataFrame({"q": q, "id": ids[order], "score": scores[order, j]}))
-            yield pd.concat(out)
-
-    kind = dict(vectors.dtypes)[id_col]
-    found = vectors.where(F.col(vec_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(vec_col).alias("vec")).mapInPandas(block, f"q string, id {kind}, score double")
-    return rank_within(found, ["q"], "score", "id", k)
+    id_type = pa.string() if kind == "string" else pa.int64()
+
+    def best(batches):
+        kept: list[tuple[np.ndarray, np.ndarray]] = [(np.empty(0), np.empty(0, dtype=np.int64))] * len(names)
+        step = max(1, BLOCK_CELLS // max(len(names), matrix.shape[1]))
+        for batch in batches:
+            for at in range(0, batch.num_rows, step):
+                part = batch.slice(at, step)
+                data = part.column(1).flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(part.num_rows, matrix.shape[1])
+                data /= np.linalg.norm(data, axis=1, keepdims=True) + 1e-12
+                scores, ids = np.round(data @ matrix.T, 8), np.array(part.column(0).to_pylist())
+                for j in range(len(names)):
+                    old, names_old = kept[j]
+                    near = np.flatnonzero(scores[:, j] >= old[-1]) if len(old) == k else np.arange(len(ids))
+                    if len(near):
+                        both, all_ids = np.concatenate([old, scores[near, j]]), np.concatenate([names_old, ids[near]]) if len(old) else ids[near]
+                        order = np.lexsort((all_ids, -both))[:k]
+                        kept[j] = both[order], all_ids[order]
+        out = [(q, ids, scores) for q, (scores, ids) in zip(names, kept, strict=True) if len(scores)]
+        if out:
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([q for q, ids, _ in out for _ in ids], pa.string()), pa.array(np.concatenate([x[1] for x in out]).tolist(), id_type), pa.array(np.concatenate([x[2] for x in out]))], names=["q", "id", "score"]
+            )
+
+    found = vectors.where(F.col(vec_col).isNotNull()).select(F.col(id_col).cast("string" if kind == "string" else "long").alias("id"), F.col(vec_col).alias("vec"))
+    return rank_within(found.mapInArrow(best, f"q string, id {'string' if kind == 'string' else 'long'}, score double"), ["q"], "score", "id", k)
 
 
 def rrf(hits: DataFrame, keys: list[str], weight: Column | float = 1.0, rank_col: str = "rank", k: int = 60) -> DataFrame:
@@ -140,7 +256,8 @@ def spec_weight(anchor: Column, vec: Column) -> Column:
 
 def similarity_features(candidates: DataFrame, vectors: DataFrame, specs: DataFrame) -> DataFrame:
     """(interest, id, dense_max, dense_cov): largest, and mean of the two largest, weighted similarities, held in [0, 1]."""
-    pairs = candidates.select("interest", "id").join(vectors, "id").join(broadcast_if_small(specs.select("interest", "q_pos", "weight", F.col("vec").alias("q_vec")), 2000, 2000), "interest")
+    queries = specs.select("interest", "q_pos", "weight", F.col("vec").alias("q_vec"))
+    pairs = candidates.select("interest", "id").join(vectors, "id").join(queries, "interest")  # the optimizer knows the size of both sides
     sims = pairs.select("interest", "id", (F.col("weight") * dot(F.col("vec"), F.col("q_vec"))).alias("s")).groupBy("interest", "id").agg(F.sort_array(F.collect_list("s"), False).alias("s"))  # one value for each spec of an interest
     hold = lambda c: F.least(F.greatest(c, F.lit(0.0)), F.lit(1.0))
     return sims.select("interest", "id", hold(F.col("s")[0]).alias("dense_max"), hold(F.when(F.size("s") > 1, (F.col("s")[0] + F.col("s")[1]) / 2).otherwise(F.col("s")[0])).alias("dense_cov"))
@@ -160,9 +277,9 @@ def final_score(rrf_norm: Column, dense_max: Column, dense_cov: Column, lex_norm
 def retrieve(docs: DataFrame, vectors: DataFrame, specs: DataFrame, config: RetrievalConfig, langs: list[str] | None = None) -> DataFrame:
     """(interest, rank, id, score) over docs (id, title, body, lang), vectors (id, vec) and merged specs, in one plan."""
     specs = specs.withColumn("q", F.concat_ws("#", "interest", F.col("q_pos").cast("string"))).select("q", "interest", "q_pos", "text", "weight", "kind", F.col("vec").cast("array<double>").alias("vec"))
-    # The specs of a run are a few for each interest; as a local table they are planned once, not in every branch.
-    specs = specs.sparkSession.createDataFrame(specs.collect(), specs.schema)
-    small = F.broadcast(specs.select("q", "interest", "weight"))  # the specs of one run: a few for each interest
+    # As a local table of a checked size they are planned once, not in every branch.
+    specs = specs.sparkSession.createDataFrame(bounded_specs(specs, *specs.columns), specs.schema)
+    small = F.broadcast(specs.select("q", "interest", "weight"))  # at most MAX_SPECS rows
     dense = []
     for kind, k in (("anchor", config.dense_per_anchor), ("expansion", config.dense_per_expansion)):
         if k > 0:
@@ -175,9 +292,8 @@ def retrieve(docs: DataFrame, vectors: DataFrame, specs: DataFrame, config: Retr
         scored = bm25_scores(docs.select("id", F.col(field).alias("text")), specs.select("q", "text"))
         lexical.append(rank_within(scored, ["q"], "score", "id", k))
     lex = cut_lineage(lexical[0].unionByName(lexical[1]), "lexical-hits").join(small, "q")
-    lex_rrf = rrf(lex, ["interest", "id"], F.col("weight"), k=config.rrf_k).withColumnRenamed("rrf", "lex_rrf")
-    lex_best = lex.groupBy("interest", "id").agg(F.max(F.col("weight") * F.col("score")).alias("lex_best"))
-    both = dense_rrf.join(lex_rrf, ["interest", "id"], "full").join(lex_best, ["interest", "id"], "left").na.fill(0.0, ["dense_rrf", "lex_rrf", "lex_best"])
+    lexical_rrf = lex.groupBy("interest", "id").agg(F.sum(F.col("weight") / (config.rrf_k + F.col("rank"))).alias("lex_rrf"), F.max(F.col("weight") * F.col("score")).alias("lex_best"))
+    both = dense_rrf.join(lexical_rrf, ["interest", "id"], "full").na.fill(0.0, ["dense_rrf", "lex_rrf", "lex_best"])
     fused = both.withColumn("fused", 0.65 * minmax("dense_rrf", ["interest"]) + 0.35 * minmax("lex_rrf", ["interest"]))
     capped = rank_within(fused, ["interest"], "fused", "id", max(1, config.candidate_cap), "place")
     kept = capped.join(docs.select("id", "lang"), "id")

@@ -18,8 +18,10 @@ def hits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return h.select(F.concat_ws("#", F.col("retrieval_run_id").cast("string"), F.lower("interest")).alias("interest"), "rank", "score", F.col("article_id").alias("id"), F.col("payload.url").alias("url"), F.col("payload.fingerprint").alias("fingerprint"), F.col("payload.title").alias("title"), F.col("payload.canonical_text").alias("body"), F.col("payload.domain").alias("domain"))
 
 
-def latest(spark, sf_dir, table="articles"):
+def latest(spark, sf_dir, table="articles", wanted: DataFrame | None = None):
+    """The latest delivery of each id, with `wanted` (id) of these ids only."""
     a = read_table(spark, sf_dir, table)
+    a = a if wanted is None else a.join(wanted, "id", "left_semi")
     w = Window.partitionBy("id").orderBy(F.col("updated_at").desc_nulls_last(), F.coalesce("url", F.lit("")))
     return a.withColumn("r", F.row_number().over(w)).where("r = 1").drop("r")
 
@@ -84,13 +86,12 @@ def a9_removal_reasons(spark, sf_dir):
 
 def w2_first_by_fingerprint(spark, sf_dir):
     a = latest(spark, sf_dir).where("fingerprint is not null")
-    w = Window.partitionBy(F.lower("fingerprint")).orderBy("id")
-    return a.withColumn("r", F.row_number().over(w)).where("r = 1").select("id", F.lower("fingerprint").alias("fingerprint"))
+    return a.groupBy(F.lower("fingerprint").alias("fingerprint")).agg(F.min("id").alias("id"))
 
 
 def w2_first_by_url(spark, sf_dir):
-    a = latest(spark, sf_dir).withColumn("key", F.coalesce(F.nullif(t.normal_url(F.col("url")), F.lit("")), F.col("id")))
-    return a.withColumn("r", F.row_number().over(Window.partitionBy("key").orderBy("id"))).where("r = 1").select("id", "key")
+    a = latest(spark, sf_dir).select("id", F.coalesce(F.nullif(t.normal_url(F.col("url")), F.lit("")), F.col("id")).alias("key"))
+    return a.groupBy("key").agg(F.min("id").alias("id"))
 
 
 def j2_hydrate(spark, sf_dir):
@@ -151,8 +152,8 @@ def x8_denoise(spark, sf_dir):
 
 
 def t6_pool(spark, sf_dir):
-    w = Window.partitionBy("interest").orderBy(F.round(F.coalesce("score", F.lit(0.0)), 8).desc(), "rank")
-    return hits(spark, sf_dir).withColumn("place", F.row_number().over(w)).where("place <= 5").select("interest", "id", "place")
+    h = hits(spark, sf_dir).select("interest", "id", F.col("rank").alias("dense_rank"), F.coalesce("score", F.lit(0.0)).alias("rerank_score"))
+    return rerank.rerank_pool(h, 5).select("interest", "id", "place")
 
 
 _N = norm("payload.title")

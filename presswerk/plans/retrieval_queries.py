@@ -24,13 +24,13 @@ def vectors(spark, sf_dir):
 
 
 def interest_specs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """An anchor for each label, its mean vector and the title of its first document, and the next two as expansions."""
+    """An anchor for each label, its mean vector and the title of its first document, and the next six as expansions."""
     v = vectors(spark, sf_dir)
     titled = v.join(corpus(spark, sf_dir).select("id", "title"), "id").where("title <> ''")
     mean = v.select("label", F.posexplode("vec").alias("i", "x")).groupBy("label", "i").agg(F.avg(F.col("x").cast("double")).alias("x"))
     norm = mean.groupBy("label").agg(F.sqrt(F.sum(F.col("x") * F.col("x"))).alias("n"))
     anchors = mean.join(norm, "label").groupBy("label").agg(F.array_sort(F.collect_list(F.struct("i", (F.col("x") / F.col("n")).alias("x")))).alias("a")).select("label", F.col("a.x").alias("anchor"))
-    numbered = titled.withColumn("q_pos", F.row_number().over(Window.partitionBy("label").orderBy("id"))).where("q_pos <= 3")
+    numbered = titled.withColumn("q_pos", F.row_number().over(Window.partitionBy("label").orderBy("id"))).where("q_pos <= 7")
     specs = numbered.join(anchors, "label")
     is_anchor = F.col("q_pos") == 1
     return specs.select(
@@ -48,7 +48,7 @@ am AS (SELECT label, i, avg(x) AS x FROM ev GROUP BY label, i), an AS (SELECT la
 av AS (SELECT am.label, list(x/n ORDER BY i) AS anchor FROM am JOIN an USING (label) GROUP BY am.label),
 s AS (SELECT 'topic '||label AS interest, q_pos, title AS text, CASE WHEN q_pos = 1 THEN 1.0::DOUBLE ELSE least(greatest(list_inner_product(anchor, vec), 0.15), 0.45) END AS weight,
  CASE WHEN q_pos = 1 THEN 'anchor' ELSE 'expansion' END AS kind, CASE WHEN q_pos = 1 THEN anchor ELSE vec END AS vec, 'topic '||label||'#'||q_pos AS q
- FROM (SELECT *, row_number() OVER (PARTITION BY label ORDER BY id) AS q_pos FROM t) JOIN av USING (label) WHERE q_pos <= 3)"""
+ FROM (SELECT *, row_number() OVER (PARTITION BY label ORDER BY id) AS q_pos FROM t) JOIN av USING (label) WHERE q_pos <= 7)"""
 
 
 def bm25_cte(field: str, queries: str, name: str) -> str:
@@ -72,8 +72,8 @@ def one_query(spark):
 
 
 def a6_bm25_stats(spark, sf_dir):
-    _, vocabulary, _ = r.bm25_statistics(corpus(spark, sf_dir).select("id", F.col("body").alias("text")))
-    return vocabulary.select("term", "df", F.round("idf", 6).alias("idf"))
+    docs = corpus(spark, sf_dir).select("id", F.col("body").alias("text"))
+    return r.vocabulary(docs, r.corpus_size(docs)).select("term", "df", F.round("idf", 6).alias("idf"))
 
 
 def r7_bm25_topk(field, k):
@@ -133,22 +133,22 @@ def _spec_hits(spark, sf_dir):
 
 def r8_rrf_dense(spark, sf_dir):
     s, small = _spec_hits(spark, sf_dir)
-    hits = r.dense_topk(vectors(spark, sf_dir), s.where("kind = 'anchor'"), 60).unionByName(r.dense_topk(vectors(spark, sf_dir), s.where("kind = 'expansion'"), 25))
-    return r.rrf(hits.join(small, "q"), ["interest", "id"], F.col("weight")).select("interest", "id", F.round("rrf", 8).alias("rrf"))
+    hits = r.dense_topk(vectors(spark, sf_dir), s.where("kind = 'anchor'"), 300).unionByName(r.dense_topk(vectors(spark, sf_dir), s.where("kind = 'expansion'"), 120))
+    return r.rrf(hits.join(small, "q"), ["interest", "id"], F.col("weight")).select("interest", "id", F.round("rrf", 10).alias("rrf"))
 
 
 def _lexical(spark, sf_dir):
     s, small = _spec_hits(spark, sf_dir)
     c = corpus(spark, sf_dir)
-    title = r.rank_within(r.bm25_scores(c.select("id", F.col("title").alias("text")), s.select("q", "text")), ["q"], "score", "id", 40)
-    body = r.rank_within(r.bm25_scores(c.select("id", F.col("body").alias("text")), s.select("q", "text")), ["q"], "score", "id", 60)
+    title = r.rank_within(r.bm25_scores(c.select("id", F.col("title").alias("text")), s.select("q", "text")), ["q"], "score", "id", 80)
+    body = r.rank_within(r.bm25_scores(c.select("id", F.col("body").alias("text")), s.select("q", "text")), ["q"], "score", "id", 120)
     return title.unionByName(body).join(small, "q")
 
 
 def r9_rrf_lexical(spark, sf_dir):
     lex = _lexical(spark, sf_dir)
     best = lex.groupBy("interest", "id").agg(F.max(F.col("weight") * F.col("score")).alias("best"))
-    return r.rrf(lex, ["interest", "id"], F.col("weight")).join(best, ["interest", "id"]).select("interest", "id", F.round("rrf", 8).alias("rrf"), F.round("best", 6).alias("best"))
+    return r.rrf(lex, ["interest", "id"], F.col("weight")).join(best, ["interest", "id"]).select("interest", "id", F.round("rrf", 10).alias("rrf"), F.round("best", 6).alias("best"))
 
 
 def _fused(spark, sf_dir):
@@ -160,7 +160,7 @@ def r10_fused(spark, sf_dir):
 
 
 def t4_candidate_cap(spark, sf_dir):
-    return r.rank_within(r10_fused(spark, sf_dir).withColumnRenamed("fused", "score"), ["interest"], "score", "id", 30).select("interest", "id", "rank")
+    return r.rank_within(r10_fused(spark, sf_dir).withColumnRenamed("fused", "score"), ["interest"], "score", "id", 800).select("interest", "id", "rank")
 
 
 def a7_sim_features(spark, sf_dir):
@@ -170,22 +170,21 @@ def a7_sim_features(spark, sf_dir):
 
 
 def r13_retrieve_feed(spark, sf_dir):
-    config = r.RetrievalConfig(dense_per_anchor=60, dense_per_expansion=25, title_k=40, body_k=60, candidate_cap=120, top_k=20)
-    found = r.retrieve(corpus(spark, sf_dir), vectors(spark, sf_dir).select("id", "vec"), interest_specs(spark, sf_dir), config)
+    found = r.retrieve(corpus(spark, sf_dir), vectors(spark, sf_dir).select("id", "vec"), interest_specs(spark, sf_dir), r.RetrievalConfig())
     return found.select("interest", "rank", "id", F.round("score", 6).alias("score"), F.round("dense_max", 6).alias("dense_max"), F.round("dense_cov", 6).alias("dense_cov"), F.round("lex_norm", 6).alias("lex_norm"))
 
 
 def p5_lang_filter(spark, sf_dir):
     """The retrieval with languages chosen after the candidate cap."""
-    config = r.RetrievalConfig(60, 25, 40, 60, 60, 120, 10, 0.0, 0.0)
+    config = r.RetrievalConfig(top_k=10, min_sim=0.0, min_bm25=0.0)
     return r.retrieve(corpus(spark, sf_dir), vectors(spark, sf_dir).select("id", "vec"), interest_specs(spark, sf_dir), config, ["en"]).select("interest", "rank", "id", F.round("score", 6).alias("score"))
 
 
 _ONE = f"{CORPUS}, qs AS (SELECT 'q' AS q, '{QUERY}' AS text)"
 _DENSE = """d AS (SELECT q, interest, kind, weight, v.id, round(list_cosine_similarity(v.vec, s.vec), 8) AS score FROM v, s),
 dr AS (SELECT *, row_number() OVER (PARTITION BY q ORDER BY score DESC, id) AS rank FROM d),
-dd AS (SELECT interest, id, sum(weight / (60 + rank)) AS rrf FROM dr WHERE rank <= CASE WHEN kind = 'anchor' THEN 60 ELSE 25 END GROUP BY interest, id)"""
-_LEX = f"""{bm25_cte('title', 's', 'bt')}, {bm25_cte('body', 's', 'bb')}, lr AS ({ranked('bt', '40')} UNION ALL {ranked('bb', '60')}),
+dd AS (SELECT interest, id, sum(weight / (60 + rank)) AS rrf FROM dr WHERE rank <= CASE WHEN kind = 'anchor' THEN 300 ELSE 120 END GROUP BY interest, id)"""
+_LEX = f"""{bm25_cte('title', 's', 'bt')}, {bm25_cte('body', 's', 'bb')}, lr AS ({ranked('bt', '80')} UNION ALL {ranked('bb', '120')}),
 ll AS (SELECT interest, id, sum(weight / (60 + rank)) AS rrf, max(weight * score) AS best FROM lr JOIN (SELECT q, interest, weight FROM s) USING (q) GROUP BY interest, id)"""
 
 
@@ -193,14 +192,14 @@ def _mm(x):
     return f"CASE WHEN {x} <= 0 OR max(CASE WHEN {x} > 0 THEN {x} END) OVER w IS NULL THEN 0 WHEN max(CASE WHEN {x} > 0 THEN {x} END) OVER w - min(CASE WHEN {x} > 0 THEN {x} END) OVER w <= 1e-12 THEN 1 ELSE ({x} - min(CASE WHEN {x} > 0 THEN {x} END) OVER w) / (max(CASE WHEN {x} > 0 THEN {x} END) OVER w - min(CASE WHEN {x} > 0 THEN {x} END) OVER w) END"
 
 
-_BOTH = "b AS (SELECT coalesce(dd.interest, ll.interest) AS interest, coalesce(dd.id, ll.id) AS id, round(coalesce(dd.rrf, 0), 8) AS d, round(coalesce(ll.rrf, 0), 8) AS l, coalesce(best, 0) AS best FROM dd FULL JOIN ll ON dd.interest = ll.interest AND dd.id = ll.id)"
-_EXACT = _BOTH.replace("round(coalesce(dd.rrf, 0), 8)", "coalesce(dd.rrf, 0)").replace("round(coalesce(ll.rrf, 0), 8)", "coalesce(ll.rrf, 0)")
+_BOTH = "b AS (SELECT coalesce(dd.interest, ll.interest) AS interest, coalesce(dd.id, ll.id) AS id, round(coalesce(dd.rrf, 0), 10) AS d, round(coalesce(ll.rrf, 0), 10) AS l, coalesce(best, 0) AS best FROM dd FULL JOIN ll ON dd.interest = ll.interest AND dd.id = ll.id)"
+_EXACT = _BOTH.replace("round(coalesce(dd.rrf, 0), 10)", "coalesce(dd.rrf, 0)").replace("round(coalesce(ll.rrf, 0), 10)", "coalesce(ll.rrf, 0)")
 _FUSE = f"fu AS (SELECT *, 0.65 * ({_mm('d')}) + 0.35 * ({_mm('l')}) AS fused FROM b WINDOW w AS (PARTITION BY interest))"
-_CAP30 = "cap AS (SELECT interest, id, row_number() OVER (PARTITION BY interest ORDER BY round(round(fused, 6), 8) DESC, id) AS rank FROM fu QUALIFY row_number() OVER (PARTITION BY interest ORDER BY round(round(fused, 6), 8) DESC, id) <= 30)"
+_CAP = "cap AS (SELECT interest, id, row_number() OVER (PARTITION BY interest ORDER BY round(round(fused, 6), 8) DESC, id) AS rank FROM fu QUALIFY row_number() OVER (PARTITION BY interest ORDER BY round(round(fused, 6), 8) DESC, id) <= 800)"
 _FEAT = "fe AS (SELECT interest, id, least(greatest(x[1], 0), 1) AS dense_max, least(greatest(CASE WHEN len(x) > 1 THEN (x[1] + x[2]) / 2 ELSE x[1] END, 0), 1) AS dense_cov FROM (SELECT k.interest, k.id, list_reverse_sort(list(s.weight * list_inner_product(v.vec, s.vec))) AS x FROM cap k JOIN v ON v.id = k.id JOIN s ON s.interest = k.interest GROUP BY k.interest, k.id))"
 _BASE = f"WITH {CORPUS}, {SPECS}"
 _FEED = f"""{_BASE}, {_DENSE}, {_LEX}, {_EXACT}, {_FUSE},
-cap AS (SELECT *, row_number() OVER (PARTITION BY interest ORDER BY round(fused, 8) DESC, id) AS place FROM fu QUALIFY row_number() OVER (PARTITION BY interest ORDER BY round(fused, 8) DESC, id) <= 120), {_FEAT},
+cap AS (SELECT *, row_number() OVER (PARTITION BY interest ORDER BY round(fused, 8) DESC, id) AS place FROM fu QUALIFY row_number() OVER (PARTITION BY interest ORDER BY round(fused, 8) DESC, id) <= 800), {_FEAT},
 ks AS (SELECT cap.*, dense_max, dense_cov FROM cap JOIN fe USING (interest, id) JOIN c USING (id) WHERE LANG),
 ag AS (SELECT *, 0.65 * ({_mm('d')}) + 0.35 * ({_mm('l')}) AS again, {_mm('best')} AS lex_norm FROM ks WINDOW w AS (PARTITION BY interest)),
 fi AS (SELECT *, 0.45 * again + 0.30 * dense_max + 0.15 * dense_cov + 0.10 * lex_norm AS score FROM ag WHERE LIMITS)"""
@@ -221,11 +220,11 @@ ORACLES = {
     "t2_dense_topk": f"{_BASE}, d AS (SELECT q, v.id, round(list_cosine_similarity(v.vec, s.vec), 8) AS score FROM v, s) SELECT q, id, CAST(rank AS INTEGER) AS rank, round(score, 4) AS score FROM ({ranked('d', '20')})",
     "dense_window_topk": f"{_BASE}, d AS (SELECT q, v.id, round(list_cosine_similarity(v.vec, s.vec), 8) AS score FROM v JOIN documents o ON o.doc_id = v.id, s WHERE kind = 'anchor' AND o.fetched_at >= TIMESTAMP '2026-02-01' - INTERVAL 400 DAY AND o.fetched_at < TIMESTAMP '2026-02-01' AND lower(o.lang) IN ('en','fr')) SELECT q, id, CAST(rank AS INTEGER) AS rank, round(score, 6) AS score FROM ({ranked('d', '10')})",
     "r3_query_specs": f"{_BASE} SELECT interest, CAST(q_pos AS INTEGER) AS q_pos, text, round(weight, 6) AS weight, kind, round(list_inner_product(vec, vec), 6) AS norm FROM s",
-    "r8_rrf_dense": f"{_BASE}, {_DENSE} SELECT interest, id, round(rrf, 8) AS rrf FROM dd",
-    "r9_rrf_lexical": f"{_BASE}, {_LEX} SELECT interest, id, round(rrf, 8) AS rrf, round(best, 6) AS best FROM ll",
+    "r8_rrf_dense": f"{_BASE}, {_DENSE} SELECT interest, id, round(rrf, 10) AS rrf FROM dd",
+    "r9_rrf_lexical": f"{_BASE}, {_LEX} SELECT interest, id, round(rrf, 10) AS rrf, round(best, 6) AS best FROM ll",
     "r10_rrf_fused": f"{_BASE}, {_DENSE}, {_LEX}, {_BOTH}, {_FUSE} SELECT interest, id, round(fused, 6) AS fused FROM fu",
-    "t4_candidate_cap": f"{_BASE}, {_DENSE}, {_LEX}, {_BOTH}, {_FUSE}, {_CAP30} SELECT interest, id, CAST(rank AS INTEGER) AS rank FROM cap",
-    "a7_sim_features": f"{_BASE}, {_DENSE}, {_LEX}, {_BOTH}, {_FUSE}, {_CAP30}, {_FEAT} SELECT interest, id, round(dense_max, 6) AS dense_max, round(dense_cov, 6) AS dense_cov FROM fe",
+    "t4_candidate_cap": f"{_BASE}, {_DENSE}, {_LEX}, {_BOTH}, {_FUSE}, {_CAP} SELECT interest, id, CAST(rank AS INTEGER) AS rank FROM cap",
+    "a7_sim_features": f"{_BASE}, {_DENSE}, {_LEX}, {_BOTH}, {_FUSE}, {_CAP}, {_FEAT} SELECT interest, id, round(dense_max, 6) AS dense_max, round(dense_cov, 6) AS dense_cov FROM fe",
     "r13_retrieve_feed": _FEED.replace("LANG", "true").replace("LIMITS", "NOT (dense_max < 0.15 AND lex_norm < 0.05)") + f" SELECT interest, CAST(rank AS INTEGER) AS rank, id, round(score, 6) AS score, round(dense_max, 6) AS dense_max, round(dense_cov, 6) AS dense_cov, round(lex_norm, 6) AS lex_norm FROM ({ranked('fi', '20', 'interest')})",
     "r13_lang_filter": _FEED.replace("LANG", "lower(lang) = 'en'").replace("LIMITS", "true") + f" SELECT interest, CAST(rank AS INTEGER) AS rank, id, round(score, 6) AS score FROM ({ranked('fi', '10', 'interest')})",
     "r2_merge_specs": """WITH e AS (SELECT interest, unnest(range(0, len(items))) AS pos, unnest(items) AS item FROM interest_expansions),

@@ -119,7 +119,8 @@ def g1_group_top(spark, sf_dir):
 
 def t8_interest_page(spark, sf_dir):
     h = read_table(spark, sf_dir, "retrieval_hits").select(F.lower("interest").alias("interest")).distinct()
-    return h.withColumn("page", F.row_number().over(Window.orderBy("interest"))).where("page between 3 and 7")
+    first = h.orderBy("interest").limit(7)  # a page: five interests behind the first two; only these are numbered
+    return first.withColumn("page", F.row_number().over(Window.orderBy("interest"))).where("page >= 3")
 
 
 def j12_aliases(spark, sf_dir):
@@ -152,7 +153,7 @@ def g5_raw_json(spark, sf_dir):
 def g10_write(spark, sf_dir):
     """Summaries and titles of all hits of each run's interests, by the offline generator."""
     h = read_table(spark, sf_dir, "retrieval_hits").select(F.col("interest"), "rank", F.col("article_id").alias("id"), "retrieval_run_id")
-    a = latest(spark, sf_dir).select("id", "title", "lang", t.stable_excerpt(F.col("content"), 9000).alias("text"))
+    a = latest(spark, sf_dir, wanted=h.select("id").distinct()).select("id", "title", "lang", t.stable_excerpt(F.col("content"), 9000).alias("text"))
     return writing.write_hits(h.join(a, "id").select("retrieval_run_id", "interest", "rank", "id", "title", "lang", "text"), writing.LeadGenerator(), ("retrieval_run_id",))
 
 

@@ -74,8 +74,7 @@ def s8_archive_manifest(spark, sf_dir):
 
 
 def v8_pipeline(spark, sf_dir):
-    config = retrieval.RetrievalConfig(60, 25, 40, 60, 60, 120, 20)
-    out = pipeline.run(rq.corpus(spark, sf_dir), rq.vectors(spark, sf_dir).select("id", "vec"), rq.interest_specs(spark, sf_dir), config, top_n=5)
+    out = pipeline.run(rq.corpus(spark, sf_dir), rq.vectors(spark, sf_dir).select("id", "vec"), rq.interest_specs(spark, sf_dir), retrieval.RetrievalConfig(), top_n=5)
     return out["written"].select("interest", "rank", "id", "status", F.length("summary").alias("chars"))
 
 

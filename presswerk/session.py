@@ -100,3 +100,9 @@ def _remove_written() -> None:
 def broadcast_if_small(df: DataFrame, rows: int, row_bytes: int) -> DataFrame:
     """Hint a broadcast only if `rows` (a proven bound or a count) times `row_bytes` stays under the limit."""
     return F.broadcast(df) if rows * row_bytes <= BROADCAST_LIMIT_BYTES else df
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """`df` over all cores, if its files give fewer tasks than there are; large inputs are left as they are."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
