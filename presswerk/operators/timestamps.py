@@ -15,8 +15,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-YEAR_FROM, YEAR_TO = 1950, 2070
-#: The time-zone database has under 600 names, and a zone under 300 intervals in the years covered.
+#: Intervals are exploded for these years. Before them a zone has one offset, in a bucket of its own; the rules behind them
+#: are those of the time-zone database's last line, which repeat with the calendar every 400 years.
+YEAR_FROM, YEAR_TO = 1850, 2437
+CYCLE_YEARS, CYCLE_DAYS = 400, 146_097
+#: Abbreviations are those in use between these years.
+SHORT_FROM, SHORT_TO = 1990, 2070
+#: The time-zone database has under 600 names, and a zone under 1,400 rows.
 MAX_ZONES = 600
 
 # Month names and usual short forms in English, French, German, Spanish, Italian, Portuguese.
@@ -61,12 +66,14 @@ def zone_intervals(spark: SparkSession, zones: list[str]) -> DataFrame:
             zone = zoneinfo.ZoneInfo(name)
         except Exception:  # noqa: BLE001 - unknown names have no interval
             continue
-        for start, end, offset, abbreviation in _offsets(zone):
-            local_from, local_to = start + offset, end + offset
-            first = max(YEAR_FROM, (epoch + dt.timedelta(seconds=local_from)).year)
-            last = min(YEAR_TO, (epoch + dt.timedelta(seconds=local_to - 1)).year)
+        for k, (start, end, offset, abbreviation) in enumerate(_offsets(zone)):
+            local_from, local_to = (start + offset) * 1_000_000, (end + offset) * 1_000_000
+            first = max(YEAR_FROM, (epoch + dt.timedelta(microseconds=local_from)).year)
+            last = min(YEAR_TO, (epoch + dt.timedelta(microseconds=local_to - 1)).year)
+            if not k:
+                first, local_from = YEAR_FROM - 1, -(1 << 62)
             for year in range(first, last + 1):
-                rows.append((name, year, abbreviation, local_from * 1_000_000, local_to * 1_000_000, offset * 1_000_000))
+                rows.append((name, year, abbreviation, local_from, local_to, offset * 1_000_000))
     schema = "zone string, year int, abbreviation string, local_from long, local_to long, offset_us long"
     if not rows:
         return spark.createDataFrame([], schema)
@@ -84,13 +91,13 @@ def _offsets(zone: zoneinfo.ZoneInfo) -> list[tuple[int, int, int, str]]:
         local = dt.datetime.fromtimestamp(second, utc).astimezone(zone)
         return int(local.utcoffset().total_seconds()), local.tzname() or ""
 
-    begin = int(dt.datetime(YEAR_FROM, 1, 1, tzinfo=utc).timestamp())
-    stop = int(dt.datetime(YEAR_TO, 12, 31, tzinfo=utc).timestamp())
-    step = 14 * 86_400
+    begin = int(dt.datetime(YEAR_FROM - 1, 12, 1, tzinfo=utc).timestamp())
+    stop = int(dt.datetime(YEAR_TO + 1, 2, 1, tzinfo=utc).timestamp())
+    day, modern = 86_400, 315_532_800  # in earlier years offsets changed at times twice in a fortnight
     found, since, here = [], begin, at(begin)
     second = begin
     while second < stop:
-        following = min(second + step, stop)
+        following = min(second + (14 if second >= modern else 4) * day, stop)
         there = at(following)
         if there != here:
             low, high = second, following
@@ -135,7 +142,8 @@ def normalise_timestamps(
     """One row (id, epoch_us) for each id whose text determines an instant.
 
     `sources` gives home_zone and day_first by source. A zone, offset or Unix count in the text decides; 14 digits
-    without a zone are UTC; a zone abbreviation is that of the home zone; other text is the home zone's clock.
+    without a zone are UTC; a zone abbreviation is one of the home zone's since 1990, if it has one meaning; other text is
+    the home zone's clock, in any of the years 1 to 9999.
 
     Nulls, blanks, relative or impossible dates, dates without a time of day, skipped or repeated clock times, and
     clock times without a known source give no row. Equal repeated rows give one row; rows of one id that determine
@@ -147,9 +155,9 @@ def normalise_timestamps(
     if len(zones) > MAX_ZONES:
         raise ValueError("more zone names than the time-zone database has")
     intervals = zone_intervals(spark, zones)
-    by_year = F.broadcast(intervals)  # bounded by the time-zone database: under 600 zones x 300 intervals
+    by_year = F.broadcast(intervals)  # bounded by the time-zone database: under 600 zones x 1,400 rows of some 60 bytes
     abbreviations = F.broadcast(
-        intervals.where(F.col("year") >= 1990).groupBy(F.col("zone").alias("a_zone"), F.col("abbreviation").alias("a_name"))
+        intervals.where(F.col("year").between(SHORT_FROM, SHORT_TO)).groupBy(F.col("zone").alias("a_zone"), F.col("abbreviation").alias("a_name"))
         .agg(F.min("offset_us").alias("a_min"), F.max("offset_us").alias("a_max")).where("a_min = a_max").select("a_zone", "a_name", F.col("a_min").alias("a_offset"))
     )
 
@@ -197,10 +205,15 @@ def normalise_timestamps(
     parsed = parsed.join(abbreviations, (F.col("home_zone") == F.col("a_zone")) & (F.col("short_name") == F.col("a_name")), "left")
     parsed = parsed.withColumn("fixed_us", F.coalesce("fixed_us", "a_offset"))
     need = F.col("unix_us").isNull() & F.col("fixed_us").isNull() & F.col("short_name").isNull()
-    parsed = parsed.select("id", "unix_us", "local_us", "fixed_us", F.when(need, F.col("clock_zone")).alias("clock_zone"), F.year(F.timestamp_micros("local_us")).alias("local_year"))
+    year = F.year(F.timestamp_micros("local_us"))
+    cycles = F.greatest(F.floor((year - (YEAR_TO + 1 - CYCLE_YEARS)) / CYCLE_YEARS), F.lit(0))
+    parsed = parsed.select(
+        "id", "unix_us", "local_us", "fixed_us", F.when(need, F.col("clock_zone")).alias("clock_zone"),
+        F.greatest(year - cycles * CYCLE_YEARS, F.lit(YEAR_FROM - 1)).cast("int").alias("clock_year"), (F.col("local_us") - cycles * F.lit(CYCLE_DAYS * 86_400_000_000)).alias("clock_us"),
+    )
     joined = parsed.join(
         by_year,
-        (F.col("clock_zone") == F.col("zone")) & (F.col("local_year") == F.col("year")) & (F.col("local_us") >= F.col("local_from")) & (F.col("local_us") < F.col("local_to")),
+        (F.col("clock_zone") == F.col("zone")) & (F.col("clock_year") == F.col("year")) & (F.col("clock_us") >= F.col("local_from")) & (F.col("clock_us") < F.col("local_to")),
         "left",
     )
     instant = F.coalesce("unix_us", F.col("local_us") - F.coalesce("fixed_us", "offset_us"))

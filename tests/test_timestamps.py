@@ -68,3 +68,26 @@ def test_contradiction_and_empty(spark):
     assert normalise_timestamps(spark.createDataFrame([], schema), sources).count() == 0
     two = spark.createDataFrame([("a", "1761435798", None), ("a", "1761435799", None), ("b", "x" * 100_000, "paris")], schema)
     assert normalise_timestamps(two, sources).count() == 0
+
+
+def test_clock_times_of_any_year(spark):
+    """Years before and behind the exploded intervals agree with the time-zone database."""
+    import datetime as dt
+    import zoneinfo
+
+    from presswerk.operators.timestamps import normalise_timestamps
+
+    zones = ["Europe/Paris", "America/New_York", "Asia/Tokyo", "Africa/Casablanca", "UTC"]
+    sources = spark.createDataFrame([(z, z, True) for z in zones], "source string, home_zone string, day_first boolean")
+    years = [1, 900, 1849, 1850, 1891, 1911, 1940, 1945, 1976, 2037, 2038, 2071, 2100, 2400, 2437, 2438, 2500, 2800, 2838, 4000, 9998]
+    rows, want = [], {}
+    for z in zones:
+        for y in years:
+            for month, day in ((1, 15), (7, 15), (3, 29), (12, 31)):
+                key = f"{z}{y}-{month}-{day}"
+                rows.append((key, f"{y:04d}-{month:02d}-{day:02d} 12:30:00", z))
+                local = dt.datetime(y, month, day, 12, 30, tzinfo=zoneinfo.ZoneInfo(z))
+                naive = (local.replace(tzinfo=None) - dt.datetime(1970, 1, 1)).total_seconds()
+                want[key] = round((naive - local.utcoffset().total_seconds()) * 1_000_000)
+    out = normalise_timestamps(spark.createDataFrame(rows, "id string, published_date string, source string"), sources)
+    assert {r.id: r.epoch_us for r in out.collect()} == want
