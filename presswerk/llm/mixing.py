@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from presswerk.session import cut_lineage, read_table
+from presswerk.session import cut_lineage, read_table, release
 
 TOKENIZER_ENV = "PRESSWERK_TOKENIZER"
 TOKENIZER_FILE = "/opt/tokenizers/byte_bpe_50k.tiktoken"
@@ -25,8 +25,8 @@ TOKENIZER_FILE = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 TOKEN_PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 NEWTON_ROUNDS = 60
 TOLERANCE = 1e-10
-#: Documents of one source and length are rounded in so many parts, so that copies of one text make no hot group.
-PARTS = 64
+#: Documents of one source and length are rounded in parts of about so many, so that copies of one text make no hot group.
+PART_DOCS = 20_000
 
 
 def _token_batches(path: str):
@@ -53,19 +53,19 @@ def token_counts(df: DataFrame, tokenizer: str | None = None, id_col: str = "doc
 def balance(cells: DataFrame, targets: DataFrame) -> DataFrame:
     """(source, scale, lambda, cap, target_tokens) from cells (source, tokens, n) and targets; one Newton step a round.
 
-    The total is the largest that all caps allow, so at least one source uses its cap in full.
+    The total is the largest that all caps allow, so at least one source uses its cap in full. Sources without tokens
+    cannot take part. Multipliers that have not settled within the rounds are an error.
     """
     stats = cells.groupBy("source").agg(F.sum(F.col("tokens") * F.col("n")).cast("double").alias("have"), F.max("tokens").cast("double").alias("scale"))
     goals = targets.groupBy("source").agg(F.max("target_share").alias("share"), F.max("max_repeats").cast("double").alias("cap")).where("share > 0 and cap > 0")
-    state = goals.join(stats, "source", "left")
-    # A source without tokens cannot reach its share; it then limits the total to nothing and the mix is empty.
-    total = state.agg(F.min(F.coalesce(F.col("have"), F.lit(0.0)) * F.col("cap") / F.col("share")).alias("total")).first()[0] or 0.0
+    state = goals.join(stats.where("have > 0"), "source")
+    total = state.agg(F.min(F.col("have") * F.col("cap") / F.col("share")).alias("total")).first()[0] or 0.0
     if total <= 0:
         return state.limit(0).select("source", "scale", F.lit(0.0).alias("lambda"), "cap", F.lit(0.0).alias("target_tokens"))
     state = state.select("source", "scale", "cap", (F.col("share") * F.lit(total)).alias("target_tokens"), (F.col("share") * F.lit(total) >= F.col("have") * F.col("cap") * (1 - 1e-9)).alias("full"))
     # From the second side the search knows both an upper and a lower multiplier and halves when Newton leaves them.
     state = state.select("*", F.lit(0.0).alias("lambda"), F.lit(-1e4).alias("low"), F.lit(1e4).alias("high"))
-    state = cut_lineage(state, "multipliers")
+    state = previous = cut_lineage(state, "multipliers")
     for _ in range(NEWTON_ROUNDS):
         x = F.col("tokens") / F.col("scale")
         raw = F.exp(F.greatest(F.lit(-700.0), F.least(F.lit(700.0), F.col("lambda") * x)))
@@ -82,35 +82,40 @@ def balance(cells: DataFrame, targets: DataFrame) -> DataFrame:
         done = F.abs(F.col("gap")) <= TOLERANCE * F.col("target_tokens")
         moved = moved.withColumn("lambda", F.when(done | F.col("full"), F.col("lambda")).when(inside, newton).otherwise(middle)).withColumn("open", ~done & ~F.col("full"))
         state = cut_lineage(moved.select("source", "scale", "cap", "target_tokens", "full", "lambda", "low", "high", "open"), "multipliers")
+        release(previous)
+        previous = state
         if state.where("open").isEmpty():
             break
+    else:
+        raise ArithmeticError(f"the multipliers have not settled in {NEWTON_ROUNDS} rounds")
     return state.select("source", "scale", F.when(F.col("full"), F.lit(1e9)).otherwise(F.col("lambda")).alias("lambda"), "cap", "target_tokens")
 
 
-def mix(df: DataFrame, targets: DataFrame, tokenizer: str | None = None, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
+def mix(df: DataFrame, targets: DataFrame, tokenizer: str | None = None, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", part_docs: int = PART_DOCS) -> DataFrame:
     """Rows (doc_id, source, tokens, copies): the mixed set, documents with at least one copy.
 
     Documents of other sources, without source or id, and null or empty texts are not in it. Repeated rows of an id
-    count once, ties are broken by the hash of the id, extra columns are ignored; an empty table, or a target source
-    without any tokens, gives an empty mix, as the shares cannot be reached then.
+    count once, ties are broken by the hash of the id, extra columns are ignored; an empty table gives an empty mix. A
+    target source without any tokens cannot reach its share; the others are mixed in proportion, `reached_shares` shows it.
     """
     named = targets.select("source").where("source is not null").distinct()
     wanted = df.join(named.withColumnRenamed("source", "__source"), F.col(source_col) == F.col("__source"), "left_semi")
     docs = token_counts(wanted, tokenizer, id_col, text_col, source_col).groupBy("doc_id").agg(F.max(F.struct("source", "tokens")).alias("x"))
     docs = cut_lineage(docs.select("doc_id", "x.source", "x.tokens").where("tokens > 0"), "token-counts")
-    part = F.pmod(F.xxhash64("doc_id"), F.lit(PARTS)).cast("int")
-    fine = docs.groupBy("source", "tokens", part.alias("part")).agg(F.count("*").alias("n"))
-    fine = cut_lineage(fine, "token-cells")
-    cells = cut_lineage(fine.groupBy("source", "tokens").agg(F.sum("n").alias("n")), "cells")
+    cells = cut_lineage(docs.groupBy("source", "tokens").agg(F.count("*").alias("n")), "cells")
     state = balance(cells, targets)
     rate = F.least(F.col("cap"), F.exp(F.greatest(F.lit(-700.0), F.least(F.lit(700.0), F.col("lambda") * F.col("tokens") / F.col("scale")))))
-    # Rounding along the cumulative sum over cells (source, tokens, part); there are at most 64 x lengths of them.
+    parts = cells.where(F.col("n") > part_docs).select("source", "tokens", F.ceil(F.col("n") / part_docs).cast("int").alias("parts"))
+    part = F.pmod(F.xxhash64("doc_id"), F.coalesce("parts", F.lit(1))).cast("int")
+    docs = docs.join(parts, ["source", "tokens"], "left").select("doc_id", "source", "tokens", part.alias("part"))
+    fine = cut_lineage(docs.groupBy("source", "tokens", "part").agg(F.count("*").alias("n")), "token-cells")
+    # Rounding along the cumulative sum over cells (source, tokens, part): as many as a source has lengths, and thousands of documents.
     order = Window.partitionBy("source").orderBy("tokens", "part").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     rated = fine.join(state, "source").withColumn("rate", rate)
     rated = rated.withColumn("upto", F.sum(F.col("n") * F.col("rate")).over(order))
     copies = F.floor(F.col("upto") + 0.5) - F.floor(F.col("upto") - F.col("n") * F.col("rate") + 0.5)
     rated = rated.select("source", "tokens", "part", "n", F.least(F.greatest(copies, F.lit(0)), (F.col("n") * F.col("cap")).cast("long")).alias("copies"))
-    ranked = docs.withColumn("part", part).withColumn("rank", F.row_number().over(Window.partitionBy("source", "tokens", "part").orderBy(F.xxhash64("doc_id", F.lit(1)), "doc_id")))
+    ranked = docs.withColumn("rank", F.row_number().over(Window.partitionBy("source", "tokens", "part").orderBy(F.xxhash64("doc_id", F.lit(1)), "doc_id")))
     out = ranked.join(rated, ["source", "tokens", "part"]).withColumn("copies", F.floor(F.col("copies") / F.col("n")) + F.when(F.col("rank") <= F.col("copies") % F.col("n"), 1).otherwise(0))
     return out.where("copies > 0").select("doc_id", "source", "tokens", F.col("copies").cast("int").alias("copies"))
 

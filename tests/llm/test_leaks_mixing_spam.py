@@ -162,7 +162,13 @@ def test_mix_reaches_shares(spark):
     assert any(full)
     assert mixing.mix(d.limit(0), t).count() == 0
     missing = spark.createDataFrame([("a", 0.5, 1), ("nowhere", 0.5, 2)], "source string, target_share double, max_repeats int")
-    assert mixing.mix(d, missing).count() == 0
+    rest = mixing.mix(d, missing)
+    assert {r.source for r in rest.select("source").distinct().collect()} == {"a"}
+    reached = {r.source: (r.target_share, r.share, r.tokens) for r in mixing.reached_shares(rest, missing).collect()}
+    assert reached["nowhere"] == (0.5, 0.0, 0) and reached["a"][:2] == (0.5, 1.0)
+    # Copies of one text are rounded in parts.
+    mixed = mixing.mix(d, t, part_docs=100).toPandas()
+    assert mixed["doc_id"].is_unique and (abs(mixing.reached_shares(spark.createDataFrame(mixed), t).toPandas().eval("share - target_share")) < 0.005).all()
 
 
 NEWS = "The council met on Monday and heard the plan for the old bridge. The airline would not say why it had withdrawn its offer. Residents of the town were told that the work begins in spring, and that the price is not yet known.\n"
@@ -181,9 +187,9 @@ def test_spam(spark):
     docs = [(k, "A title without end\n" + story() + "\n" + story()) for k in range(60)]
     docs += [(100, " | ".join(rng.choice(keys) for _ in range(60))), (101, " ".join("#" + rng.choice(keys).replace(" ", "") for _ in range(60))), (102, "\n".join(f"https://www.{rng.choice(names).lower()}.example/{rng.choice(keys).replace(' ', '-')}" for _ in range(30)))]
     docs += [(103, " ".join(f"Why {k}? {k} saves money, {k} saves time. Ask {rng.choice(names)} about {k} and {k} prices for {k}." for k in ["cheap flights"] * 12)), (104, "\n".join(rng.choice(keys) for _ in range(80)) + "\n" + story()[:80] + ".")]
-    docs += [(200, "Results of the day\n" + "\n".join(f"{names[2 * i]} – {names[2 * i + 1]} {rng.randrange(5)}:{rng.randrange(5)}" for i in range(30))), (201, story() + "\nhttps://www.a.example/x\n#tag"), (202, ""), (203, None), (204, "two words")]
+    docs += [(200, "Results of the day\n" + "\n".join(f"{names[2 * i]} – {names[2 * i + 1]} {rng.randrange(5)}:{rng.randrange(5)}" for i in range(30))), (201, story() + "\nhttps://www.a.example/x\n#tag"), (202, ""), (203, None), (204, "two words"), (105, "#cheap #flights #today"), (205, "Cheap flights")]
     df = spark.createDataFrame(docs + docs[:3] + [(None, "x")], "doc_id long, text string").selectExpr("*", "1 as words", "2 as block")
-    assert sorted(r.doc_id for r in spam.find_spam(df).collect()) == [100, 101, 102, 103, 104]
+    assert sorted(r.doc_id for r in spam.find_spam(df).collect()) == [100, 101, 102, 103, 104, 105]
     shares = {r.doc_id: r.spam_share for r in spam.spam_shares(df).collect()}
     assert 203 not in shares and shares[202] == 0.0 and len(shares) == len({x[0] for x in docs}) - 1
     assert spam.find_spam(df.limit(0)).count() == 0
