@@ -25,7 +25,8 @@ MAX_ROWS_PER_LANGUAGE = 200
 BUCKET_BITS = 15
 DIM = 16
 MIN_CONFIDENCE = 0.9
-MIN_LINE_WORDS = 4
+#: Lines of fewer words than this are taken for another language only at the higher confidence; none of them trains.
+MIN_LINE_WORDS, SHORT_CONFIDENCE = 4, 0.999
 
 # Notations of the six languages beside their two-letter codes and regional forms of these.
 NOTATIONS = {
@@ -186,7 +187,7 @@ def _judge(lines, story, logits, min_confidence):
     probabilities = softmax(logits)
     words = np.array([len(_WORD.findall(lines[i])) for i in story])
     best, sure = probabilities.argmax(axis=1), probabilities.max(axis=1)
-    decided = (sure >= min_confidence) & (words >= MIN_LINE_WORDS)
+    decided = sure >= np.where(words >= MIN_LINE_WORDS, min_confidence, max(min_confidence, SHORT_CONFIDENCE))
     weight = np.bincount(best[decided], weights=words[decided], minlength=len(LANGUAGES)) if decided.any() else None
     if weight is None or not weight.any():
         weight = (probabilities * np.maximum(words, 1)[:, None]).sum(axis=0)
