@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import unicodedata
 
 import pandas as pd
@@ -46,6 +47,12 @@ def ascii_text(text: str | None) -> str:
     return unicodedata.normalize("NFKD", text or "").encode("ascii", "ignore").decode("ascii")
 
 
+def slug_text(text: str | None, longest: int = 120, fallback: str = "unknown_interest") -> str:
+    """A file name of a text: lower-cased letters and digits without accents, the rest underscores."""
+    plain = "".join(c for c in unicodedata.normalize("NFKD", (text or "").strip().lower()) if not unicodedata.combining(c))
+    return (re.sub(r"[^a-z0-9]+", "_", plain).strip("_") or fallback)[:longest]
+
+
 @F.pandas_udf(DoubleType())
 def indel_ratio_udf(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([indel_ratio(x, y) for x, y in zip(a, b, strict=True)])

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from presswerk.functions.similarity import indel_ratio
@@ -100,8 +101,11 @@ def shortlist(candidate: dict, kept: list[dict], postings: dict[str, list[int]],
     return sorted(votes, key=lambda i: (-votes[i], -i))[:most]
 
 
-def dedup_group(rows: list[dict], most: int = 120, same_story: bool = False) -> list[tuple[dict, str | None]]:
-    """Each row with the reason of its removal, or None if it is kept; stages one (exact) and two (near)."""
+def dedup_group(rows: list[dict], most: int = 120, same_story: bool = False, counts: list | None = None) -> list[tuple[dict, str | None]]:
+    """Each row with the reason of its removal, or None if it is kept; stages one (exact) and two (near).
+
+    `counts` takes the size of each row's shortlist and how many of it were checked.
+    """
     rows = sorted(rows, key=lambda r: (r["rank"] if r["rank"] is not None else 10**9, -(r["score"] or 0.0), str(r["id"])))
     out, first = [], []
     for row in rows:
@@ -115,8 +119,10 @@ def dedup_group(rows: list[dict], most: int = 120, same_story: bool = False) ->
         row = entry[0]
         if entry[1] is not None:
             continue
-        for position in shortlist(row, kept, postings, most):
+        short, checked = shortlist(row, kept, postings, most), 0
+        for position in short:
             other = kept[position]
+            checked += 1
             if cheap_precheck(other, row) and (reason := near_reason(other, row) or (same_story_reason(other, row) if same_story else None)):
                 entry[1] = reason
                 break
@@ -124,6 +130,8 @@ def dedup_group(rows: list[dict], most: int = 120, same_story: bool = False) ->
             for key in block_keys(row):
                 postings.setdefault(key, []).append(len(kept))
             kept.append(row)
+        if counts is not None:
+            counts.append((len(short), checked))
     return [tuple(x) for x in out]
 
 
@@ -131,7 +139,8 @@ def dedup_hits(prepared: DataFrame, most: int = 120, same_story: bool = False) -
     """(interest, id, source_rank, rank, reason): kept hits have dense ranks, removed ones a reason and rank 0."""
 
     def group(pdf: pd.DataFrame) -> pd.DataFrame:
-        rows = pdf.to_dict("records")
+        # A null rank makes the column one of floats.
+        rows = [r | {"rank": None if pd.isna(r["rank"]) else int(r["rank"]), "score": None if pd.isna(r["score"]) else r["score"]} for r in pdf.to_dict("records")]
         out, rank = [], 0
         for row, reason in dedup_group(rows, most, same_story):
             rank += reason is None
@@ -142,6 +151,42 @@ def dedup_hits(prepared: DataFrame, most: int = 120, same_story: bool = False) -
     return prepared.groupBy("interest").applyInPandas(group, f"interest {kind['interest']}, id {kind['id']}, source_rank int, rank int, reason string")
 
 
+def neighbour_pairs(hits: DataFrame, k: int = 40, days: int = 3) -> DataFrame:
+    """(interest, a, b, score): for each hit its k most similar hits of the interest, of its language and near its date.
+
+    hits (interest, id, lang, date, vec); a null language or date is no restriction for its own hit. A run's hits of
+    one interest are bounded by its top-k, so pairs are made within that bound only.
+    """
+    from presswerk.functions.similarity import cosine
+
+    left = hits.select("interest", F.col("id").alias("a"), F.col("lang").alias("lang_a"), F.col("date").alias("date_a"), F.col("vec").alias("vec_a"))
+    right = hits.select("interest", F.col("id").alias("b"), F.col("lang").alias("lang_b"), F.col("date").alias("date_b"), F.col("vec").alias("vec_b"))
+    same_lang = F.col("lang_a").isNull() | (F.col("lang_a") == "") | (F.col("lang_a") == F.col("lang_b"))
+    apart = F.abs(F.unix_micros("date_a") - F.unix_micros("date_b"))
+    pairs = left.join(right, "interest").where((F.col("a") != F.col("b")) & same_lang & (F.col("date_a").isNull() | (apart <= days * 86_400_000_000)))
+    scored = pairs.select("interest", "a", "b", F.round(cosine(F.col("vec_a"), F.col("vec_b")), 8).alias("score"))
+    order = Window.partitionBy("interest", "a").orderBy(F.desc("score"), "b")
+    return scored.withColumn("r", F.row_number().over(order)).where(F.col("r") <= k).drop("r")
+
+
+def neighbours_among(neighbours: DataFrame, kept: DataFrame) -> DataFrame:
+    """Neighbour pairs whose second hit is kept: (interest, a, b, score) with kept (interest, id)."""
+    return neighbours.join(kept.select("interest", F.col("id").alias("b")), ["interest", "b"], "left_semi").select("interest", "a", "b", "score")
+
+
+def shortlist_averages(prepared: DataFrame, most: int = 120) -> DataFrame:
+    """(interest, candidates, shortlisted, checked): hits that reach stage two, and their mean shortlist and checks."""
+
+    def group(pdf: pd.DataFrame) -> pd.DataFrame:
+        counts: list[tuple[int, int]] = []
+        dedup_group(pdf.to_dict("records"), most, counts=counts)
+        mean = lambda i: sum(c[i] for c in counts) / len(counts) if counts else 0.0
+        return pd.DataFrame([(pdf["interest"].iloc[0], len(counts), mean(0), mean(1))], columns=["interest", "candidates", "shortlisted", "checked"])
+
+    kind = dict(prepared.dtypes)
+    return prepared.groupBy("interest").applyInPandas(group, f"interest {kind['interest']}, candidates int, shortlisted double, checked double")
+
+
 def block_key_column(title: Column, tokens: Column, domain: Column) -> Column:
     """The blocking keys as a native expression."""
     words = F.slice(F.array_distinct(tokens), 1, 6)

@@ -12,6 +12,25 @@ def rank_points(rank: Column, target: Column) -> Column:
     return F.when(rank <= 0, 0.0).when(rank <= F.least(F.lit(3), target), 1.0).when(rank <= F.least(F.lit(10), target), 0.7).when(rank <= target, 0.4).otherwise(0.1)
 
 
+def canonical_interest(df: DataFrame, aliases: DataFrame, col: str = "interest") -> DataFrame:
+    """`df` with the interest under its canonical name where (alias, canonical) knows it; the aliases are one set's."""
+    named = aliases.select(F.col("alias").alias("__alias"), F.col("canonical").alias("__canonical"))
+    return df.join(named, F.lower(F.trim(col)) == F.col("__alias"), "left").withColumn(col, F.coalesce("__canonical", col)).drop("__alias", "__canonical")
+
+
+def by_interest(evaluated: DataFrame) -> DataFrame:
+    """(interest, total, right, score, rank_avg) by the first expected interest; the average is over found items."""
+    found = F.when(F.col("found"), F.col("rank_points"))
+    out = evaluated.groupBy(F.col("first_expected").alias("interest")).agg(F.count("*").alias("total"), F.sum(F.col("ok").cast("long")).alias("right"), F.avg(found).alias("rank_avg"))
+    return out.withColumn("score", F.concat_ws("/", F.col("right").cast("string"), F.col("total").cast("string")))
+
+
+def hit_rates(evaluated: DataFrame, k: int = 20) -> DataFrame:
+    """One row (items, hit_at_k, mrr): share of items found right within k, and mean reciprocal rank."""
+    rank = F.when(F.col("ok"), F.col("found_rank"))
+    return evaluated.agg(F.count("*").alias("items"), F.avg(F.coalesce((rank <= k).cast("double"), F.lit(0.0))).alias("hit_at_k"), F.avg(F.coalesce(1.0 / rank, F.lit(0.0))).alias("mrr"))
+
+
 def evaluate(items: DataFrame, hits: DataFrame) -> DataFrame:
     """One row for each item: found, found_interest, found_rank, ok, rank_points, first expected interest.
 

@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import json
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from presswerk.session import file_system
+
 
 def upsert(existing: DataFrame, incoming: DataFrame, keys: list[str]) -> DataFrame:
     """`existing` with the rows of `incoming` over it; rows with a blank key are left out, the last row of a key wins."""
@@ -19,8 +24,115 @@ def upsert(existing: DataFrame, incoming: DataFrame, keys: list[str]) -> DataFra
     return both.withColumn("__r", F.row_number().over(w)).where("__r = 1").drop("__new", "__r")
 
 
-def next_run_id(runs: DataFrame, col: str = "id") -> int:
-    return (runs.agg(F.max(col)).first()[0] or 0) + 1
+class KeyedTable:
+    """A Parquet table keyed by columns: a write adds one batch of its rows only, a read takes the last row of each key.
+
+    Batches are folders `batch=n`. Writing a batch again replaces it and no other, so a job that is repeated changes
+    nothing. `compact` merges them into one; nothing is rewritten before.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, keys: list[str]):
+        self.spark, self.path, self.keys = spark, path.rstrip("/"), keys
+
+    def batches(self) -> list[int]:
+        system, target = file_system(self.spark, self.path)
+        if not system.exists(target):
+            return []
+        names = [status.getPath().getName() for status in system.listStatus(target)]
+        return sorted(int(n.removeprefix("batch=")) for n in names if n.startswith("batch="))
+
+    def exists(self) -> bool:
+        return bool(self.batches())
+
+    def clear(self) -> None:
+        system, target = file_system(self.spark, self.path)
+        system.delete(target, True)
+
+    def write(self, rows: DataFrame, number: int | None = None) -> int:
+        """Write rows as batch `number`, by default the next one; the number of rows. Rows with a null key are left out."""
+        number = max(self.batches(), default=-1) + 1 if number is None else number
+        path = f"{self.path}/batch={number}"
+        for k in self.keys:
+            rows = rows.where(F.col(k).isNotNull())
+        rows.write.mode("overwrite").parquet(path)
+        return self.spark.read.schema(rows.schema).parquet(path).count()
+
+    def read(self) -> DataFrame:
+        found = self.batches()
+        rows = self.spark.read.option("mergeSchema", True).option("basePath", self.path).parquet(*[f"{self.path}/batch={n}" for n in found])
+        last = Window.partitionBy(*self.keys).orderBy(F.desc("batch"), F.xxhash64(*[c for c in rows.columns if c != "batch"]))
+        return rows.withColumn("__r", F.row_number().over(last)).where("__r = 1").drop("__r", "batch")
+
+    def compact(self) -> None:
+        """Merge all batches into the last one; no other write may run meanwhile."""
+        found = self.batches()
+        if len(found) < 2:
+            return
+        merged = f"{self.path}/_compact-{uuid.uuid4().hex}"  # readers pass over names that begin with an underscore
+        self.read().write.parquet(merged)
+        system, _ = file_system(self.spark, self.path)
+        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+        last = path(f"{self.path}/batch={found[-1]}")
+        system.delete(last, True)
+        system.rename(path(merged), last)
+        for n in found[:-1]:
+            system.delete(path(f"{self.path}/batch={n}"), True)
+
+
+class RunLedger:
+    """Runs of the stages: numbered rows with parameters, and their detail rows, one partition for each run."""
+
+    KINDS = ("retrieval", "dedup", "rerank", "writing")
+    RUNS = "id long, kind string, source_run_id long, parameters string, created_at timestamp"
+
+    def __init__(self, spark: SparkSession, root: str):
+        self.spark, self.root = spark, root.rstrip("/")
+
+    def _table(self, kind: str) -> KeyedTable:
+        if kind not in self.KINDS:
+            raise ValueError(f"no such run: {kind}")
+        return KeyedTable(self.spark, f"{self.root}/{kind}_runs", ["id"])
+
+    def create(self, kind: str, parameters: dict | None = None, source_run_id: int | None = None) -> int:
+        """A new run; its number is taken by making a marker file, which only one of several writers can."""
+        table = self._table(kind)
+        system, _ = file_system(self.spark, self.root)
+        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+        number = max(table.batches(), default=0) + 1
+        while not system.createNewFile(path(f"{table.path}/_taken-{number}")):
+            number += 1
+        row = self.spark.createDataFrame([(number, kind, source_run_id, json.dumps(parameters or {}, sort_keys=True, default=str))], self.RUNS.rsplit(",", 1)[0])
+        table.write(row.withColumn("created_at", F.current_timestamp()), number)
+        return number
+
+    def runs(self, kind: str) -> DataFrame:
+        table = self._table(kind)
+        return table.read() if table.exists() else self.spark.createDataFrame([], self.RUNS)
+
+    def write(self, kind: str, run_id: int, rows: DataFrame) -> None:
+        """The detail rows of a run; writing them again replaces them."""
+        write_hits(rows.withColumn("run_id", F.lit(run_id).cast("long")), f"{self.root}/{kind}_rows", "run_id")
+
+    def rows(self, kind: str, run_id: int | None = None) -> DataFrame:
+        rows = self.spark.read.option("mergeSchema", True).parquet(f"{self.root}/{kind}_rows").withColumn("run_id", F.col("run_id").cast("long"))
+        return rows if run_id is None else rows.where(F.col("run_id") == run_id)
+
+    def representative(self, kind: str) -> int | None:
+        """The largest of the latest runs of all interests, by which several are quoted together."""
+        return latest_runs(self.rows(kind), "run_id").agg(F.max("run_id")).first()[0]
+
+
+def migrate(df: DataFrame, columns: dict[str, str], defaults: dict[str, object] | None = None) -> DataFrame:
+    """`df` with the `columns` (name to type) it lacks added, types cast, and nulls filled by `defaults` (values or columns)."""
+    defaults = defaults or {}
+    out = []
+    for name, kind in columns.items():
+        value = F.col(name).cast(kind) if name in df.columns else F.lit(None).cast(kind)
+        if name in defaults:
+            fill = defaults[name]
+            value = F.coalesce(value, (fill if hasattr(fill, "cast") else F.lit(fill)).cast(kind))
+        out.append(value.alias(name))
+    return df.select(*out, *[c for c in df.columns if c not in columns])
 
 
 def write_hits(hits: DataFrame, path: str, run_col: str = "run_id") -> None:

@@ -8,7 +8,7 @@ from presswerk.operators import pipeline, retrieval
 from presswerk.plans import retrieval_queries as rq
 from presswerk.plans.text_queries import STRIP, strip
 from presswerk.session import read_table, shared_folder
-from presswerk.sources import html, readers
+from presswerk.sources import files, html, readers
 
 
 def pages(spark, sf_dir):
@@ -36,19 +36,18 @@ def page_filters(spark, sf_dir):
 
 def s6_archive(spark, sf_dir):
     """The pages written as archive files into the shared folder and read back through the archive source."""
-    import os
     import uuid
 
-    folder = f"{shared_folder(spark)}/archive-{uuid.uuid4().hex}".removeprefix("file://")
-    os.makedirs(folder, exist_ok=True)
+    from presswerk.session import keep_until_end
+
+    folder = keep_until_end(spark, f"{shared_folder(spark)}/archive-{uuid.uuid4().hex}")
 
     def write(batches):
         import pandas as pd
 
         for pdf in batches:
             if len(pdf):
-                with open(f"{folder}/CC-NEWS-20260101000000-{uuid.uuid4().hex}.warc.gz", "wb") as f:
-                    f.write(readers.warc_bytes(list(zip(pdf["url"], pdf["stored"], pdf["html"], strict=True))))
+                files.write_whole(f"{folder}/CC-NEWS-20260101000000-{uuid.uuid4().hex}.warc.gz", [readers.warc_bytes(list(zip(pdf["url"], pdf["stored"], pdf["html"], strict=True)))])
             yield pd.DataFrame({"n": [len(pdf)]})
 
     pages(spark, sf_dir).mapInPandas(write, "n long").agg(F.sum("n")).collect()  # one number

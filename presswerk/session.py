@@ -64,15 +64,20 @@ def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    if not _written:
-        atexit.register(_remove_written)
-    _written[path] = spark
+    df.write.parquet(keep_until_end(spark, path))
     out = spark.read.schema(df.schema).parquet(path)
     out._written_path = path
     return out
 
 
+def keep_until_end(spark: SparkSession, path: str) -> str:
+    """The path of a table or folder in the shared folder that goes when the driver ends."""
+    if not _written:
+        atexit.register(_remove_written)
+    _written[path] = spark
+    return path
+
+
 def release(*tables: DataFrame) -> None:
     """Remove tables written by `cut_lineage` that nothing reads any more."""
     for table in tables:

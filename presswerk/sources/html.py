@@ -37,6 +37,18 @@ def after_decode(html: Column) -> Column:
     return ~F.startswith(F.ltrim(head), F.lit("<?xml")) & ~head.rlike(NOISE)
 
 
+def _brotli(raw: bytes) -> bytes:
+    """Decompressed where a brotli module is installed; the bytes as they are where none is, or where they are none."""
+    try:
+        import brotli
+    except ImportError:
+        return raw
+    try:
+        return brotli.decompress(raw)
+    except brotli.error:
+        return raw
+
+
 def decode_body(raw: bytes, encoding: str | None, content_type: str | None) -> str:
     """Decompressed if it can be, decoded by the declared charset, else UTF-8 or Latin-1, without control characters."""
     data = raw.replace(b"\0", b"") if not encoding else raw
@@ -49,6 +61,8 @@ def decode_body(raw: bytes, encoding: str | None, content_type: str | None) -> s
                 data = zlib.decompress(raw)
             except zlib.error:
                 data = zlib.decompress(raw, -zlib.MAX_WBITS)
+        elif "br" in low.split(",")[-1].split():
+            data = _brotli(raw)
     except (OSError, zlib.error, EOFError):
         data = raw  # already decoded by whoever stored it
     declared = re.search(r"charset\s*=\s*[\"']?([\w.-]+)", content_type or "", re.I)
@@ -156,11 +170,22 @@ def extract(url: str, html: str, stored: str = "", min_text: int = MIN_TEXT, pre
 EXTRACTED = "url string, title string, text string, description string, date string, domain string, image_url string, reason string"
 
 
-def extract_pages(pages: DataFrame, min_text: int = MIN_TEXT) -> DataFrame:
-    """Articles of pages (url, html, stored)."""
+def extract_pages(pages: DataFrame, min_text: int = MIN_TEXT, fallback=None) -> DataFrame:
+    """Articles of pages (url, html, stored), with the page's `file` if it has one.
+
+    `fallback(url, html)` may give the title and text of a page in which no article was found.
+    """
+    kept = ["file"] if "file" in pages.columns else []
+
+    def one(url: str, page: str, stored: str) -> dict:
+        found = extract(url, page, stored, min_text)
+        if found["reason"] and fallback is not None and (other := fallback(url, page)) and len(other.get("text") or "") >= min_text:
+            found |= {"title": other.get("title") or found["title"], "text": tidy(other["text"]), "reason": ""}
+        return found
 
     def run(batches):
         for pdf in batches:
-            yield pd.DataFrame([extract(u or "", h or "", s or "", min_text) for u, h, s in zip(pdf["url"], pdf["html"], pdf["stored"], strict=True)], columns=[c.split()[0] for c in EXTRACTED.split(", ")])
+            out = pd.DataFrame([one(u or "", h or "", s or "") for u, h, s in zip(pdf["url"], pdf["html"], pdf["stored"], strict=True)], columns=[c.split()[0] for c in EXTRACTED.split(", ")])
+            yield pd.concat([out, pdf[kept].reset_index(drop=True)], axis=1) if kept else out
 
-    return pages.select("url", "html", "stored").mapInPandas(run, EXTRACTED)
+    return pages.select("url", "html", "stored", *kept).mapInPandas(run, EXTRACTED + (", file string" if kept else ""))

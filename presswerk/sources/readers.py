@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import gzip
 import io
-import re
+import json
 from collections.abc import Iterator
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+from presswerk.sources import files
 from presswerk.functions.text import article_id, column_instant, ingest_fingerprint, strip, themes_of, url_domain
 
 # Accepted column names of an article's fields, first present wins.
@@ -24,17 +25,68 @@ ALIASES = {
 }
 
 
-def read_articles(spark: SparkSession, paths: str | list[str], kind: str | None = None) -> DataFrame:
-    """Article files as they are: csv, jsonl (one object a line, blank lines skipped) or json (an array or one object)."""
-    paths = [paths] if isinstance(paths, str) else sorted(set(paths))
-    kind = kind or paths[0].rsplit(".", 1)[-1].lower()
-    if kind == "csv":
-        return spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(paths)
-    if kind == "jsonl":
-        return spark.read.json(paths)
-    if kind == "json":
-        return spark.read.option("multiLine", True).json(paths)
-    raise ValueError(f"not a format of article files: {kind}")
+def expand_paths(spec: str | list[str]) -> list[str]:
+    """The article files of files and folders (csv, jsonl, json of a folder, sorted), each once."""
+    given = [spec] if isinstance(spec, str) else spec
+    found = [f for one in given for f in (files.listing(one, (".csv", ".jsonl", ".json")) if "*" not in one else [one])]
+    if not found:
+        raise FileNotFoundError(f"no article files: {given}")
+    return list(dict.fromkeys(found))
+
+
+def file_kind(path: str) -> str:
+    """csv, jsonl or json by name; a .json file whose first objects stand one a line is jsonl."""
+    kind = path.rsplit(".", 1)[-1].lower()
+    if kind not in ("csv", "jsonl", "json"):
+        raise ValueError(f"not a format of article files: {path}")
+    if kind == "json" and "*" not in path:
+        with files.open_read(path) as stream:
+            head = stream.read(1 << 16).decode("utf-8", "ignore").lstrip("\ufeff \t\r\n")
+        first, more, second = head.partition("\n")
+        if head.startswith("{") and more and first.rstrip().endswith("}") and second.lstrip().startswith("{"):
+            return "jsonl"
+    return kind
+
+
+def read_articles(spark: SparkSession, paths: str | list[str], kind: str | None = None, limit: int | None = None) -> DataFrame:
+    """Article files of any of the formats as they are: csv, jsonl (one object a line) or json (an array or one object)."""
+    by_kind: dict[str, list[str]] = {}
+    for path in expand_paths(paths):
+        by_kind.setdefault(kind or file_kind(path), []).append(path)
+    out = None
+    for name, some in by_kind.items():
+        if name == "csv":
+            one = spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(some)
+        elif name in ("json", "jsonl"):
+            one = spark.read.option("multiLine", name == "json").json(some)
+        else:
+            raise ValueError(f"not a format of article files: {name}")
+        out = one if out is None else out.unionByName(one, allowMissingColumns=True)
+    return out if limit is None else out.limit(limit)
+
+
+def read_cached(spark: SparkSession, path: str, cache: str, limit: int | None = None) -> DataFrame:
+    """Normalised articles of `path`, read from `cache` while the files' times and sizes are the same."""
+    folder = f"{cache.rstrip('/')}/{files.signature(path, limit)}"
+    if not files.exists(f"{folder}/_SUCCESS"):
+        normalise(read_articles(spark, path, limit=limit)).write.mode("overwrite").parquet(folder)
+    return spark.read.parquet(folder)
+
+
+def payload_article(payload: Column, given_id: Column | None = None) -> Column:
+    """A stored payload (struct) as an article: other names for id, content and date are taken where these are blank."""
+    get = lambda *names: F.coalesce(*[F.nullif(payload[n], F.lit("")) for n in names])
+    key = F.coalesce(given_id, get("article_id")) if given_id is not None else get("article_id")
+    return F.struct(key.alias("id"), get("title").alias("title"), get("description").alias("description"), get("canonical_text", "description").alias("content"), get("date").alias("published_date"), F.coalesce(get("domain"), url_domain(payload["url"])).alias("source"), get("url").alias("url"), get("lang").alias("lang"), get("fingerprint").alias("fingerprint"))
+
+
+def article_meta(payload: Column, article: Column, hit_id: Column) -> Column:
+    """What is shown of a hit: its payload first, then the full article; of the dates the article's first."""
+    first = lambda *columns: F.coalesce(*[F.nullif(c, F.lit("")) for c in columns])
+    return F.struct(
+        first(payload["article_id"], article["id"], hit_id).alias("article_id"), first(payload["title"], article["title"]).alias("title"), first(payload["url"], article["url"]).alias("url"),
+        first(payload["domain"], article["source"]).alias("source"), first(article["published_date"], payload["date"]).alias("published_date"), first(payload["lang"], article["lang"]).alias("lang"),
+    )
 
 
 def normalise(df: DataFrame) -> DataFrame:
@@ -46,7 +98,8 @@ def normalise(df: DataFrame) -> DataFrame:
     out = df.select(*[c.alias(n) for n, c in columns.items()]).where("title is not null and content is not null")
     digits = F.regexp_replace("published_date", r"^(\d{14})\.0+$", "$1")
     out = out.withColumn("published_date", column_instant(digits)).withColumn("id", article_id(F.col("url"), F.col("title"), F.col("content"))).withColumn("fingerprint", ingest_fingerprint(F.col("url"), F.col("title"), F.col("content")))
-    return out.dropDuplicates(["id"])
+    # The first of an id's rows in an order that does not depend on how they came.
+    return out.groupBy("id").agg(F.min(F.struct(*[c for c in out.columns if c != "id"])).alias("x")).select("x.*", "id")
 
 
 def write_articles(df: DataFrame, path: str, kind: str = "json") -> None:
@@ -84,17 +137,42 @@ def read_expansions(spark: SparkSession, path: str) -> DataFrame:
     return last.select("interest", F.array_distinct(F.filter(F.transform("items", lambda x: strip(x)), lambda x: x != "")).alias("items"))
 
 
+def _labelled_set(path: str) -> tuple[list[dict], dict]:
+    """The articles of a labelled set, nested at any depth, and its interests' aliases; one small file, read whole."""
+    with files.open_read(path) as stream:
+        data = json.loads(stream.read())
+
+    def flat(node):
+        if isinstance(node, list):
+            for x in node:
+                yield from flat(x)
+        elif isinstance(node, dict) and isinstance(node.get("articles"), list):
+            yield from flat(node["articles"])
+        elif isinstance(node, dict):
+            yield node
+
+    return list(flat(data)), data.get("interest_aliases", {}) if isinstance(data, dict) else {}
+
+
 def read_eval(spark: SparkSession, path: str) -> DataFrame:
-    """A labelled set: {"articles": [...]} or a list; the expected interest may be one string; target 20 by default."""
-    raw = spark.read.option("multiLine", True).json(path)
-    if "articles" in raw.columns:
-        raw = raw.select(F.explode("articles").alias("a")).select("a.*")
-    expected = F.col("expected_interests") if "expected_interests" in raw.columns else F.lit(None)
-    if "expected_interests" in raw.columns and dict(raw.dtypes)["expected_interests"] == "string":
-        expected = F.when(F.startswith(F.trim(expected), F.lit("[")), F.from_json(expected, "array<string>")).otherwise(F.array(expected))
-    get = lambda n: F.col(n) if n in raw.columns else F.lit(None).cast("string")
-    key = F.coalesce(get("article_id"), article_id(get("url"), get("title"), get("content")))
-    return raw.select(key.alias("article_id"), get("title").alias("title"), get("content").alias("content"), get("url").alias("url"), expected.alias("expected_interests"), F.coalesce(get("rank_target_max").cast("int"), F.lit(20)).alias("rank_target_max"))
+    """A labelled set; the expected interest may be one string, the target is 20 by default, missing ids are made."""
+    rows = []
+    for a in _labelled_set(path)[0]:
+        expected = a.get("expected_interests", a.get("expected_interest"))
+        expected = [str(x) for x in expected] if isinstance(expected, list) else [str(expected)] if expected else []
+        fields = [None if (x := a.get(n)) is None else str(x) for n in ("article_id", "title", "content", "url")]
+        rows.append((*fields, expected, int(a.get("rank_target_max") or 20)))
+    out = spark.createDataFrame(rows, "article_id string, title string, content string, url string, expected_interests array<string>, rank_target_max int")
+    return out.withColumn("article_id", F.coalesce("article_id", article_id(F.col("url"), F.col("title"), F.col("content"))))
+
+
+def read_aliases(spark: SparkSession, path: str) -> DataFrame:
+    """(alias, canonical) of a labelled set's interests, lower-cased; a name that stands twice belongs to the first."""
+    pairs: dict[str, str] = {}
+    for canonical, names in _labelled_set(path)[1].items():
+        for name in [canonical, *(names if isinstance(names, list) else [names])]:
+            pairs.setdefault(str(name).strip().lower(), canonical)
+    return spark.createDataFrame(list(pairs.items()), "alias string, canonical string")
 
 
 def warc_records(stream: io.BufferedIOBase) -> Iterator[tuple[str, str, str, str, bytes]]:
@@ -130,22 +208,24 @@ class WarcSource(DataSource):
 
 class _WarcReader(DataSourceReader):
     def __init__(self, path: str):
-        self.path = path.removeprefix("file://")
+        self.path = path
 
     def partitions(self):
-        import glob
-        import os
-
-        files = sorted(f for p in self.path.split(",") for f in (glob.glob(os.path.join(p, "*.warc*")) if os.path.isdir(p) else glob.glob(p)))
-        return [InputPartition(f) for f in files]
+        return [InputPartition(f) for f in sorted(f for p in self.path.split(",") for f in files.listing(p, (".warc", ".warc.gz")))]
 
     def read(self, partition):
-        opener = gzip.open if partition.value.endswith(".gz") else open
-        with opener(partition.value, "rb") as stream:
+        with files.open_read(partition.value) as raw:
+            stream = gzip.GzipFile(fileobj=raw) if partition.value.endswith(".gz") else io.BufferedReader(raw)
             for record in warc_records(stream):
                 yield (partition.value, *record)
 
 
+def archive_stem(path: str) -> str:
+    """An archive's file name without its endings, by which its output is named."""
+    name = path.rsplit("/", 1)[-1]
+    return name.removesuffix(".gz").removesuffix(".warc")
+
+
 def read_warc(spark: SparkSession, path: str) -> DataFrame:
     spark.dataSource.register(WarcSource)
     return spark.read.format("warc").load(path)

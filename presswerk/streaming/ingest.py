@@ -5,43 +5,27 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from presswerk.operators.store import upsert
+from presswerk.operators.store import KeyedTable
 from presswerk.sources.readers import normalise
 
 
 def ingest_stream(spark: SparkSession, folder: str, schema: str, table: str, checkpoint: str):
-    """Files of articles that arrive in `folder` are normalised and upserted into the Parquet table at `table`.
+    """Files of articles that arrive in `folder` are normalised and added to the keyed table at `table`.
 
-    Every batch writes a new version beside the last and then names it, so a batch that is run again replaces its
-    own version and readers never see half of one.
+    A micro-batch writes its own rows as a batch of the table and nothing else, so one that is run again replaces
+    itself; the table is compacted from time to time by `KeyedTable.compact`, when no stream runs.
     """
-    import json
-    import os
-
-    def version() -> str | None:
-        pointer = f"{table}/current.json"
-        return json.load(open(pointer))["path"] if os.path.exists(pointer) else None
+    keyed = KeyedTable(spark, table, ["id"])
 
     def batch(df: DataFrame, number: int) -> None:
-        rows = normalise(df)
-        now = version()
-        if now and not now.endswith(f"v{number}"):
-            rows = upsert(spark.read.parquet(now), rows, ["id"])
-        path = f"{table}/v{number}"
-        rows.write.mode("overwrite").parquet(path)
-        with open(f"{table}/next.json", "w") as f:
-            json.dump({"path": path}, f)
-        os.replace(f"{table}/next.json", f"{table}/current.json")
-
-    os.makedirs(table, exist_ok=True)
+        keyed.write(normalise(df), number)
+
     stream = spark.readStream.schema(schema).json(folder)
     return stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
 def current(spark: SparkSession, table: str) -> DataFrame:
-    import json
-
-    return spark.read.parquet(json.load(open(f"{table}/current.json"))["path"])
+    return KeyedTable(spark, table, ["id"]).read()
 
 
 def signal_counts(events: DataFrame, late: str = "1 hour", window: str = "1 day") -> DataFrame:

@@ -106,7 +106,7 @@ def test_writing_validators(spark):
     assert writing.usable_title("x" * 8, "", "other", "fr") and not writing.usable_title("x" * 7, "", "o", "en") and not writing.usable_title("x" * 161, "", "o", "en")
     assert writing.usable_title("Same Title", "", "same title", "en") and not writing.usable_title("Été title", "", "ete title", "fr")
     assert writing.contaminated("- a b\n- c d\n- e f") and not writing.contaminated("plain text")
-    assert writing.parse_items("1. Solar power\n- grid\nkeyword\nGrid\na b", 5) == ["solar power", "grid"]
+    assert writing.parse_items("1. Solar power\n- grid\nkeyword\nGrid\na b", 5) == ["Solar power", "grid"]
     df = spark.createDataFrame([("a" * 400, "fine"), ("a" * 400, "has a constraint CHECKLIST"), (None, None)], "s string, raw string")
     assert [r[0] for r in df.select(writing.is_usable_summary(F.col("s"), F.col("raw"))).collect()] == [True, False, False]
     texts = ["Summary: one\n two ", "According to them. Based on it. Rest. End", "based on nothing", "<think>a. b</think>Here is x. y", "```json\n{}\n```", "* a\n* b\n* c", "1. a\n text", "Résumé : été\r\n\r\nfin", "", None, "No JSON, please"]
