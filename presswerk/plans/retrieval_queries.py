@@ -16,7 +16,7 @@ QUERY = "the satellite launch and the school meal programme"
 def corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = read_table(spark, sf_dir, "documents")
     first = F.substring(F.split(F.coalesce("text", F.lit("")), "\n")[0], 1, 120)
-    return d.select(F.col("doc_id").alias("id"), first.alias("title"), F.coalesce("text", F.lit("")).alias("body"), F.coalesce("lang", F.lit("")).alias("lang"), "source", "fetched_at")
+    return d.select(F.col("doc_id").alias("id"), first.alias("title"), F.coalesce("text", F.lit("")).alias("body"), F.coalesce("lang", F.lit("")).alias("lang"), "source", "url", "fetched_at")
 
 
 def vectors(spark, sf_dir):

@@ -10,6 +10,7 @@ from presswerk.operators import evaluation, profile, store, writing
 from presswerk.plans.curation_queries import LATEST, latest, nurl
 from presswerk.plans.text_queries import norm, strip
 from presswerk.session import read_table
+from presswerk.sources import readers
 
 
 def summaries(spark, sf_dir):
@@ -176,11 +177,10 @@ def a13_interest_counts(spark, sf_dir):
 
 
 def n13_normalise(spark, sf_dir):
-    """The articles' raw JSON under its varying names, brought into one schema, rows without title or content dropped."""
-    a = latest(spark, sf_dir)
-    j = lambda *names: F.coalesce(*[F.nullif(F.get_json_object("raw", f"$.{n}"), F.lit("")) for n in names])
-    row = a.select("id", j("headline", "title").alias("title"), j("text", "article", "description", "content").alias("content"), j("source_name", "domain", "source").alias("source"), j("link", "url").alias("url"))
-    return row.select("id", F.md5(F.coalesce("title", F.lit(""))).alias("title_md5"), F.md5(F.coalesce("content", F.lit(""))).alias("content_md5"), F.coalesce("source", F.lit("")).alias("source"), F.coalesce("url", F.lit("")).alias("url"))
+    """The articles' raw JSON under its varying names, through the article reader's own normaliser."""
+    names = sorted({n for some in readers.ALIASES.values() for n in some})
+    raw = latest(spark, sf_dir).select(*[F.get_json_object("raw", f"$.{n}").alias(n) for n in names])
+    return readers.normalise(raw).select("id", F.md5("title").alias("title_md5"), F.md5("content").alias("content_md5"), F.coalesce("source", F.lit("")).alias("source"), F.coalesce("url", F.lit("")).alias("url"))
 
 
 def d7_raw_overlay(spark, sf_dir):
@@ -189,7 +189,15 @@ def d7_raw_overlay(spark, sf_dir):
     return a.select("id", F.coalesce(F.nullif("lang", F.lit("")), F.get_json_object("raw", "$.lang"), F.lit("none")).alias("lang"), F.coalesce(F.nullif("source", F.lit("")), F.get_json_object("raw", "$.source"), F.lit("none")).alias("source"))
 
 
-_J = "nullif(json_extract_string(raw, '$.{0}'), '')"
+_UUID = "substr(m,1,8)||'-'||substr(m,9,4)||'-'||substr(m,13,4)||'-'||substr(m,17,4)||'-'||substr(m,21,12)"
+
+
+def _J(name):
+    """A field of the raw JSON without white space around; blank, None and nan are nothing."""
+    x = strip(f"json_extract_string(raw, '$.{name}')")
+    return f"nullif(nullif(nullif({x}, ''), 'None'), 'nan')"
+
+
 _HITN = f"h AS (SELECT lower(interest) AS interest, rank, article_id AS id, {nurl('payload.url')} AS u FROM retrieval_hits)"
 _EV = f"""{_HITN}, bi AS (SELECT id, min(struct_pack(rank, interest)) AS x FROM h GROUP BY id), bu AS (SELECT u, min(struct_pack(rank, interest)) AS x FROM h WHERE u <> '' GROUP BY u),
 e AS (SELECT item_id, list_transform(coalesce(expected_interests, []), lambda y: lower(trim(y))) AS ex, coalesce(rank_target_max, 20) AS tg, coalesce(bi.x, bu.x) AS hit FROM eval_articles LEFT JOIN bi ON bi.id = article_id LEFT JOIN bu ON bu.u = {nurl('url')}),
@@ -243,6 +251,8 @@ ORACLES = {
     "g5_raw_json": "SELECT id, coalesce(array_to_string(list_sort(json_keys(raw_llm)), ','), 'none') AS keys FROM article_summaries",
     "a2_cache_metadata": "SELECT count(*) AS n, max(epoch_us(updated_at)) AS latest_us FROM articles",
     "a13_interest_counts": "SELECT interest, count(*) AS n, max(writing_run_id) AS last FROM article_summaries GROUP BY interest",
-    "n13_normalise": f"WITH {LATEST} SELECT id, md5(coalesce({_J.format('headline')}, {_J.format('title')}, '')) AS title_md5, md5(coalesce({_J.format('text')}, {_J.format('article')}, {_J.format('description')}, {_J.format('content')}, '')) AS content_md5, coalesce({_J.format('source_name')}, {_J.format('domain')}, {_J.format('source')}, '') AS source, coalesce({_J.format('link')}, {_J.format('url')}, '') AS url FROM a",
+    "n13_normalise": f"""WITH {LATEST}, j AS (SELECT coalesce({_J('headline')}, {_J('title')}) AS title, coalesce({_J('text')}, {_J('article')}, {_J('description')}, {_J('content')}) AS content, coalesce({_J('source_name')}, {_J('domain')}, {_J('source')}) AS source, coalesce({_J('link')}, {_J('url')}) AS url FROM a),
+k AS (SELECT *, md5(CASE WHEN coalesce(url, '') <> '' THEN url ELSE {strip("title||'||'||substr(content, 1, 400)")} END) AS m FROM j WHERE title IS NOT NULL AND content IS NOT NULL), u AS (SELECT {_UUID} AS id, title, content, source, url FROM k),
+f AS (SELECT id, count(DISTINCT title||chr(31)||content||chr(31)||coalesce(source, '')||chr(31)||coalesce(url, '')) AS n FROM u GROUP BY id) SELECT DISTINCT id, md5(title) AS title_md5, md5(content) AS content_md5, coalesce(source, '') AS source, coalesce(url, '') AS url FROM u""",
     "d7_raw_overlay": f"WITH {LATEST} SELECT id, coalesce(nullif(lang,''), json_extract_string(raw, '$.lang'), 'none') AS lang, coalesce(nullif(source,''), json_extract_string(raw, '$.source'), 'none') AS source FROM a",
 }

@@ -82,7 +82,7 @@ GUESS_WORDS = {"en": "the of and to in that for with", "fr": "le les des du et d
 
 
 def n15_detect_lang(spark, sf_dir):
-    """A guess from function words; NULL under twenty characters or without evidence."""
+    """A stand-in for a detector's model: a guess from function words, none under twenty characters or without evidence."""
     words = GUESS_WORDS
     d = read_table(spark, sf_dir, "documents")
     tokens = F.regexp_extract_all(F.lower(F.coalesce("text", F.lit(""))), F.lit(r"[\p{L}\p{N}_]+"), F.lit(0))
