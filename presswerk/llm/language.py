@@ -177,8 +177,8 @@ def fit_on_labels(df: DataFrame, sources: DataFrame, names: list[str], max_rows:
     return train(lines, np.array(labels)) if lines else None
 
 
-def judge(lines: list[str], model: LanguageModel, kinds: list[int], min_confidence: float = MIN_CONFIDENCE) -> tuple[str, float, list[tuple[int, str, float]]]:
-    """Main language, its confidence, and (line number, language, confidence) of the lines in another one."""
+def judge(lines: list[str], model: LanguageModel, kinds: list[int], min_confidence: float = MIN_CONFIDENCE) -> tuple[str, float, list[tuple[int, str, float]], bool]:
+    """Main language, its confidence, (line number, language, confidence) of the lines in another one, whether no line is sure."""
     story = [i for i, k in enumerate(kinds) if k == STORY] or [i for i, k in enumerate(kinds) if k == PAGE]
     return _judge(lines, story, model.logits([lines[i] for i in story]), min_confidence)
 
@@ -188,16 +188,17 @@ def _judge(lines, story, logits, min_confidence):
     words = np.array([len(_WORD.findall(lines[i])) for i in story])
     best, sure = probabilities.argmax(axis=1), probabilities.max(axis=1)
     decided = sure >= np.where(words >= MIN_LINE_WORDS, min_confidence, max(min_confidence, SHORT_CONFIDENCE))
+    rejected = not decided.any()
     weight = np.bincount(best[decided], weights=words[decided], minlength=len(LANGUAGES)) if decided.any() else None
     if weight is None or not weight.any():
         weight = (probabilities * np.maximum(words, 1)[:, None]).sum(axis=0)
     main = int(weight.argmax())
     foreign = [(story[k], LANGUAGES[best[k]], float(sure[k])) for k in np.flatnonzero(decided & (best != main))]
-    return LANGUAGES[main], float(weight[main] / weight.sum()), foreign
+    return LANGUAGES[main], float(weight[main] / weight.sum()), foreign, rejected
 
 
 def _judge_batches(model, names, min_confidence):
-    schema = pa.schema([("id", pa.string()), ("main", pa.string()), ("main_confidence", pa.float64()), ("line_nos", pa.list_(pa.int32())), ("langs", pa.list_(pa.string())), ("confidences", pa.list_(pa.float64()))])
+    schema = pa.schema([("id", pa.string()), ("main", pa.string()), ("main_confidence", pa.float64()), ("line_nos", pa.list_(pa.int32())), ("langs", pa.list_(pa.string())), ("confidences", pa.list_(pa.float64())), ("rejected", pa.bool_())])
 
     def run(batches):
         finder = PublisherNames(names)
@@ -214,16 +215,19 @@ def _judge_batches(model, names, min_confidence):
                     texts.extend(lines[i] for i in story)
             logits, at, out = model.logits(texts), 0, []
             for key, lines, story in rows:
-                main, sure, foreign = _judge(lines, story, logits[at : at + len(story)], min_confidence)
+                main, sure, foreign, rejected = _judge(lines, story, logits[at : at + len(story)], min_confidence)
                 at += len(story)
-                out.append((key, main, sure, [x[0] for x in foreign], [x[1] for x in foreign], [x[2] for x in foreign]))
+                out.append((key, main, sure, [x[0] for x in foreign], [x[1] for x in foreign], [x[2] for x in foreign], rejected))
             yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(zip(*out, strict=True), schema.types, strict=True)] if out else [pa.array([], t) for t in schema.types], schema=schema)
 
     return run
 
 
 def language_labels(df: DataFrame, sources: DataFrame, id_col: str = "id", text_col: str = "content", lang_col: str = "lang", source_col: str = "source", max_rows: int = MAX_ROWS_PER_LANGUAGE, min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
-    """Rows (id, line_no, lang, confidence, label): `line_no` -1 gives the main language, others foreign story lines.
+    """Rows (id, line_no, lang, confidence, label, rejected): `line_no` -1 gives the main language, others foreign story lines.
+
+    `rejected` marks a text of which no line reached the confidence asked for: its main language is the likeliest of
+    the model's and may be none of them.
 
     Null ids and null, empty or None / nan texts give no rows. Repeated rows count once, ties go to the first
     language of the list, extra columns are ignored, and without rows in at least two languages to learn from the
@@ -231,20 +235,20 @@ def language_labels(df: DataFrame, sources: DataFrame, id_col: str = "id", text_
     """
     names = publisher_names(sources)
     model = fit_on_labels(df, sources, names, max_rows, id_col, text_col, lang_col, source_col)
-    out = "id string, line_no int, lang string, confidence double, label string"
+    out = "id string, line_no int, lang string, confidence double, label string, rejected boolean"
     if model is None:
         return df.sparkSession.createDataFrame([], out)
     rows = df.where(F.col(id_col).isNotNull() & F.col(text_col).isNotNull())
     # The label rides along as part of the key, so no second pass over the table is needed.
     key = F.concat_ws("\u001f", F.coalesce(label_code(F.col(lang_col)), F.lit("")), F.col(id_col).cast("string"))
     judged = rows.select(key.alias("id"), F.col(text_col).alias("content")).mapInArrow(
-        _judge_batches(model, names, min_confidence), "id string, main string, main_confidence double, line_nos array<int>, langs array<string>, confidences array<double>"
+        _judge_batches(model, names, min_confidence), "id string, main string, main_confidence double, line_nos array<int>, langs array<string>, confidences array<double>, rejected boolean"
     )
     parts = F.split("id", "\u001f", 2)
-    judged = judged.select(parts[1].alias("id"), F.nullif(parts[0], F.lit("")).alias("label"), "main", "main_confidence", "line_nos", "langs", "confidences").dropDuplicates(["id"])
+    judged = judged.select(parts[1].alias("id"), F.nullif(parts[0], F.lit("")).alias("label"), "main", "main_confidence", "line_nos", "langs", "confidences", "rejected").dropDuplicates(["id"])
     main = F.array(F.struct(F.lit(-1).alias("line_no"), F.col("main").alias("lang"), F.col("main_confidence").alias("confidence")))
     foreign = F.transform(F.arrays_zip("line_nos", "langs", "confidences"), lambda x: F.struct(x["line_nos"].alias("line_no"), x["langs"].alias("lang"), x["confidences"].alias("confidence")))
-    return judged.select("id", "label", F.explode(F.concat(main, foreign)).alias("x")).select("id", "x.line_no", "x.lang", "x.confidence", "label")
+    return judged.select("id", "label", "rejected", F.explode(F.concat(main, foreign)).alias("x")).select("id", "x.line_no", "x.lang", "x.confidence", "label", "rejected")
 
 
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:

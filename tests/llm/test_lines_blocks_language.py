@@ -148,5 +148,7 @@ def test_language_rows(spark, labelled):
     out = language.language_labels(df, sources, max_rows=120).where(f"id in {tuple(ids)}").collect()
     got = {(r.id, r.line_no, r.lang) for r in out}
     assert got == {("right", -1, "en"), ("missing", -1, "en"), ("wrong", -1, "fr"), ("mixed", -1, "en"), ("mixed", 1, "fr")} and len(out) == 5
-    assert all(0 < r.confidence <= 1 for r in out)
+    assert all(0 < r.confidence <= 1 and not r.rejected for r in out)
+    unknown = spark.createDataFrame([("zz", "Xq zv.\nKj wq.", "en", home)], "id string, content string, lang string, source string")
+    assert [r.rejected for r in language.language_labels(df.unionByName(unknown), sources, max_rows=120).where("id = 'zz' and line_no = -1").collect()] == [True]
     assert language.language_labels(df.limit(0), sources).count() == 0
