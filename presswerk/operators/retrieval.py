@@ -7,6 +7,7 @@ the whole table of queries, and only ranked candidates travel further.
 from __future__ import annotations
 
 import dataclasses
+import math
 
 import numpy as np
 import pyarrow as pa
@@ -16,7 +17,7 @@ from pyspark.sql import functions as F
 
 from presswerk.functions.similarity import dot
 from presswerk.functions.text import norm_text, unicode_tokens
-from presswerk.session import broadcast_if_small, cut_lineage, spread
+from presswerk.session import cut_lineage, spread
 
 
 @dataclasses.dataclass(frozen=True)
@@ -44,8 +45,8 @@ class RetrievalConfig:
 
 
 K1, B, EPSILON = 1.5, 0.75, 0.25
-#: Bounds of one run: query specs and their different terms; bytes of a term at most, by which a broadcast is checked.
-MAX_SPECS, MAX_TERMS, TERM_BYTES = 20_000, 20_000, 400
+#: Bounds of one run: query specs, and their terms, which make local tables of a few MB at most.
+MAX_SPECS, MAX_TERMS = 20_000, 100_000
 #: Scores that a task holds at a time.
 BLOCK_CELLS = 1 << 22
 
@@ -65,15 +66,10 @@ def _raw_vocabulary(docs: DataFrame, size: DataFrame) -> DataFrame:
     return terms.crossJoin(F.broadcast(size)).select("term", "df", _raw_idf(F.col("n"), F.col("df")).alias("raw"))  # one row
 
 
-def _floored(raw: DataFrame, mean: DataFrame) -> DataFrame:
-    """(term, df, idf): a negative value is replaced by a share of the mean over the vocabulary."""
-    return raw.crossJoin(F.broadcast(mean)).select("term", "df", F.when(F.col("raw") < 0, F.lit(EPSILON) * F.col("mean")).otherwise(F.col("raw")).alias("idf"))  # one row
-
-
 def vocabulary(docs: DataFrame, size: DataFrame) -> DataFrame:
-    """(term, df, idf) of every term of docs (id, text)."""
+    """(term, df, idf) of every term of docs (id, text); a negative idf is replaced by a share of the mean one."""
     raw = _raw_vocabulary(docs, size)
-    return _floored(raw, raw.agg(F.avg("raw").alias("mean")))
+    return raw.crossJoin(F.broadcast(raw.agg(F.avg("raw").alias("mean")))).select("term", "df", F.when(F.col("raw") < 0, F.lit(EPSILON) * F.col("mean")).otherwise(F.col("raw")).alias("idf"))  # one row
 
 
 def term_postings(docs: DataFrame, terms: DataFrame | None = None) -> DataFrame:
@@ -86,14 +82,18 @@ def term_postings(docs: DataFrame, terms: DataFrame | None = None) -> DataFrame:
 
 
 def query_terms(queries: DataFrame) -> DataFrame:
-    """(q, term, qtf) of queries (q, text), written once; a run's queries are few."""
-    return cut_lineage(queries.select("q", F.explode(unicode_tokens(F.col("text"))).alias("term")).groupBy("q", "term").agg(F.count("*").alias("qtf")), "query-terms")
-
-
-def weigh(postings: DataFrame, weights: DataFrame, size: DataFrame) -> DataFrame:
-    """(q, id, score), positive only, from postings, weights (q, term, weight) and the corpus size."""
-    hits = postings.join(weights, "term").crossJoin(F.broadcast(size))  # one row
-    part = F.col("weight") * F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * F.col("dl") / F.col("avgdl")))
+    """(q, term, qtf) of queries (q, text) as a local table; a run's queries are few, and too many terms are an error."""
+    terms = queries.select("q", F.explode(unicode_tokens(F.col("text"))).alias("term")).groupBy("q", "term").agg(F.count("*").alias("qtf"))
+    rows = terms.limit(MAX_TERMS + 1).collect()
+    if len(rows) > MAX_TERMS:
+        raise ValueError(f"a run has at most {MAX_TERMS} query terms")
+    return terms.sparkSession.createDataFrame(rows, terms.schema)
+
+
+def weigh(postings: DataFrame, weights: DataFrame, average_length: float) -> DataFrame:
+    """(q, id, score), positive only, from postings, weights (q, term, weight) and the mean length of the documents."""
+    hits = postings.join(F.broadcast(weights), "term")  # at most MAX_TERMS rows
+    part = F.col("weight") * F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * F.col("dl") / F.lit(average_length)))
     return hits.groupBy("q", "id").agg(F.sum(part).alias("score")).where("score > 0")
 
 
@@ -104,15 +104,19 @@ def bm25_scores(docs: DataFrame, queries: DataFrame) -> DataFrame:
     is counted only if a term stands in more than half of the documents, as its idf is then a share of the mean one.
     """
     docs, terms = spread(docs), query_terms(queries)
+    size = corpus_size(docs).first()
+    if not size.n or not size.avgdl:
+        return docs.limit(0).select(F.lit("").alias("q"), "id", F.lit(0.0).alias("score"))
+    n, length = int(size.n), float(size.avgdl)
     wanted = terms.select("term").distinct()
-    size = cut_lineage(corpus_size(docs), "corpus-size")
-    postings = cut_lineage(term_postings(docs, broadcast_if_small(wanted, wanted.count(), TERM_BYTES)), "postings")
-    known = postings.groupBy("term").agg(F.count("*").alias("df")).crossJoin(F.broadcast(size)).select("term", "df", _raw_idf(F.col("n"), F.col("df")).alias("raw"))  # one row
-    if known.where("raw < 0").isEmpty():
-        known = known.withColumnRenamed("raw", "idf")
-    else:
-        known = _floored(known, _raw_vocabulary(docs, size).agg(F.avg("raw").alias("mean")))
-    return weigh(postings, terms.join(known, "term").select("q", "term", (F.col("qtf") * F.col("idf")).alias("weight")), size)
+    postings = cut_lineage(term_postings(docs, F.broadcast(wanted)), "postings")  # at most MAX_TERMS rows
+    known = {r.term: math.log(n - r.df + 0.5) - math.log(r.df + 0.5) for r in postings.groupBy("term").agg(F.count("*").alias("df")).collect()}  # at most MAX_TERMS rows
+    if any(raw < 0 for raw in known.values()):
+        row = docs.sparkSession.createDataFrame([(n, length)], "n long, avgdl double")
+        mean = _raw_vocabulary(docs, row).agg(F.avg("raw")).first()[0]
+        known = {term: EPSILON * mean if raw < 0 else raw for term, raw in known.items()}
+    weights = docs.sparkSession.createDataFrame([(r.q, r.term, r.qtf * known[r.term]) for r in terms.collect() if r.term in known], "q string, term string, weight double")
+    return weigh(postings, weights, length)
 
 
 class Bm25Index:
@@ -157,14 +161,13 @@ class Bm25Index:
     def scores(self, queries: DataFrame) -> DataFrame:
         """As `bm25_scores`, from the buckets of the queries' terms."""
         terms = query_terms(queries)
-        wanted = [r[0] for r in terms.select("term").distinct().limit(MAX_TERMS + 1).collect()]
-        if len(wanted) > MAX_TERMS:
-            raise ValueError(f"a run has at most {MAX_TERMS} different query terms")
+        wanted = sorted({r.term for r in terms.collect()})
         buckets = [r[0] for r in terms.select(F.pmod(F.xxhash64("term"), F.lit(self.BUCKETS)).cast("int")).distinct().collect()]  # at most BUCKETS
         inside = F.col("bucket").isin(buckets) & F.col("term").isin(wanted)
-        known = self._table("vocabulary").where(inside).select("term", "idf")
-        weights = terms.join(known, "term").select("q", "term", (F.col("qtf") * F.col("idf")).alias("weight"))
-        return weigh(self._table("postings").where(inside).drop("bucket"), weights, self._table("size"))
+        known = {r.term: r.idf for r in self._table("vocabulary").where(inside).select("term", "idf").collect()}  # at most MAX_TERMS rows
+        weights = self.spark.createDataFrame([(r.q, r.term, r.qtf * known[r.term]) for r in terms.collect() if r.term in known], "q string, term string, weight double")
+        size = self._table("size").first()
+        return weigh(self._table("postings").where(inside).drop("bucket"), weights, float(size.avgdl or 0.0))
 
 
 def rank_within(df: DataFrame, keys: list[str], score: str, id_col: str, k: int | None = None, name: str = "rank") -> DataFrame:

@@ -1,4 +1,4 @@
-"""Session helpers: table loading, lineage cuts in the shared folder, size-checked broadcast."""
+"""Session helpers: table loading and lineage cuts in the shared folder."""
 
 from __future__ import annotations
 
@@ -8,10 +8,6 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-#: Broadcast hints are given only to inputs with a proven bound under this many bytes.
-BROADCAST_LIMIT_BYTES = 64 << 20
 
 _written: dict[str, SparkSession] = {}
 _own_folder: list[str] = []
@@ -102,11 +98,6 @@ def _remove_written() -> None:
         _remove(path)
 
 
-def broadcast_if_small(df: DataFrame, rows: int, row_bytes: int) -> DataFrame:
-    """Hint a broadcast only if `rows` (a proven bound or a count) times `row_bytes` stays under the limit."""
-    return F.broadcast(df) if rows * row_bytes <= BROADCAST_LIMIT_BYTES else df
-
-
 def spread(df: DataFrame) -> DataFrame:
     """`df` over all cores, if its files give fewer tasks than there are; large inputs are left as they are."""
     cores = df.sparkSession.sparkContext.defaultParallelism

@@ -120,6 +120,7 @@ def test_bm25_index_agrees_and_is_cached(spark, tmp_path):
     rows = lambda df: {(r.q, r.id): round(r.score, 9) for r in df.collect()}
     direct = rows(retrieval.bm25_scores(docs, queries))
     assert direct and rows(index.scores(queries)) == direct
+    assert retrieval.bm25_scores(docs.limit(0), queries).count() == 0 and retrieval.bm25_scores(docs, queries.limit(0)).count() == 0
     now = index.signature(docs.repartition(7))
     assert index.is_current(now) and not index.is_current(index.signature(docs.where("id > 0")))
     assert not retrieval.Bm25Index(spark, str(tmp_path / "none")).is_current(now)
