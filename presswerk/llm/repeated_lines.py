@@ -18,6 +18,9 @@ from presswerk.session import cut_lineage, read_table
 BLOCK_BITS = 16
 LIST_LIMIT = 4096  # positions of two bytes each; beyond that a bitmap of 8 KB is smaller
 
+#: Lines that are looked up together, about; one document's lines are never parted.
+LOOK_UP_LINES = 2_000_000
+
 MIN_DOCS = 8
 MIN_SHARE = 0.04
 
@@ -148,6 +151,7 @@ def find_repeated_lines(
     text_col: str = "content",
     min_docs: int = MIN_DOCS,
     min_share: float = MIN_SHARE,
+    look_up_lines: int = LOOK_UP_LINES,
 ) -> DataFrame:
     """Rows (id, line_no): every place where a line repeated excessively within its source stands.
 
@@ -167,7 +171,11 @@ def find_repeated_lines(
     containers = containers.withColumn("total", F.sum("n").over(Window.partitionBy("src", "key"))).where(F.col("total") >= min_docs)
     frequent = containers.join(totals, "src").where(F.col("total") >= F.col("docs") * F.lit(min_share) - 1e-9).select("src", "key", "block", "container")
     blocks = docs.select("id", "src", "line_nos", "keys", F.shiftright("doc", BLOCK_BITS).alias("block"), F.col("doc").bitwiseAND((1 << BLOCK_BITS) - 1).cast("int").alias("position"))
-    found = blocks.groupBy("block").cogroup(frequent.groupBy("block")).applyInArrow(_look_up, "id string, line_no int")
+    # A block is looked up in as many parts as its lines ask for, each with the block's containers.
+    parts = blocks.groupBy("block").agg(F.ceil(F.sum(F.size("keys")) / look_up_lines).cast("int").alias("parts")).where("parts > 0")
+    blocks = blocks.join(parts, "block").withColumn("part", F.pmod(F.xxhash64("position"), F.col("parts")).cast("int")).drop("parts")
+    frequent = frequent.join(parts, "block").select("src", "key", "block", "container", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
+    found = blocks.groupBy("block", "part").cogroup(frequent.groupBy("block", "part")).applyInArrow(_look_up, "id string, line_no int")
     return found.distinct()
 
 

@@ -52,6 +52,8 @@ def test_repeated_lines_match_brute_force(spark):
     rows += rows[:40] + [(None, "hot", "All rights reserved", None, None, None), ("long", "hot", "x" * 200_000 + "\nBy the desk", "k", 1, 2)]
     found = {(r.id, r.line_no) for r in repeated_lines.find_repeated_lines(spark.createDataFrame(rows, ARTICLES)).collect()}
     assert found == brute_repeated([(r[0], r[1], r[2]) for r in rows]) and found
+    parted = repeated_lines.find_repeated_lines(spark.createDataFrame(rows, ARTICLES), look_up_lines=50)
+    assert {(r.id, r.line_no) for r in parted.collect()} == found
     assert repeated_lines.find_repeated_lines(spark.createDataFrame([], ARTICLES)).count() == 0
 
 
