@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from presswerk.llm.blocks import STOP_WORDS, STORY, PublisherNames, has_text, label_lines, publisher_names
+from presswerk.llm.filters import asked_for
 from presswerk.session import read_table
 
 MIN_TILE = 4
@@ -315,6 +316,8 @@ def find_defects(answers: DataFrame, articles: DataFrame, sources: DataFrame, la
     """
     left = answers.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.col(key_col).alias("key"), F.col(text_col).alias("answer"))
     right = articles.where(F.col(article_id_col).isNotNull()).select(F.col(article_id_col).alias("key"), F.col(title_col).alias("title"), F.col(content_col).alias("content"))
+    # Articles without an answer stay where they are.
+    right = asked_for(right, left.select("key").where("key is not null"), "key")
     joined = left.join(right, "key", "left").select("id", "answer", "title", "content")
     judged = joined.mapInArrow(_judge_batches(publisher_names(sources), language), "id long, defect string")
     # An answer may meet several versions of its article; the first kind in the order of precedence counts.

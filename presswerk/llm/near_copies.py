@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from presswerk.llm.blocks import has_text
+from presswerk.llm.filters import asked_for
 from presswerk.llm.words import WORD, WordHashes, mix, runs
 from presswerk.session import cut_lineage, read_table, release
 
@@ -30,8 +31,8 @@ THIN, THIN_LIMIT = 64, 0.23
 #: Records whose bands are made at a time, and records of one band of them from which one leader stands for the rest.
 BATCH_RECORDS, LOCAL_GROUP = 2000, 64
 ALONE, LEADS = -1, -2
-#: Size of the filter of the records to be compared, and of the parts in which a set travels.
-FILTER_BITS, PART_BYTES = 25, 16_380
+#: Size of the parts in which a set travels.
+PART_BYTES = 16_380
 #: Different texts of one band whose pairs are all looked at directly; larger bands are compared by leader, then in blocks.
 GROUP = 256
 
@@ -201,26 +202,6 @@ def _thin_batches(batches):
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(keep), batch.column(1).filter(keep)], names=["a", "b"])
 
 
-def _filter_batches(batches):
-    """(hash) -> bits of the hashes of one partition, packed."""
-    bits = np.zeros(1 << FILTER_BITS, dtype=bool)
-    for batch in batches:
-        bits[batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64) >> np.uint64(64 - FILTER_BITS)] = True
-    yield pa.RecordBatch.from_arrays([pa.array([np.packbits(bits).tobytes()], pa.binary())], names=["bits"])
-
-
-def _kept_batches(keep):
-    """(hash, id, title, content) -> (id, title, content) of the rows whose bit is set."""
-
-    def run(batches):
-        bits = np.unpackbits(np.frombuffer(keep.value, dtype=np.uint8)).view(bool)
-        for batch in batches:
-            mask = bits[batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64) >> np.uint64(64 - FILTER_BITS)]
-            yield pa.RecordBatch.from_arrays([batch.column(i) for i in (1, 2, 3)], names=["id", "title", "content"]).filter(pa.array(mask))
-
-    return run
-
-
 def _set_batches(batches):
     """(a, b, row, set_a, set_b, title, content) -> (a, b, row, part, elements): the pair's side with its set, in parts.
 
@@ -311,12 +292,8 @@ def _similar(pairs: DataFrame, members: DataFrame, rows: DataFrame, min_similari
     candidates = cut_lineage(thinned.select("a", "b", "bits_a", "bits_b").mapInArrow(_thin_batches, "a long, b long"), "candidates")
     sides = candidates.select("a", "b", F.explode(F.array("a", "b")).alias("row")).join(members.select("row", "id", "set_a", "set_b"), "row")
     sides = cut_lineage(sides, "sides")
-    # Texts that no candidate needs stay where they are; the filter has a fixed size, and full of bits it lets all through.
-    bits = np.zeros((1 << FILTER_BITS) // 8, dtype=np.uint8)
-    for part in sides.select(F.xxhash64("id")).coalesce(8).mapInArrow(_filter_batches, "bits binary").collect():
-        bits |= np.frombuffer(part[0], dtype=np.uint8)
-    keep = pairs.sparkSession.sparkContext.broadcast(bits.tobytes())
-    texts = rows.select(F.xxhash64("id"), "id", "title", "content").mapInArrow(_kept_batches(keep), "id string, title string, content string")
+    # Texts that no candidate needs stay where they are.
+    texts = asked_for(rows, sides.select("id"), "id")
     met = sides.join(texts, "id").select("a", "b", "row", "set_a", "set_b", "title", "content").mapInArrow(_set_batches, "a long, b long, row long, part int, elements binary")
     # Both sides of a pair meet under the pair's own key, so a record with many links makes no hot key.
     edges = met.repartition("a", "b").sortWithinPartitions("a", "b", "row", "part").mapInArrow(_verify_batches(min_similarity), "a long, b long")
