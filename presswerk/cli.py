@@ -69,7 +69,7 @@ def parser() -> argparse.ArgumentParser:
     command(
         "retrieve", interest=many, tags=many, expansions_dir={}, reindex={"action": "store_true"}, resume_index={"action": "store_true"}, lang=many, min_sim=real, min_bm25=real, dense_only={"action": "store_true"},
         aggregate={"action": "store_true"}, topk=number, dense_per_center=number, bm25_k=number, max_expansions={"type": int, "default": specs.MAX_EXPANSIONS}, dense_per_anchor=number, dense_per_expansion=number, bm25_title_k=number,
-        bm25_body_k=number, rrf_k=number, candidate_cap=number, out={},
+        bm25_body_k=number, rrf_k=number, candidate_cap=number, days={"type": int, "default": 0}, as_of={}, out={},
     )
     command("dedup", interest=many, run_id=number, stage2_max_candidates={"type": int, "default": 120})
     command(
@@ -112,7 +112,11 @@ def retrieve(w: Workspace, args) -> dict:
         wanted = retrieval.merge_specs(wanted.unionByName(specs.tag_specs(args.tags, interests, w.embedder)))
     if args.aggregate:
         wanted = specs.aggregate_specs(wanted)
-    hits = retrieval.retrieve(docs, w.vectors.table.read(), wanted, config, args.lang or None)
+    vectors = w.vectors.table.read()
+    if config.days > 0:
+        dates = w.articles.read().select("id", F.to_timestamp(F.col("published_date")).alias("date"))
+        vectors = vectors.join(dates, "id", "left")
+    hits = retrieval.retrieve(docs, vectors, wanted, config, args.lang or None, args.as_of)
     run = w.ledger.create("retrieval", vars(args))
     w.ledger.write("retrieval", run, hits)
     if args.out:

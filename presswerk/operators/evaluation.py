@@ -26,9 +26,9 @@ def by_interest(evaluated: DataFrame) -> DataFrame:
 
 
 def hit_rates(evaluated: DataFrame, k: int = 20) -> DataFrame:
-    """One row (items, hit_at_k, mrr): share of items found right within k, and mean reciprocal rank."""
-    rank = F.when(F.col("ok"), F.col("found_rank"))
-    return evaluated.agg(F.count("*").alias("items"), F.avg(F.coalesce((rank <= k).cast("double"), F.lit(0.0))).alias("hit_at_k"), F.avg(F.coalesce(1.0 / rank, F.lit(0.0))).alias("mrr"))
+    """One row (items, hit_at_k, mrr, any_hit_at_k): share of items found right within k, mean reciprocal rank, share found at all."""
+    rank, any_rank = F.when(F.col("ok"), F.col("found_rank")), F.when(F.col("found"), F.col("found_rank"))
+    return evaluated.agg(F.avg(F.coalesce((any_rank <= k).cast("double"), F.lit(0.0))).alias("any_hit_at_k"), F.count("*").alias("items"), F.avg(F.coalesce((rank <= k).cast("double"), F.lit(0.0))).alias("hit_at_k"), F.avg(F.coalesce(1.0 / rank, F.lit(0.0))).alias("mrr"))
 
 
 def evaluate(items: DataFrame, hits: DataFrame) -> DataFrame:

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from presswerk.operators.retrieval import dense_topk
+from presswerk.operators.retrieval import dense_topk, recent
 from presswerk.operators.store import KeyedTable
 
 _WORD = re.compile(r"\w+")
@@ -96,8 +96,4 @@ class VectorIndex:
 
     def search(self, specs: DataFrame, k: int, days: int = 0, as_of: str | None = None) -> DataFrame:
         """(q, id, score, rank); with `days` only vectors whose `date` is not older at `as_of`, null dates are out."""
-        vectors = self.table.read()
-        if days > 0:
-            now = F.lit(as_of).cast("timestamp") if as_of else F.current_timestamp()
-            vectors = vectors.where(F.col("date") >= now - F.make_interval(days=F.lit(days)))
-        return dense_topk(vectors, specs, k)
+        return dense_topk(recent(self.table.read(), days, as_of), specs, k)

@@ -34,6 +34,8 @@ class RetrievalConfig:
     min_sim: float = 0.15
     min_bm25: float = 0.05
     threshold_mode: str = "both"
+    #: Only vectors dated within so many days are searched, 0 for all; lexical search takes all.
+    days: int = 0
 
     @classmethod
     def preset(cls, name: str) -> RetrievalConfig:
@@ -226,6 +228,14 @@ def dense_topk(vectors: DataFrame, specs: DataFrame, k: int, id_col: str = "id",
     return rank_within(found.mapInArrow(best, f"q string, id {'string' if kind == 'string' else 'long'}, score double"), ["q"], "score", "id", k)
 
 
+def recent(vectors: DataFrame, days: int, as_of: str | None = None, date_col: str = "date") -> DataFrame:
+    """The vectors dated not more than `days` before `as_of` (by default now); null dates are out. 0 days are no limit."""
+    if days <= 0:
+        return vectors
+    now = F.lit(as_of).cast("timestamp") if as_of else F.current_timestamp()
+    return vectors.where((F.col(date_col) >= now - F.make_interval(days=F.lit(days))) & (F.col(date_col) < now))
+
+
 def rrf(hits: DataFrame, keys: list[str], weight: Column | float = 1.0, rank_col: str = "rank", k: int = 60) -> DataFrame:
     """Weighted reciprocal-rank fusion: sum of weight / (k + rank) over the hits of a key."""
     return hits.where(F.col(rank_col) > 0).groupBy(*keys).agg(F.sum((weight if isinstance(weight, Column) else F.lit(weight)) / (F.lit(k) + F.col(rank_col))).alias("rrf"))
@@ -277,8 +287,9 @@ def final_score(rrf_norm: Column, dense_max: Column, dense_cov: Column, lex_norm
     return 0.45 * rrf_norm + 0.30 * dense_max + 0.15 * dense_cov + 0.10 * lex_norm
 
 
-def retrieve(docs: DataFrame, vectors: DataFrame, specs: DataFrame, config: RetrievalConfig, langs: list[str] | None = None) -> DataFrame:
-    """(interest, rank, id, score) over docs (id, title, body, lang), vectors (id, vec) and merged specs, in one plan."""
+def retrieve(docs: DataFrame, vectors: DataFrame, specs: DataFrame, config: RetrievalConfig, langs: list[str] | None = None, as_of: str | None = None) -> DataFrame:
+    """(interest, rank, id, score) over docs (id, title, body, lang), vectors (id, vec, and date for `days`) and merged specs, in one plan."""
+    searched, vectors = recent(vectors, config.days, as_of), vectors.select("id", "vec")
     specs = specs.withColumn("q", F.concat_ws("#", "interest", F.col("q_pos").cast("string"))).select("q", "interest", "q_pos", "text", "weight", "kind", F.col("vec").cast("array<double>").alias("vec"))
     # As a local table of a checked size they are planned once, not in every branch.
     specs = specs.sparkSession.createDataFrame(bounded_specs(specs, *specs.columns), specs.schema)
@@ -286,7 +297,7 @@ def retrieve(docs: DataFrame, vectors: DataFrame, specs: DataFrame, config: Retr
     dense = []
     for kind, k in (("anchor", config.dense_per_anchor), ("expansion", config.dense_per_expansion)):
         if k > 0:
-            dense.append(dense_topk(vectors, specs.where(F.col("kind") == kind), k))
+            dense.append(dense_topk(searched, specs.where(F.col("kind") == kind), k))
     # Ranked hits are at most k for a spec; written down, they are not computed again for each of their uses.
     found = cut_lineage(dense[0] if len(dense) == 1 else dense[0].unionByName(dense[1]), "dense-hits")
     dense_rrf = rrf(found.join(small, "q"), ["interest", "id"], F.col("weight"), k=config.rrf_k).withColumnRenamed("rrf", "dense_rrf")

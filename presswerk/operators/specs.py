@@ -57,11 +57,13 @@ def interest_specs(interests: DataFrame, expansions: DataFrame, embedder: Embedd
     """
     anchors = interests.select(strip(F.col("interest")).alias("interest")).where("interest <> ''").distinct()
     anchors = _embedded(anchors.select("interest", F.lit(0).alias("q_pos"), F.col("interest").alias("text"), F.lit(1.0).alias("weight"), F.lit("anchor").alias("kind")), embedder)
-    items = expansions.select("interest", F.posexplode("items").alias("pos", "item")).select(strip(F.col("interest")).alias("interest"), "pos", strip(F.col("item")).alias("text"))
+    # Expansions are found whatever the case and spacing of their interest; of several notations all items count.
+    names = anchors.select("interest", norm_text(F.col("interest")).alias("name"))
+    items = expansions.select(norm_text(F.col("interest")).alias("name"), F.posexplode("items").alias("pos", "item")).join(names, "name").select("interest", "pos", strip(F.col("item")).alias("text"))
     items = items.withColumn("key", norm_text(F.col("text"))).where((F.col("key") != "") & (F.col("key") != norm_text(F.col("interest"))))
     first = items.groupBy("interest", "key").agg(F.min(F.struct("pos", "text")).alias("x")).select("interest", "x.pos", "x.text")
-    place = F.row_number().over(Window.partitionBy("interest").orderBy("pos"))
-    chosen = first.withColumn("q_pos", place).where(F.col("q_pos") <= max_expansions).select("interest", "q_pos", "text").join(anchors.select("interest"), "interest", "left_semi")
+    place = F.row_number().over(Window.partitionBy("interest").orderBy("pos", "text"))
+    chosen = first.withColumn("q_pos", place).where(F.col("q_pos") <= max_expansions).select("interest", "q_pos", "text")
     chosen = _embedded(chosen.withColumn("kind", F.lit("expansion")), embedder).join(anchors.select("interest", F.col("vec").alias("anchor")), "interest")
     weighed = chosen.select("interest", "q_pos", "text", F.least(spec_weight(F.col("anchor"), F.col("vec")), F.lit(MOST_WEIGHT)).alias("weight"), "kind", "vec")
     return merge_specs(anchors.select(*weighed.columns).unionByName(weighed))

@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from presswerk.functions import text as t
+from presswerk.functions.register import register
 from presswerk.functions.similarity import indel_ratio_udf
 from presswerk.operators import dedup, evaluation, profile, rerank, specs, store, writing
 from presswerk.operators.indexing import HashedEmbedder, VectorIndex, embed
@@ -97,7 +97,7 @@ def a12_by_interest(spark, sf_dir):
 
 def a11_hit_rates(spark, sf_dir):
     e = evaluation.hit_rates(_evaluated(spark, sf_dir))
-    return e.select("items", F.round("hit_at_k", 6).alias("hit_at_20"), F.round("mrr", 6).alias("mrr"))
+    return e.select("items", F.round("hit_at_k", 6).alias("hit_at_20"), F.round("mrr", 6).alias("mrr"), F.round("any_hit_at_k", 6).alias("any_hit_at_20"))
 
 
 def j10_neighbours(spark, sf_dir):
@@ -120,6 +120,14 @@ def x15_rerank_rows(spark, sf_dir):
     return rerank.rerank_rows(one, rerank.OverlapScorer(), 20).select("interest", "rank", "id", F.round("rerank_score", 6).alias("rerank_score"))
 
 
+def udtf_segments(spark, sf_dir):
+    """Segments of the payloads' texts by the table function, those that are sentences of a story."""
+    register(spark)
+    texts = read_table(spark, sf_dir, "retrieval_hits").select("article_id", F.col("payload.title").alias("title"), F.col("payload.canonical_text").alias("text")).where("text is not null")
+    texts.dropDuplicates(["article_id"]).createOrReplaceTempView("presswerk_texts")
+    return spark.sql("SELECT article_id, count(*) AS segments, count_if(score >= 0) AS kept FROM presswerk_texts, LATERAL segments(text, title) GROUP BY article_id")
+
+
 def a10_shortlist_averages(spark, sf_dir):
     out = dedup.shortlist_averages(dedup.prepare(hits(spark, sf_dir)))
     return out.select("interest", "candidates", F.round("shortlisted", 6).alias("shortlisted"), F.round("checked", 6).alias("checked"))
@@ -207,7 +215,7 @@ def page_filters_planted(spark, sf_dir):
 QUERIES = {
     "r1_embed": r1_embed, "r18_resume_index": r18_resume_index, "k2_run_rows": k2_run_rows, "k5_migrate": k5_migrate, "r4_tag_specs": r4_tag_specs, "r5_aggregate_specs": r5_aggregate_specs, "n12_payload": n12_payload,
     "n36_article_meta": n36_article_meta, "g16_feed_summary": g16_feed_summary, "a16_feed_counts": a16_feed_counts, "a12_by_interest": a12_by_interest, "a11_hit_rates": a11_hit_rates, "j10_neighbours": j10_neighbours,
-    "k9_result_blocks": k9_result_blocks, "x15_rerank_rows": x15_rerank_rows, "a10_shortlist_averages": a10_shortlist_averages, "dp2_planted": dp2_planted, "dp7_planted": dp7_planted, "a9_planted": a9_planted, "dp6_planted": dp6_planted,
+    "k9_result_blocks": k9_result_blocks, "x15_rerank_rows": x15_rerank_rows, "a10_shortlist_averages": a10_shortlist_averages, "udtf_segments": udtf_segments, "dp2_planted": dp2_planted, "dp7_planted": dp7_planted, "a9_planted": a9_planted, "dp6_planted": dp6_planted,
     "title_ratio_planted": title_ratio_planted, "x8_planted": x8_planted, "x13_planted": x13_planted, "g10_planted": g10_planted, "r15_planted": r15_planted, "page_filters_planted": page_filters_planted,
 }
 
@@ -234,7 +242,7 @@ SELECT label AS interest, CAST(row_number() OVER (ORDER BY first_pos) AS INTEGER
     "g16_feed_summary": f"SELECT id, md5(CASE WHEN id % 2 = 0 AND summary_fr IS NULL THEN '{{\"n\":1}}' WHEN id % 2 = 0 THEN summary_fr WHEN starts_with({strip('summary_fr')}, '{{') AND json_valid({strip('summary_fr')}) THEN coalesce(list_filter(list_transform(json_keys({strip('summary_fr')}), lambda k: CASE WHEN json_type({strip('summary_fr')}, '$.'||k) = 'VARCHAR' THEN json_extract_string({strip('summary_fr')}, '$.'||k) END), lambda v: v IS NOT NULL)[1], {strip('summary_fr')}) WHEN starts_with({strip('summary_fr')}, '{{') THEN {strip('replace(replace(' + strip('summary_fr') + chr(44) + chr(39) + '{{\"summary_fr\": \"' + chr(39) + chr(44) + chr(39) * 2 + ')' + chr(44) + chr(39) + '\"}}' + chr(39) + chr(44) + chr(39) * 2 + ')')} ELSE coalesce({strip('summary_fr')}, '') END) AS text_md5 FROM article_summaries",
     "a16_feed_counts": "SELECT count(DISTINCT interest) AS topics, count(*) AS articles FROM article_summaries WHERE coalesce(notes, '') = ''",
     "a12_by_interest": f"WITH {_EV} SELECT first_expected AS interest, sum(ok::INT)::BIGINT||'/'||count(*) AS score, round(avg(rank_points) FILTER (WHERE found), 6) AS rank_avg FROM z GROUP BY 1",
-    "a11_hit_rates": f"WITH {_EV} SELECT count(*) AS items, round(avg((ok AND found_rank <= 20)::INT), 6) AS hit_at_20, round(avg(CASE WHEN ok THEN 1.0 / found_rank ELSE 0 END), 6) AS mrr FROM z",
+    "a11_hit_rates": f"WITH {_EV} SELECT count(*) AS items, round(avg((ok AND found_rank <= 20)::INT), 6) AS hit_at_20, round(avg(CASE WHEN ok THEN 1.0 / found_rank ELSE 0 END), 6) AS mrr, round(avg((found AND found_rank <= 20)::INT), 6) AS any_hit_at_20 FROM z",
     "j10_neighbours": f"WITH {LATEST}, h AS (SELECT DISTINCT retrieval_run_id||'#'||lower(interest) AS interest, a.id, a.lang, a.updated_at AS d FROM retrieval_hits JOIN a ON a.id = article_id), k AS (SELECT DISTINCT retrieval_run_id||'#'||lower(interest) AS interest, article_id AS id FROM retrieval_hits WHERE rank <= 10) SELECT DISTINCT x.interest, x.id AS a, y.id AS b FROM h x JOIN h y ON x.interest = y.interest AND x.id <> y.id AND (coalesce(x.lang, '') = '' OR x.lang = y.lang) AND (x.d IS NULL OR abs(epoch_us(x.d) - epoch_us(y.d)) <= 259200000000) JOIN k ON k.interest = y.interest AND k.id = y.id",
     "k9_result_blocks": "SELECT retrieval_run_id||'#'||lower(interest) AS interest, CAST(count(*) AS INTEGER) AS n, md5(string_agg(rank||':'||article_id, ',' ORDER BY rank)) AS articles_md5 FROM retrieval_hits GROUP BY retrieval_run_id, lower(interest)",
     "x15_rerank_rows": r"""WITH h AS (SELECT lower(interest)||' '||retrieval_run_id AS interest, rank AS dr, article_id AS id, list_distinct(regexp_extract_all(lower(interest)||' '||retrieval_run_id, '[\p{L}\p{N}_]+')) AS q, list_distinct(regexp_extract_all(lower(concat_ws(chr(10), payload.title, payload.canonical_text)), '[\p{L}\p{N}_]+')) AS d FROM retrieval_hits),

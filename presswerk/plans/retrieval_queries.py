@@ -103,10 +103,9 @@ def t2_dense_topk(spark, sf_dir):
 
 
 def p4_window_dense(spark, sf_dir):
-    """Dense top-k among documents fetched in the thirty days before a given day, languages en and fr."""
-    as_of = F.lit("2026-02-01").cast("timestamp")
-    c = corpus(spark, sf_dir).where((F.col("fetched_at") >= F.expr("timestamp'2026-02-01' - interval 400 days")) & (F.col("fetched_at") < as_of) & F.lower("lang").isin("en", "fr"))
-    v = vectors(spark, sf_dir).join(c.select("id"), "id", "left_semi")
+    """Dense top-k among documents fetched in the 400 days before a given day, languages en and fr."""
+    c = corpus(spark, sf_dir).where(F.lower("lang").isin("en", "fr")).select("id", F.col("fetched_at").alias("date"))
+    v = r.recent(vectors(spark, sf_dir).join(c, "id"), 400, "2026-02-01")
     s = interest_specs(spark, sf_dir).where("kind = 'anchor'").withColumn("q", F.concat_ws("#", "interest", F.col("q_pos").cast("string")))
     return r.dense_topk(v, s, 10).select("q", "id", "rank", F.round("score", 6).alias("score"))
 

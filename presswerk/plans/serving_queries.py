@@ -103,11 +103,11 @@ def k4_summary_update(spark, sf_dir):
 
 
 def j1_repair_context(spark, sf_dir):
-    """Summaries without text and what was retrieved for them at the same place."""
-    s = summaries(spark, sf_dir).where(F.coalesce(F.trim("summary_fr"), F.lit("")) == "").select("id", "interest", "rank", "article_id")
-    h = read_table(spark, sf_dir, "retrieval_hits")
-    h = h.groupBy("article_id").agg(F.max("score").alias("best"), F.count("*").alias("hits"))
-    return s.join(h, "article_id", "left").select("id", "article_id", F.round(F.coalesce("best", F.lit(-1.0)), 6).alias("best"), F.coalesce("hits", F.lit(0)).alias("hits"))
+    """Summaries without title or text with the hit at the same place of the run they were written from."""
+    s = summaries(spark, sf_dir)
+    runs = s.select(F.col("writing_run_id").alias("id"), F.col("writing_run_id").alias("source_run_id")).distinct()
+    h = read_table(spark, sf_dir, "retrieval_hits").select(F.col("retrieval_run_id").alias("run_id"), "interest", "rank", F.col("article_id").alias("id"), F.col("payload.title").alias("title"), F.col("payload.url").alias("url"), F.col("payload.canonical_text").alias("text"))
+    return writing.repair_context(s, runs, h).select("id", "article_id", F.coalesce("hit_id", F.lit("none")).alias("hit_id"), F.md5(F.coalesce("hit_text", F.lit(""))).alias("hit_md5"))
 
 
 def g1_group_top(spark, sf_dir):
@@ -132,11 +132,9 @@ def j12_aliases(spark, sf_dir):
 
 
 def s16_expansions(spark, sf_dir):
-    """Items of expansions, trimmed, first occurrence only."""
-    e = read_table(spark, sf_dir, "interest_expansions").where("interest is not null")
-    items = e.select("interest", F.posexplode("items").alias("pos", "item")).withColumn("item", t.strip(F.col("item"))).where("item <> ''")
-    w = Window.partitionBy("interest", "item").orderBy("pos")
-    return items.withColumn("r", F.row_number().over(w)).where("r = 1").groupBy("interest").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "item"))), lambda x: x["item"]), "|").alias("items"))
+    """Items of expansions, trimmed, first occurrence only, of each interest's latest row."""
+    e = read_table(spark, sf_dir, "interest_expansions").withColumn("file", F.concat_ws("|", "generated_at", "raw_output"))
+    return readers.clean_expansions(e).select("interest", F.array_join("items", "|").alias("items"))
 
 
 def g7_clean_summary(spark, sf_dir):
@@ -148,7 +146,10 @@ def p16_usable(spark, sf_dir):
 
 
 def g5_raw_json(spark, sf_dir):
-    return summaries(spark, sf_dir).select("id", F.coalesce(F.array_join(F.array_sort(F.json_object_keys("raw_llm")), ","), F.lit("none")).alias("keys"))
+    """Keys of the objects that the parser finds in stored answers, also where text stands around them."""
+    keys = F.pandas_udf(lambda raw: raw.map(lambda x: ",".join(sorted(v)) if (v := writing.json_object(x or "")) is not None else "none"), "string")
+    around = F.when(F.col("id") % 2 == 0, F.concat(F.lit("Here it is: "), "raw_llm", F.lit(" That is all."))).otherwise(F.col("raw_llm"))
+    return summaries(spark, sf_dir).select("id", keys(around).alias("keys"))
 
 
 def g10_write(spark, sf_dir):
@@ -241,11 +242,11 @@ ORACLES = {
     "k1_upsert_articles": f"WITH {LATEST} SELECT id, md5(coalesce(title,'')) AS title_md5 FROM a WHERE id NOT IN (SELECT article_id FROM eval_articles WHERE article_id IS NOT NULL) UNION ALL SELECT article_id, md5(coalesce(title,'')) FROM eval_articles WHERE trim(coalesce(article_id,'')) <> ''",
     "k3_upsert_hits": "SELECT retrieval_run_id, interest, rank, CASE WHEN rank = 1 THEN upper(article_id) ELSE article_id END AS article_id FROM retrieval_hits",
     "k4_update_summaries": "SELECT id, md5(coalesce(title,'')) AS title_md5, coalesce(notes, '') AS notes FROM article_summaries",
-    "j1_repair_context": "SELECT s.id, s.article_id, round(coalesce(h.best, -1), 6) AS best, coalesce(h.hits, 0) AS hits FROM article_summaries s LEFT JOIN (SELECT article_id, max(score) AS best, count(*) AS hits FROM retrieval_hits GROUP BY 1) h USING (article_id) WHERE coalesce(trim(summary_fr), '') = ''",
+    "j1_repair_context": "SELECT s.id, s.article_id, coalesce(h.article_id, 'none') AS hit_id, md5(coalesce(h.payload.canonical_text, '')) AS hit_md5 FROM article_summaries s LEFT JOIN retrieval_hits h ON h.retrieval_run_id = s.writing_run_id AND h.interest = s.interest AND h.rank = s.rank WHERE trim(coalesce(s.title, '')) = '' OR trim(coalesce(s.summary_fr, '')) = ''",
     "g1_group_top": "WITH f AS (SELECT lower(interest) AS interest, article_id, coalesce(score, -1) AS score, rank FROM retrieval_hits QUALIFY row_number() OVER (PARTITION BY lower(interest), article_id ORDER BY coalesce(score, -1) DESC, rank, retrieval_run_id) = 1) SELECT interest, article_id, CAST(place AS INTEGER) AS place FROM (SELECT *, row_number() OVER (PARTITION BY interest ORDER BY score DESC, rank, article_id) AS place FROM f) WHERE place <= 5",
     "t8_interest_page": "SELECT interest, CAST(page AS INTEGER) AS page FROM (SELECT interest, row_number() OVER (ORDER BY interest) AS page FROM (SELECT DISTINCT lower(interest) AS interest FROM retrieval_hits)) WHERE page BETWEEN 3 AND 7",
     "j12_interest_aliases": "SELECT h.interest, coalesce(canonical, h.interest) AS canonical FROM (SELECT DISTINCT interest FROM retrieval_hits) h LEFT JOIN (SELECT lower(trim(interest)) AS key, min(interest) AS canonical FROM interest_expansions WHERE interest IS NOT NULL GROUP BY 1) e ON lower(trim(h.interest)) = key",
-    "s16_expansions": f"WITH u AS (SELECT interest, unnest(range(0, len(items))) AS pos, unnest(items) AS raw_item FROM interest_expansions WHERE interest IS NOT NULL), i AS (SELECT interest, pos, {strip('raw_item')} AS item FROM u), f AS (SELECT interest, item, min(pos) AS pos FROM i WHERE item <> '' GROUP BY 1, 2) SELECT interest, string_agg(item, '|' ORDER BY pos) AS items FROM f GROUP BY interest",
+    "s16_expansions": f"WITH l AS (SELECT interest, items FROM interest_expansions WHERE interest IS NOT NULL AND items IS NOT NULL QUALIFY row_number() OVER (PARTITION BY interest ORDER BY concat_ws('|', generated_at, raw_output) DESC) = 1), u AS (SELECT interest, unnest(range(0, len(items))) AS pos, unnest(items) AS raw_item FROM l), i AS (SELECT interest, pos, {strip('raw_item')} AS item FROM u), f AS (SELECT interest, item, min(pos) AS pos FROM i WHERE item <> '' GROUP BY 1, 2) SELECT l.interest, coalesce(string_agg(item, '|' ORDER BY pos), '') AS items FROM l LEFT JOIN f USING (interest) GROUP BY l.interest",
     "g7_clean_summary": f"WITH {_CLEAN} SELECT id, md5(clean) AS clean_md5 FROM cs",
     "g_usable_summary": _USABLE,
     "g5_raw_json": "SELECT id, coalesce(array_to_string(list_sort(json_keys(raw_llm)), ','), 'none') AS keys FROM article_summaries",

@@ -130,10 +130,14 @@ def gkg_rows(lines: DataFrame) -> DataFrame:
 
 
 def read_expansions(spark: SparkSession, path: str) -> DataFrame:
-    """Expansion files: items trimmed, blanks and repeats out, the last file of an interest wins, unreadable files skipped."""
+    """Expansion files, one object each; unreadable ones are skipped."""
     raw = spark.read.option("multiLine", True).option("mode", "DROPMALFORMED").schema("interest string, model string, generated_at string, status string, n_items int, items array<string>, raw_output string").json(path)
-    raw = raw.withColumn("file", F.input_file_name()).where("interest is not null and items is not null")
-    last = raw.groupBy("interest").agg(F.max_by("items", "file").alias("items"))
+    return clean_expansions(raw.withColumn("file", F.input_file_name()))
+
+
+def clean_expansions(raw: DataFrame) -> DataFrame:
+    """(interest, items) of expansions (interest, items, file): items trimmed, blanks and repeats out, an interest's last file wins."""
+    last = raw.where("interest is not null and items is not null").groupBy("interest").agg(F.max_by("items", "file").alias("items"))
     return last.select("interest", F.array_distinct(F.filter(F.transform("items", lambda x: strip(x)), lambda x: x != "")).alias("items"))
 
 

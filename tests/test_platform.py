@@ -5,7 +5,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from presswerk import cli
-from presswerk.operators import dedup, indexing, retrieval, specs, store, writing
+from presswerk.functions.register import register
+from presswerk.operators import dedup, indexing, rerank, retrieval, specs, store, writing
 from presswerk.sources import files, readers, sinks
 
 WORDS = "council bridge harbour airline museum budget railway festival school winter energy court".split()
@@ -135,7 +136,7 @@ def test_parameters_of_a_run():
 
 def test_specs_of_interests(spark):
     interests = spark.createDataFrame([("Night trains",), ("Night trains",), (" ",)], "interest string")
-    expansions = spark.createDataFrame([("Night trains", ["night  trains", "trains", "Trains ", "", "sleeper cars", "metro"]), ("Other", ["x"])], "interest string, items array<string>")
+    expansions = spark.createDataFrame([("NIGHT  trains", ["night  trains", "trains", "Trains ", "", "sleeper cars", "metro"]), ("Other", ["x"])], "interest string, items array<string>")
     got = specs.interest_specs(interests, expansions, indexing.HashedEmbedder(64), 2).orderBy("q_pos").collect()
     assert [(r.text, r.kind) for r in got] == [("Night trains", "anchor"), ("trains", "expansion"), ("sleeper cars", "expansion")]
     assert got[0].weight == 1.0 and all(0.15 <= r.weight <= 0.45 for r in got[1:]) and len(got[0].vec) == 64
@@ -235,3 +236,45 @@ def test_neighbours(spark):
     got = {(r.interest, r.a, r.b) for r in dedup.neighbour_pairs(h).collect()}
     assert {x for x in got if x[1] != "e"} == {("i", "a", "b"), ("i", "b", "a")} and {x[2] for x in got if x[1] == "e"} == {"a", "b", "c", "d"}
     assert {(r.a, r.b) for r in dedup.neighbours_among(dedup.neighbour_pairs(h, k=1), h.where("id = 'a'").select("interest", "id")).collect()} == {("b", "a")}
+
+
+def test_chat_endpoint_and_prompts():
+    import http.server
+    import threading
+
+    seen = []
+
+    class Handler(http.server.BaseHTTPRequestHandler):
+        def do_POST(self):
+            seen.append(json.loads(self.rfile.read(int(self.headers["Content-Length"]))))
+            self.send_response(500 if len(seen) == 1 else 200)
+            self.end_headers()
+            self.wfile.write(json.dumps({"message": {"content": "hello"}}).encode())
+
+        def log_message(self, *a):
+            pass
+
+    server = http.server.HTTPServer(("127.0.0.1", 0), Handler)
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    try:
+        g = writing.HttpGenerator(f"http://127.0.0.1:{server.server_port}/chat", "m", timeout=5, temperature=0.0)
+        assert g.chat([{"role": "user", "content": "x"}]) == "hello" and len(seen) == 2
+        assert seen[1]["options"] == {"temperature": 0.0, "num_predict": 900, "num_ctx": 4096} and seen[1]["model"] == "m"
+    finally:
+        server.shutdown()
+    asked = []
+    scorer = rerank.PromptScorer(lambda prompts: asked.append(len(prompts)) or [0.5] * len(prompts), "Is it so?", 2)
+    assert scorer.score([("q", "d")] * 3) == [0.5] * 3 and asked == [2, 1]
+
+
+def test_functions_for_sql(spark):
+    register(spark)
+    row = spark.sql("SELECT indel_ratio('abcd', 'abxd') AS r, text_key('É t-1') AS k, html_extract(concat('<title>T</title><body>', repeat('word ', 40)), 'https://www.a.example/x') AS h").first()
+    assert row.r == 0.75 and row.k == "et1" and row.h.domain == "a.example" and row.h.title == "T" and row.h.reason == ""
+    got = spark.sql("SELECT * FROM segments('The city announced in 2024 that its harbour was sold. Menu', 'Harbour')").orderBy("position").collect()
+    assert [r.segment for r in got] == ["The city announced in 2024 that its harbour was sold.", "Menu"] and got[0].score > 0 > got[1].score
+
+
+def test_date_window_of_dense_search(spark):
+    v = spark.createDataFrame([("a", "2026-01-10"), ("b", "2025-12-01"), ("c", None), ("d", "2026-01-31 12:00:00")], "id string, date string").withColumn("date", F.to_timestamp("date"))
+    assert sorted(r.id for r in retrieval.recent(v, 30, "2026-01-31").collect()) == ["a"] and retrieval.recent(v, 0).count() == 4
