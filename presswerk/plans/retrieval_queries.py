@@ -7,6 +7,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from presswerk.functions.similarity import cosine, dot
+from presswerk.operators import evaluation
 from presswerk.operators import retrieval as r
 from presswerk.session import read_table
 
@@ -173,6 +174,16 @@ def r13_retrieve_feed(spark, sf_dir):
     return found.select("interest", "rank", "id", F.round("score", 6).alias("score"), F.round("dense_max", 6).alias("dense_max"), F.round("dense_cov", 6).alias("dense_cov"), F.round("lex_norm", 6).alias("lex_norm"))
 
 
+def v6_label_task(spark, sf_dir):
+    """Retrieval for all labels judged by the labels: which documents come out, best, under their own, and at what rank."""
+    found = r.retrieve(corpus(spark, sf_dir), vectors(spark, sf_dir).select("id", "vec"), interest_specs(spark, sf_dir), r.RetrievalConfig(top_k=800))
+    hits = found.select("interest", "rank", F.col("id").cast("string").alias("id"), F.lit(None).cast("string").alias("url"))
+    key = F.col("id").cast("string")
+    items = vectors(spark, sf_dir).select(key.alias("item_id"), key.alias("article_id"), F.lit("").alias("url"), F.array(F.concat(F.lit("topic "), F.col("label").cast("string"))).alias("expected_interests"), F.lit(20).alias("rank_target_max"))
+    out = evaluation.hit_rates(evaluation.evaluate(items, hits))
+    return out.select("items", F.round("hit_at_k", 6).alias("hit_at_20"), F.round("mrr", 6).alias("mrr"), F.round("any_hit_at_k", 6).alias("any_hit_at_20"))
+
+
 def p5_lang_filter(spark, sf_dir):
     """The retrieval with languages chosen after the candidate cap."""
     config = r.RetrievalConfig(top_k=10, min_sim=0.0, min_bm25=0.0)
@@ -207,7 +218,7 @@ QUERIES = {
     "a6_bm25_stats": a6_bm25_stats, "r7_bm25_body_topk": r7_bm25_topk("body", 50), "r7_bm25_title_topk": r7_bm25_topk("title", 50), "t3_bm25_weighted": t3_bm25_weighted,
     "n37_cosine": n37_cosine, "t2_dense_topk": t2_dense_topk, "p4_dense_window": p4_window_dense, "r3_query_specs": r3_query_specs, "r2_merge_specs": r2_merge_specs,
     "r8_rrf_dense": r8_rrf_dense, "r9_rrf_lexical": r9_rrf_lexical, "r10_rrf_fused": r10_fused, "t4_candidate_cap": t4_candidate_cap, "a7_sim_features": a7_sim_features,
-    "r13_retrieve_feed": r13_retrieve_feed, "r13_lang_filter": p5_lang_filter,
+    "r13_retrieve_feed": r13_retrieve_feed, "r13_lang_filter": p5_lang_filter, "v6_label_task": v6_label_task,
 }
 QUERIES["dense_window_topk"] = QUERIES.pop("p4_dense_window")
 ORACLES = {
@@ -225,6 +236,8 @@ ORACLES = {
     "t4_candidate_cap": f"{_BASE}, {_DENSE}, {_LEX}, {_BOTH}, {_FUSE}, {_CAP} SELECT interest, id, CAST(rank AS INTEGER) AS rank FROM cap",
     "a7_sim_features": f"{_BASE}, {_DENSE}, {_LEX}, {_BOTH}, {_FUSE}, {_CAP}, {_FEAT} SELECT interest, id, round(dense_max, 6) AS dense_max, round(dense_cov, 6) AS dense_cov FROM fe",
     "r13_retrieve_feed": _FEED.replace("LANG", "true").replace("LIMITS", "NOT (dense_max < 0.15 AND lex_norm < 0.05)") + f" SELECT interest, CAST(rank AS INTEGER) AS rank, id, round(score, 6) AS score, round(dense_max, 6) AS dense_max, round(dense_cov, 6) AS dense_cov, round(lex_norm, 6) AS lex_norm FROM ({ranked('fi', '20', 'interest')})",
+    "v6_label_task": _FEED.replace("LANG", "true").replace("LIMITS", "NOT (dense_max < 0.15 AND lex_norm < 0.05)")
+    + f", fr AS (SELECT interest, rank, id FROM ({ranked('fi', '800', 'interest')})), bh AS (SELECT id, min(struct_pack(rank, interest)) AS x FROM fr GROUP BY id), et AS (SELECT e.vec_id, bh.x.rank AS rank, bh.x.interest = 'topic '||e.label AS ok FROM embeddings e LEFT JOIN bh ON bh.id = e.vec_id) SELECT count(*) AS items, round(avg((coalesce(ok, false) AND rank <= 20)::INT), 6) AS hit_at_20, round(avg(CASE WHEN ok THEN 1.0 / rank ELSE 0 END), 6) AS mrr, round(avg((coalesce(rank, 99) <= 20)::INT), 6) AS any_hit_at_20 FROM et",
     "r13_lang_filter": _FEED.replace("LANG", "lower(lang) = 'en'").replace("LIMITS", "true") + f" SELECT interest, CAST(rank AS INTEGER) AS rank, id, round(score, 6) AS score FROM ({ranked('fi', '10', 'interest')})",
     "r2_merge_specs": """WITH e AS (SELECT interest, unnest(range(0, len(items))) AS pos, unnest(items) AS item FROM interest_expansions),
 a AS (SELECT interest, 0 AS q_pos, interest AS text, 1.0::DOUBLE AS weight, 'anchor' AS kind FROM interest_expansions UNION ALL SELECT interest, pos + 1, item, 0.15 + 0.1 * (pos % 4), 'expansion' FROM e WHERE trim(coalesce(item, '')) <> ''),
