@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from presswerk.functions.similarity import dot
 from presswerk.functions.text import norm_text, strip
 from presswerk.operators.indexing import Embedder, embed
-from presswerk.operators.retrieval import RetrievalConfig, merge_specs, spec_weight
+from presswerk.operators.retrieval import RetrievalConfig, merge_specs, retrieve, spec_weight
 
 MAX_EXPANSIONS = 6
 TAG_WEIGHT = 0.20
@@ -85,3 +85,10 @@ def aggregate_specs(specs: DataFrame) -> DataFrame:
     place = F.row_number().over(Window.partitionBy("label").orderBy("interest", "q_pos"))
     one = specs.crossJoin(F.broadcast(named)).withColumn("place", place)
     return merge_specs(one.select(F.col("label").alias("interest"), F.col("place").alias("q_pos"), *[c for c in specs.columns if c not in ("interest", "q_pos")]))
+
+
+def retrieve_profile(docs: DataFrame, vectors: DataFrame, phrases: DataFrame, embedder: Embedder, top_k: int = 20, langs: list[str] | None = None) -> DataFrame:
+    """A user's feed from their phrases (interest) alone: each is an anchor of one list, as `profile_config` says."""
+    empty = phrases.select("interest", F.array().cast("array<string>").alias("items")).limit(0)
+    merged = aggregate_specs(interest_specs(phrases, empty, embedder))
+    return retrieve(docs, vectors, merged, profile_config(top_k=top_k), langs)

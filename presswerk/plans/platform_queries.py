@@ -71,6 +71,12 @@ def n12_payload(spark, sf_dir):
     return h.select("retrieval_run_id", "interest", "rank", readers.payload_article(F.col("payload")).alias("a")).select("retrieval_run_id", "interest", "rank", "a.id", "a.title", F.md5(F.coalesce("a.content", F.lit(""))).alias("content_md5"), "a.source", "a.lang")
 
 
+def n11_full_articles(spark, sf_dir):
+    """Articles as full ones: the embedded text and the host of the url."""
+    a = latest(spark, sf_dir).select("id", "title", "content", "url", "source", "lang")
+    return readers.full_articles(a).select("id", F.md5("canonical_text").alias("canonical_md5"), "source", "lang", "fingerprint")
+
+
 def n36_article_meta(spark, sf_dir):
     h = read_table(spark, sf_dir, "retrieval_hits").select("retrieval_run_id", "interest", "rank", "article_id", "payload")
     full = latest(spark, sf_dir).select(F.col("id").alias("aid"), F.struct("id", "title", "url", "source", "published_date", "lang").alias("full"))
@@ -214,11 +220,12 @@ def page_filters_planted(spark, sf_dir):
 
 QUERIES = {
     "r1_embed": r1_embed, "r18_resume_index": r18_resume_index, "k2_run_rows": k2_run_rows, "k5_migrate": k5_migrate, "r4_tag_specs": r4_tag_specs, "r5_aggregate_specs": r5_aggregate_specs, "n12_payload": n12_payload,
-    "n36_article_meta": n36_article_meta, "g16_feed_summary": g16_feed_summary, "a16_feed_counts": a16_feed_counts, "a12_by_interest": a12_by_interest, "a11_hit_rates": a11_hit_rates, "j10_neighbours": j10_neighbours,
+    "n11_full_articles": n11_full_articles, "n36_article_meta": n36_article_meta, "g16_feed_summary": g16_feed_summary, "a16_feed_counts": a16_feed_counts, "a12_by_interest": a12_by_interest, "a11_hit_rates": a11_hit_rates, "j10_neighbours": j10_neighbours,
     "k9_result_blocks": k9_result_blocks, "x15_rerank_rows": x15_rerank_rows, "a10_shortlist_averages": a10_shortlist_averages, "udtf_segments": udtf_segments, "dp2_planted": dp2_planted, "dp7_planted": dp7_planted, "a9_planted": a9_planted, "dp6_planted": dp6_planted,
     "title_ratio_planted": title_ratio_planted, "x8_planted": x8_planted, "x13_planted": x13_planted, "g10_planted": g10_planted, "r15_planted": r15_planted, "page_filters_planted": page_filters_planted,
 }
 
+_N = lambda c: f"nullif({strip(c)}, '')"
 _HOST = r"regexp_replace(lower(regexp_extract(coalesce(payload.url,''), '^([A-Za-z][A-Za-z0-9+.-]*)://([^/?#]*)([^?#]*).*$', 2)), '^www\.', '')"
 _TITLE = "substr(split_part(coalesce(text,''), chr(10), 1), 1, 120)"
 _FIRST = lambda *c: "coalesce(" + ", ".join(f"nullif({x}, '')" for x in c) + ")"
@@ -238,6 +245,8 @@ l AS (SELECT string_agg(DISTINCT interest, '; ' ORDER BY interest) AS label FROM
 h AS (SELECT *, min(p) OVER (PARTITION BY key) AS first_pos, row_number() OVER (PARTITION BY key ORDER BY (kind = 'anchor') DESC, weight DESC, p) AS r FROM g)
 SELECT label AS interest, CAST(row_number() OVER (ORDER BY first_pos) AS INTEGER) AS q_pos, lower(trim(text)) AS text, round(weight, 4) AS weight, kind FROM h WHERE r = 1""",
     "n12_payload": f"SELECT retrieval_run_id, interest, rank, nullif(payload.article_id, '') AS id, nullif(payload.title, '') AS title, md5(coalesce(nullif(payload.canonical_text, ''), nullif(payload.description, ''), '')) AS content_md5, coalesce(nullif(payload.domain, ''), {_HOST}) AS source, nullif(payload.lang, '') AS lang FROM retrieval_hits",
+    "n11_full_articles": f"""WITH {LATEST}, n AS (SELECT id, {_N('title')} AS title, {_N('content')} AS content, {_N('url')} AS url, {_N('source')} AS source, lower({_N('lang')}) AS lang FROM a) SELECT id, md5({strip("coalesce(title,'')||chr(10)||chr(10)||substr(coalesce(content,''),1,1200)")}) AS canonical_md5,
+coalesce(nullif({_HOST.replace('payload.url', 'url')}, ''), source) AS source, lang, md5(lower(coalesce(url,''))||'||'||lower(coalesce(title,''))||'||'||substr(lower(coalesce(content,'')),1,400)) AS fingerprint FROM n""",
     "n36_article_meta": f"WITH {LATEST} SELECT retrieval_run_id, interest, rank, {_FIRST('payload.article_id', 'a.id', 'h.article_id')} AS article_id, {_FIRST('payload.title', 'a.title')} AS title, {_FIRST('payload.url', 'a.url')} AS url, {_FIRST('payload.domain', 'a.source')} AS source, {_FIRST('a.published_date', 'payload.date')} AS published_date, {_FIRST('payload.lang', 'a.lang')} AS lang FROM retrieval_hits h LEFT JOIN a ON a.id = h.article_id",
     "g16_feed_summary": f"SELECT id, md5(CASE WHEN id % 2 = 0 AND summary_fr IS NULL THEN '{{\"n\":1}}' WHEN id % 2 = 0 THEN summary_fr WHEN starts_with({strip('summary_fr')}, '{{') AND json_valid({strip('summary_fr')}) THEN coalesce(list_filter(list_transform(json_keys({strip('summary_fr')}), lambda k: CASE WHEN json_type({strip('summary_fr')}, '$.'||k) = 'VARCHAR' THEN json_extract_string({strip('summary_fr')}, '$.'||k) END), lambda v: v IS NOT NULL)[1], {strip('summary_fr')}) WHEN starts_with({strip('summary_fr')}, '{{') THEN {strip('replace(replace(' + strip('summary_fr') + chr(44) + chr(39) + '{{\"summary_fr\": \"' + chr(39) + chr(44) + chr(39) * 2 + ')' + chr(44) + chr(39) + '\"}}' + chr(39) + chr(44) + chr(39) * 2 + ')')} ELSE coalesce({strip('summary_fr')}, '') END) AS text_md5 FROM article_summaries",
     "a16_feed_counts": "SELECT count(DISTINCT interest) AS topics, count(*) AS articles FROM article_summaries WHERE coalesce(notes, '') = ''",

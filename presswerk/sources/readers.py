@@ -102,6 +102,27 @@ def normalise(df: DataFrame) -> DataFrame:
     return out.groupBy("id").agg(F.min(F.struct(*[c for c in out.columns if c != "id"])).alias("x")).select("x.*", "id")
 
 
+def full_articles(df: DataFrame, detect=None) -> DataFrame:
+    """Articles with description, tags and the text that is embedded: title, description and the first 1,200 characters.
+
+    Names are taken as they come: description or summary; text, content or article; date, published_at, published_date
+    or datetime; domain, the url's host, or source. `detect(text)` may give the language of rows without one.
+    """
+    get = lambda *names: F.coalesce(*[F.nullif(strip(F.col(n).cast("string")), F.lit("")) for n in names if n in df.columns], F.lit(None).cast("string"))
+    title, about, text, url = get("title"), get("description", "summary"), get("text", "content", "article"), get("url")
+    domain = F.coalesce(get("domain"), F.nullif(url_domain(F.coalesce(url, F.lit(""))), F.lit("")), get("source"))
+    lead = F.substring(F.coalesce(text, F.lit("")), 1, 1200)
+    canonical = strip(F.concat_ws("\n", F.coalesce(title, F.lit("")), F.coalesce(about, F.lit("")), lead))
+    lang = F.lower(get("lang", "language"))
+    if detect is not None:
+        lang = F.coalesce(lang, detect(canonical))
+    tags = F.col("tags") if dict(df.dtypes).get("tags", "").startswith("array") else F.array().cast("array<string>")
+    return df.select(
+        F.coalesce(get("id"), article_id(url, title, text)).alias("id"), title.alias("title"), about.alias("description"), text.alias("content"), column_instant(get("date", "published_at", "published_date", "datetime")).alias("published_date"),
+        domain.alias("source"), url.alias("url"), lang.alias("lang"), tags.alias("tags"), canonical.alias("canonical_text"), ingest_fingerprint(url, title, text).alias("fingerprint"),
+    )
+
+
 def write_articles(df: DataFrame, path: str, kind: str = "json") -> None:
     if kind == "csv":
         flat = df.select(*[F.array_join(c, ";").alias(c) if t.startswith("array") else F.col(c) for c, t in df.dtypes])
@@ -246,7 +267,11 @@ def warc_bytes(records: list[tuple[str, str, str]]) -> bytes:
 
 
 def archive_articles(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(articles, outcomes) of archive records: filters, decoding, extraction, one article for a url of a file."""
+    """(articles, outcomes) of archive records: filters, decoding, extraction, one article for a url of a file.
+
+    Outcomes are (file, outcome, n): `early` and `late` are responses that the filters left out before and after decoding,
+    `repeated` further responses of a url, `short_text` pages without an article, `article` the rest.
+    """
     import pandas as pd
 
     from presswerk.sources import html as h
@@ -257,8 +282,11 @@ def archive_articles(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
             yield pdf[["file", "url", "stored", "html"]]
 
     checked = raw.withColumn("early", h.before_decode(F.col("url"), F.length("body"), F.col("content_type")))
-    decoded = checked.where("early").mapInPandas(decode, "file string, url string, stored string, html string")
-    fine = decoded.where(h.after_decode(F.col("html"))).dropDuplicates(["file", "url"])
-    articles = h.extract_pages(fine)
-    outcomes = checked.groupBy("file").agg(F.count("*").alias("responses"), F.sum((~F.col("early")).cast("long")).alias("skipped_early"))
-    return articles.where("reason = ''"), outcomes
+    decoded = checked.where("early").mapInPandas(decode, "file string, url string, stored string, html string").withColumn("late", h.after_decode(F.col("html")))
+    fine = decoded.where("late").dropDuplicates(["file", "url"])
+    pages = h.extract_pages(fine)
+    count = lambda df, outcome: df.groupBy("file").agg(F.count("*").alias("n")).select("file", (F.lit(outcome) if isinstance(outcome, str) else outcome).alias("outcome"), "n")
+    repeated = decoded.where("late").groupBy("file").agg((F.count("*") - F.countDistinct("url")).alias("n")).where("n > 0").select("file", F.lit("repeated").alias("outcome"), "n")
+    kept = pages.groupBy("file", F.when(F.col("reason") == "", F.lit("article")).otherwise(F.col("reason")).alias("outcome")).agg(F.count("*").alias("n"))
+    outcomes = count(checked.where("not early"), "early").union(count(decoded.where("not late"), "late")).union(repeated).union(kept)
+    return pages.where("reason = ''"), outcomes

@@ -142,6 +142,14 @@ def test_specs_of_interests(spark):
     assert got[0].weight == 1.0 and all(0.15 <= r.weight <= 0.45 for r in got[1:]) and len(got[0].vec) == 64
 
 
+def test_profile_retrieval(spark):
+    docs = spark.createDataFrame([(str(i), x["title"], x["text"], "en") for i, x in enumerate(articles(24))], "id string, title string, body string, lang string")
+    embedder = indexing.HashedEmbedder(64)
+    vectors = indexing.embed(docs.select("id", F.concat_ws(" ", "title", "body").alias("text")), embedder)
+    out = specs.retrieve_profile(docs, vectors, spark.createDataFrame([("harbour bridge",), ("winter",)], "interest string"), embedder, 5).orderBy("rank").collect()
+    assert [r["rank"] for r in out] == [1, 2, 3, 4, 5] and {r.interest for r in out} == {"harbour bridge; winter"}
+
+
 def test_generated_expansions(spark):
     class Some:
         def __init__(self):
