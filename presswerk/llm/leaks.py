@@ -31,8 +31,9 @@ MASKS = ((0, 1, 2, 4, 5), (0, 1, 3, 4, 5))
 SPAN = 6
 MIN_WORDS = 36
 EDIT_SHARE = 8
-#: Words of the test table in one block: with its seeds some 40 bytes a word, so under 64 MB travel to the executors.
-BLOCK_WORDS = 1_500_000
+#: Words of the test table in one block, at most, or of one longer piece: with their seeds 56 bytes a word, so about
+#: 60 MB travel to the executors.
+BLOCK_WORDS = 1_000_000
 #: Documents are looked up together until they have so many words.
 CHUNK_WORDS = 100_000
 #: Longer texts are cut into pieces that overlap by more than any stretch that must be found whole.
@@ -302,6 +303,20 @@ def _bands(diagonals: list[int], drift: int) -> list[tuple[int, int]]:
     return out
 
 
+def _blocks(test: DataFrame, block_words: int):
+    """The test table in blocks of `block_words` at most, streamed through the driver piece by piece."""
+    keys, texts, size = [], [], 0
+    for key, words, n in test.toLocalIterator():
+        if keys and size + n > block_words:
+            yield TestTable(keys, texts)
+            keys, texts, size = [], [], 0
+        keys.append(key)
+        texts.append(np.frombuffer(words, np.uint64))
+        size += n
+    if keys:
+        yield TestTable(keys, texts)
+
+
 def find_leaks(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", doc_text: str = "text", item_id: str = "item_id", item_text: str = "content", min_words: int = MIN_WORDS, block_words: int = BLOCK_WORDS) -> DataFrame:
     """Rows (doc_id, item_id, words): documents that hold a stretch of at least `min_words` words of an item.
 
@@ -313,19 +328,23 @@ def find_leaks(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", doc_te
     left = docs.where(F.col(doc_id).isNotNull() & F.col(doc_text).isNotNull()).select(F.col(doc_id).cast("long").alias("key"), F.col(doc_text).alias("text"))
     right = items.where(F.col(item_id).isNotNull() & F.col(item_text).isNotNull()).select(F.col(item_id).cast("long").alias("key"), F.col(item_text).alias("text"))
     test = right.distinct().mapInArrow(_item_batches, "key long, words binary, n long").where(F.col("n") >= min_words)
-    test = cut_lineage(test.withColumn("row", F.monotonically_increasing_id()), "test-items")
-    total = test.agg(F.sum("n")).first()[0] or 0
-    blocks = math.ceil(total / block_words)
-    found = []
-    for b in range(blocks):
-        # A block has some `block_words` words, and a piece more at most for every one that its items' hashes bring together.
-        rows = test.where(F.pmod(F.xxhash64("row"), F.lit(blocks)) == b).select("key", "words").collect()
-        table = spark.sparkContext.broadcast(TestTable([r[0] for r in rows], [np.frombuffer(r[1], np.uint64) for r in rows]))
+    found: list[DataFrame] = []
+
+    def search(block: TestTable, last: bool) -> None:
+        table = spark.sparkContext.broadcast(block)
         hits = left.mapInArrow(_search_batches(table, limits), "doc_id long, item_id long, words int")
-        if blocks > 1:
+        if found or not last:  # one of several: its result is written, and its table leaves the executors
             hits = cut_lineage(hits, "leaks")
             table.destroy()
         found.append(hits)
+
+    waiting = None
+    for block in _blocks(cut_lineage(test.select("key", "words", "n"), "test-items"), block_words):
+        if waiting is not None:
+            search(waiting, False)
+        waiting = block
+    if waiting is not None:
+        search(waiting, True)
     if not found:
         return spark.createDataFrame([], "doc_id long, item_id long, words int")
     out = found[0]
