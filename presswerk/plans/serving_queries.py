@@ -250,6 +250,12 @@ ORACLES = {
     "g7_clean_summary": f"WITH {_CLEAN} SELECT id, md5(clean) AS clean_md5 FROM cs",
     "g_usable_summary": _USABLE,
     "g5_raw_json": "SELECT id, coalesce(array_to_string(list_sort(json_keys(raw_llm)), ','), 'none') AS keys FROM article_summaries",
+    "r15_profiles": """WITH RECURSIVE g AS (SELECT user_id, event_id, ts, CASE event_type WHEN 'click' THEN 0.2 WHEN 'view' THEN 0.6 WHEN 'purchase' THEN 1.0 END AS signal, event_id % (SELECT count(*) FROM embeddings) AS v FROM events),
+s AS (SELECT user_id, CAST(signal AS DOUBLE) AS signal, CAST(embedding AS DOUBLE[]) AS vec, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS k FROM g JOIN embeddings ON vec_id = v WHERE signal IS NOT NULL AND user_id IS NOT NULL),
+f AS (SELECT user_id, k, vec AS c, 1.0::DOUBLE AS w FROM s WHERE k = 1 UNION ALL
+SELECT user_id, k, CASE WHEN n > 0 THEN list_transform(m, lambda x: x / n) ELSE m END, w FROM (SELECT user_id, k, w, m, sqrt(list_sum(list_transform(m, lambda x: x * x))) AS n FROM
+(SELECT s.user_id, s.k, 0.95 * f.w + 0.05 * s.signal AS w, list_transform(list_zip(f.c, s.vec), lambda p: (1 - 0.1 * least(1, greatest(0.1, s.signal))) * p[1] + 0.1 * least(1, greatest(0.1, s.signal)) * p[2]) AS m FROM f JOIN s ON s.user_id = f.user_id AND s.k = f.k + 1)))
+SELECT user_id, k AS n, round(w, 6) AS weight, round(c[1], 6) AS first FROM f QUALIFY k = max(k) OVER (PARTITION BY user_id)""",
     "a2_cache_metadata": "SELECT count(*) AS n, max(epoch_us(updated_at)) AS latest_us FROM articles",
     "a13_interest_counts": "SELECT interest, count(*) AS n, max(writing_run_id) AS last FROM article_summaries GROUP BY interest",
     "n13_normalise": f"""WITH {LATEST}, j AS (SELECT coalesce({_J('headline')}, {_J('title')}) AS title, coalesce({_J('text')}, {_J('article')}, {_J('description')}, {_J('content')}) AS content, coalesce({_J('source_name')}, {_J('domain')}, {_J('source')}) AS source, coalesce({_J('link')}, {_J('url')}) AS url FROM a),

@@ -95,9 +95,14 @@ def n15_detect_lang(spark, sf_dir):
 _TIDY_LINE = STRIP.format("regexp_replace(x, '[\\s\\p{Z}]+', ' ', 'g')")
 _TEXT = f"array_to_string(list_filter(list_transform(string_split(regexp_replace(coalesce(text,''), '\\r\\n?', chr(10), 'g'), chr(10)), lambda x: {_TIDY_LINE}), lambda y: y <> ''), chr(10))"
 _GUESS = ", ".join(f"struct_pack(n := len(list_filter(w, lambda x: x IN {tuple(ws.split())!r})), i := {-i}, c := '{c}')" for i, (c, ws) in enumerate(GUESS_WORDS.items()))
+_ESC = "replace(replace(replace({0}, '&', '&amp;'), '<', '&lt;'), '>', '&gt;')"
+_PAGE = f"""l AS (SELECT doc_id, list_filter(string_split(text, chr(10)), lambda x: trim(x) <> '') AS l FROM documents WHERE text IS NOT NULL),
+h AS (SELECT doc_id, '<html><head><!-- '||repeat('x', 400)||' --><title>'||{_ESC.format("coalesce(l[1], '')")}||'</title><meta property=''article:published_time'' content=''2026-01-02T03:04:05+02:00''></head><body><nav><a href=''/''>Home</a></nav><div class=''cookie''>We use cookies</div><article>'
+||coalesce(array_to_string(list_transform(l, lambda x: '<p>'||{_ESC.format('x')}||'</p>'), chr(10)), '')||'</article><footer>Imprint</footer></body></html>' AS html FROM l)"""
 QUERIES = {"n28_page_extract": n28_extract, "page_filters": page_filters, "s6_archive_scan": s6_archive, "s11_gkg_scan": s11_gkg, "s10_gkg_manifest": s10_manifests, "s8_archive_manifest": s8_archive_manifest, "v8_pipeline": v8_pipeline, "n15_detect_lang": n15_detect_lang}
 ORACLES = {
     "n28_page_extract": f"SELECT doc_id, '2026-01-02 03:04:05' AS date, 'page.example' AS domain, CASE WHEN length(t) >= 120 THEN '' ELSE 'short_text' END AS reason, md5(CASE WHEN length(t) >= 120 THEN t ELSE '' END) AS text_md5 FROM (SELECT doc_id, coalesce({_TEXT}, '') AS t FROM documents WHERE text IS NOT NULL)",
+    "page_filters": rf"WITH {_PAGE} SELECT doc_id, doc_id % 7 <> 0 AND doc_id % 5 <> 0 AND length(html) + 400 BETWEEN 500 AND 5000000 AS early, doc_id % 3 <> 0 AND NOT regexp_matches(lower(substr(html, 1, 3000)), '<title>\s*(?:login|sign in|search|tag:|author:)|captcha|access denied') AS late FROM h",
     "s6_archive_scan": f"SELECT doc_id, md5(t) AS text_md5 FROM (SELECT doc_id, {_TEXT} AS t FROM documents WHERE text IS NOT NULL) WHERE length(t) >= 120 AND NOT regexp_matches(lower(t), '^(?:login|sign in|search|tag:|author:)') AND NOT regexp_matches(lower(substr(t, 1, 3000)), 'captcha|access denied')",
     "n15_detect_lang": rf"SELECT doc_id, CASE WHEN chars >= 20 AND b.n > 0 THEN b.c ELSE 'none' END AS lang FROM (SELECT doc_id, chars, list_max([{_GUESS}]) AS b FROM (SELECT doc_id, length(coalesce(text,'')) AS chars, regexp_extract_all(lower(coalesce(text,'')), '[\p{{L}}\p{{N}}_]+') AS w FROM documents))",
     "s11_gkg_scan": r"SELECT source, coalesce(url,'') AS url, regexp_replace(lower(regexp_extract(coalesce(url,''), '^([A-Za-z][A-Za-z0-9+.-]*)://([^/?#]*)([^?#]*).*$', 2)), '^www\.', '') AS domain, 'ECON TAX' AS themes, 1767323045 AS epoch FROM articles WHERE source IS NOT NULL AND lang = 'en'",
