@@ -112,10 +112,8 @@ def j1_repair_context(spark, sf_dir):
 
 def g1_group_top(spark, sf_dir):
     """Best five hits of an interest over all runs, each article once."""
-    h = read_table(spark, sf_dir, "retrieval_hits").withColumn("interest", F.lower("interest"))
-    first = Window.partitionBy("interest", "article_id").orderBy(F.coalesce("score", F.lit(-1.0)).desc(), "rank", "retrieval_run_id")
-    order = Window.partitionBy("interest").orderBy(F.coalesce("score", F.lit(-1.0)).desc(), "rank", "article_id")
-    return h.withColumn("r", F.row_number().over(first)).where("r = 1").withColumn("place", F.row_number().over(order)).where("place <= 5").select("interest", "article_id", "place")
+    h = read_table(spark, sf_dir, "retrieval_hits").select(F.lower("interest").alias("interest"), F.col("article_id").alias("id"), "rank", "score")
+    return writing.group_top(h, 5, "score").select("interest", F.col("id").alias("article_id"), "place")
 
 
 def t8_interest_page(spark, sf_dir):
