@@ -2,7 +2,8 @@
 
 Pass one decides each line by itself from its length, its stop-word density and its link density (separators, list
 marks, bracketed buttons). Cues of consent, offers, sharing, credits and legal notices, addresses to the reader and
-publisher names are further evidence: a sentence is a notice if two kinds of them meet in it, never for one alone.
+publisher names are further evidence: a sentence is a notice if the page speaks of itself in it (by a name or an
+address) and a notice of some kind is given, never for one of these alone.
 Pass two gives short, undecided lines the label of the nearest decided neighbours.
 """
 
@@ -40,8 +41,8 @@ _CUES = {
     "address": "we|our|your|you|us|this site|this page|nous|votre|vos|vous|ce site|cette page|wir|unsere|unseren|unserer|ihre|ihrem|ihren|ihrer|ihres|ihr|sie|diese seite|nosotros|nuestro|nuestros|nuestra|nuestras|tu|tus|te|este sitio|esta página|noi|nostro|nostri|nostra|nostre|tuo|tua|tue|accetti|questo sito|questa pagina|nós|nosso|nossos|nossa|nossas|seu aparelho|sua|suas|este sítio|aceita",
     "consent": "cookie|cookies|traceurs|small files|petits fichiers|kleine dateien|pequeños archivos|piccoli file|pequenos ficheiros|privacy|vie privée|privatsphäre|privacidad|privacidade|riservatezza",
     "legal": "copyright|all rights reserved|tous droits réservés|alle rechte vorbehalten|todos los derechos|tutti i diritti|todos os direitos|all content|the content of|tous les contenus|alle inhalte|todos los contenidos|tutti i contenuti|todos os conteúdos|external sites|fremde seiten|sitios externos|siti esterni|sítios externos|"
-    "is not responsible|non responsable|haftet nicht|no responde|non risponde|não responde|views expressed|opinions exprimées|geäusserten meinungen|opiniones expresadas|opinioni espresse|opiniões expressas|reproduction|reproducción|riproduzione|reprodução|licence|license|lizenz|licencia|licenza|licença|"
-    "registered under|registre no|handelsregister|case file|aktenzeichen|expediente|media ltd|médias sa",
+    "reproduction of this|toute reproduction|riproduzione anche|reprodução total|reproducción total|is not responsible|non responsable|haftet nicht|no responde|non risponde|não responde|views expressed|opinions exprimées|geäusserten meinungen|opiniones expresadas|opinioni espresse|opiniões expressas|registered under|registre no|case file|media ltd|médias sa",
+    "terms": "reproduction|reproducción|riproduzione|reprodução|licence|license|lizenz|licencia|licenza|licença|handelsregister|aktenzeichen|expediente|processo",
     "offer": "newsletter|sign up|subscribe|abonnez|abonnieren|suscríbete|abbonati|assine|briefing|inbox|lettre du matin|lettera del mattino|carta de la mañana|morgenbrief|alert|alerts|alerte|alertes|eilmeldungen|alertas|avvisi|reader of|lecteur de|leser von|lector de|lettore di|lê|"
     "support our|soutenez|unterstützen sie|apoya|sostieni|apoie|a month|par mois|im monat|al mes|al mese|por mês|get the|recevez|erhalten sie|recibe|ricevi|receba",
     "share": "tap|share|send|partagez|envoyez|teilen|senden|schicken|comparte|envía|enviar|condividi|invia|partilhe|envie|by mail|par mail|per mail|por correo|via mail|por mail",
@@ -86,8 +87,12 @@ class PublisherNames:
         return best
 
 
-def cues(low: str, words: list[str], named: bool) -> int:
-    """How many kinds of cues the case-folded line holds: a publisher's name, an address to the reader, notices."""
+#: Kinds by which a page speaks of itself, and kinds that need no such sign in a line that is no sentence.
+_SELF, _ALONE = frozenset({"name", "address"}), frozenset({"legal", "consent", "reference"})
+
+
+def cues(low: str, words: list[str], named: bool) -> set[str]:
+    """The kinds of cues that the case-folded line holds: a publisher's name, an address to the reader, notices."""
     if '"' in low or "“" in low or "„" in low or "«" in low:
         low = _QUOTED.sub(" ", low)  # what somebody says is no notice of the page
         words = _WORD.findall(low)
@@ -100,14 +105,20 @@ def cues(low: str, words: list[str], named: bool) -> int:
         for kind, phrase in _BY_FIRST.get(word, ()):
             if (i == 0 or kind != "reference") and (len(phrase) == 1 or tuple(words[i : i + len(phrase)]) == phrase):
                 found.add(kind)
-    return 0 if found == {"address"} else len(found)
+    return found
+
+
+def is_notice(found: set[str]) -> bool:
+    """Whether the page speaks of itself and gives a notice of some kind; neither alone is enough."""
+    return not found.isdisjoint(_SELF) and not found <= _SELF
 
 
 def decide(line: str, names: PublisherNames) -> int:
     """Pass one: STORY, PAGE, SHORT, HEADLINE or SUBHEAD for one line, BLANK for one without text.
 
-    Running text of some length and stop-word density is story unless two kinds of cues speak against it; lines of
-    links are page; for the rest, lines without an end, one notice or a name that makes up the line is enough.
+    Running text of some length and stop-word density is story unless the page speaks of itself in it and gives a
+    notice; lines of links are page; for the rest, lines without an end, a plain notice or a name that makes up the
+    line is enough.
     """
     text = line.strip()
     if not text:
@@ -123,7 +134,7 @@ def decide(line: str, names: PublisherNames) -> int:
             return PAGE
         if len(words) < LONG_WORDS and not name:
             return SHORT
-        if cues(low, words, name > 0) >= 2:
+        if is_notice(cues(low, words, name > 0)):
             return PAGE
         return STORY if len(words) >= 12 or (len(words) >= LONG_WORDS and sum(w in STOP_WORDS for w in words) / len(words) >= MIN_STOP_DENSITY) else SHORT
     marked = _LIST_MARK.match(text)
@@ -134,7 +145,7 @@ def decide(line: str, names: PublisherNames) -> int:
         return PAGE
     cut = _SENTENCE_INSIDE.search(text[marked.end() :] if marked else text) is not None  # running text that was cut off
     found = cues(low, words, name > 0)
-    if found >= 2 or (not cut and (found > (name > 0) or 3 * name >= len(words))):
+    if is_notice(found) or (not cut and (not found.isdisjoint(_ALONE) or 3 * name >= len(words))):
         return PAGE
     if cut:
         return STORY

@@ -110,9 +110,13 @@ def test_one_cue_decides_no_sentence():
         "The company sells a newsletter to its readers and the court ruled on it on Monday.",
         "“We use cookies to protect your privacy,” a spokesman of the airline told the council in May.",
         "All content on the shelves was damaged by the water, a speaker of the museum said.",
+        "Share prices fell after the company said it would send its staff home.",
+        "The staff of the museum lost their licence for the reproduction of old maps.",
+        "Our readers sent letters about the plan of the council to the minister on Monday.",
+        "The agencies said that an alert was sent to the inbox of every reader of the letter.",
     ]
     page = ["All  content on MONDHAVN HERALD is protected and may not be copied without written consent.", "We and our partners use cookies, as described in the notice.", "Mondhavn Herald staff and agencies", "Read also: the council met in May and was told of the plan"]
-    assert [blocks.decide(x, names) for x in story] == [blocks.STORY] * 4
+    assert [blocks.decide(x, names) for x in story] == [blocks.STORY] * 8
     assert [blocks.decide(x, names) for x in page] == [blocks.PAGE] * 4
 
 
