@@ -3,7 +3,7 @@
 Pass one decides each line by itself from its length, its stop-word density and its link density (separators, list
 marks, bracketed buttons). Cues of consent, offers, sharing, credits and legal notices, addresses to the reader and
 publisher names are further evidence: a sentence is a notice if the page speaks of itself in it (by a name or an
-address) and a notice of some kind is given, never for one of these alone.
+address) and a notice of some kind is given, or name and address meet, never for one of these alone.
 Pass two gives short, undecided lines the label of the nearest decided neighbours.
 """
 
@@ -43,7 +43,7 @@ _CUES = {
     "legal": "copyright|all rights reserved|tous droits réservés|alle rechte vorbehalten|todos los derechos|tutti i diritti|todos os direitos|all content|the content of|tous les contenus|alle inhalte|todos los contenidos|tutti i contenuti|todos os conteúdos|external sites|fremde seiten|sitios externos|siti esterni|sítios externos|"
     "reproduction of this|toute reproduction|riproduzione anche|reprodução total|reproducción total|is not responsible|non responsable|haftet nicht|no responde|non risponde|não responde|views expressed|opinions exprimées|geäusserten meinungen|opiniones expresadas|opinioni espresse|opiniões expressas|registered under|registre no|case file|media ltd|médias sa",
     "terms": "reproduction|reproducción|riproduzione|reprodução|licence|license|lizenz|licencia|licenza|licença|handelsregister|aktenzeichen|expediente|processo",
-    "offer": "newsletter|sign up|subscribe|abonnez|abonnieren|suscríbete|abbonati|assine|briefing|inbox|lettre du matin|lettera del mattino|carta de la mañana|morgenbrief|alert|alerts|alerte|alertes|eilmeldungen|alertas|avvisi|reader of|lecteur de|leser von|lector de|lettore di|lê|"
+    "offer": "newsletter|sign up|subscribe|abonnez|abonnieren|suscríbete|abbonati|assine|briefing|inbox|lettre du matin|lettera del mattino|carta de la mañana|morgenbrief|alert|alerts|alerte|alertes|eilmeldungen|benachrichtigungen|alertas|avisos|notificaciones|avvisi|notifiche|notificações|reader of|lecteur de|leser von|lector de|lettore di|lê|"
     "support our|soutenez|unterstützen sie|apoya|sostieni|apoie|a month|par mois|im monat|al mes|al mese|por mês|get the|recevez|erhalten sie|recibe|ricevi|receba",
     "share": "tap|share|send|partagez|envoyez|teilen|senden|schicken|comparte|envía|enviar|condividi|invia|partilhe|envie|by mail|par mail|per mail|por correo|via mail|por mail",
     "credit": "newsroom|staff|agencies|agences|agenturen|agencias|agenzie|agências|rédaction|redaktion|redacción|redazione|redação|correspondents|correspondants|korrespondenten|corresponsales|corrispondenti|correspondentes|night desk|edición nocturna|turno di notte|edição da noite",
@@ -109,8 +109,8 @@ def cues(low: str, words: list[str], named: bool) -> set[str]:
 
 
 def is_notice(found: set[str]) -> bool:
-    """Whether the page speaks of itself and gives a notice of some kind; neither alone is enough."""
-    return not found.isdisjoint(_SELF) and not found <= _SELF
+    """Whether the page speaks of itself and gives a notice of some kind, or speaks to its reader by its name."""
+    return not found.isdisjoint(_SELF) and len(found) > 1
 
 
 def decide(line: str, names: PublisherNames) -> int:
