@@ -14,7 +14,7 @@ import sys
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from presswerk.functions.text import strip
+from presswerk.functions.text import stable_excerpt, strip
 from presswerk.operators import dedup, evaluation, indexing, rerank, retrieval, specs, store, writing
 from presswerk.session import build_session
 from presswerk.sources import files, readers, sinks
@@ -76,7 +76,7 @@ def parser() -> argparse.ArgumentParser:
         "rerank", table={"choices": ["retrieval", "dedup"], "default": "dedup"}, run_id=number, topn={"type": int, "default": 20}, diversity_scan_k={"type": int, "default": 80}, pairwise_threshold={"type": float, "default": 0.62}, smax_threshold=real,
         smin_threshold=real, id1={}, id2={}, input={}, out={},
     )
-    command("write", rerank_run_id=number, repair=number, top_n={"type": int, "default": 10}, max_chars={"type": int, "default": 9000}, offset={"type": int, "default": 0}, interest_batch_size={"type": int, "default": 10}, outdir={})
+    command("write", rerank_run_id=number, repair=number, resume=number, top_n={"type": int, "default": 10}, max_chars={"type": int, "default": 9000}, offset={"type": int, "default": 0}, interest_batch_size={"type": int, "default": 10}, outdir={})
     command("evaluate", run_id=number, table={"choices": ["retrieval", "dedup", "rerank"], "default": "retrieval"}, eval_file={"required": True}, out={}, upsert_articles={"action": "store_true"})
     command("expand", topic={"nargs": "+", "required": True}, count={"type": int, "default": 10}, min_words={"type": int, "default": 1}, max_words={"type": int, "default": 2}, retries={"type": int, "default": 3}, out_dir={})
     command("parse-archives", input={"required": True}, out={"required": True}, skip_existing={"action": "store_true"})
@@ -166,7 +166,13 @@ def write_run(w: Workspace, args) -> dict:
     source, hits = _full(w, "rerank", args.rerank_run_id)
     names = [r[0] for r in hits.select("interest").distinct().orderBy("interest").offset(args.offset).limit(args.interest_batch_size).collect()]
     hits = hits.where(F.col("interest").isin(names) & (F.col("rank") <= args.top_n))
-    text = retrieval_text(F.col("body"), args.max_chars)
+    text = stable_excerpt(F.col("body"), args.max_chars)
+    if args.resume is not None:
+        # A run that broke off: what it has written already stays as it is.
+        done = w.summaries.read().where((F.col("run_id") == args.resume) & (F.col("status") != "FAIL"))
+        rest = writing.pending(hits, done)
+        rows = writing.write_hits(rest.select("interest", "rank", "id", "title", "lang", text.alias("text")), w.generator)
+        return {"run_id": args.resume, "written": w.summaries.write(rows.withColumn("run_id", F.lit(args.resume).cast("long")))}
     run = w.ledger.create("writing", vars(args), source)
     rows = writing.write_hits(hits.select("interest", "rank", "id", "title", "lang", text.alias("text")), w.generator)
     w.ledger.write("writing", run, rows)
@@ -177,12 +183,6 @@ def write_run(w: Workspace, args) -> dict:
     return {"run_id": run, "written": {r[0]: r[1] for r in written.groupBy("status").count().collect()}}
 
 
-def retrieval_text(body, longest: int):
-    from presswerk.functions.text import stable_excerpt
-
-    return stable_excerpt(body, longest)
-
-
 def repair(w: Workspace, run: int) -> dict:
     """Write again what a writing run left without title or summary, from the reranked hit or the article."""
     rows = w.summaries.read().where(F.col("run_id") == run)

@@ -46,6 +46,8 @@ def test_command_line_from_files_to_feed(spark, tmp_path):
     w.summaries.write(broken)
     assert run("write", "--repair", str(written["run_id"])) == {"run_id": 1, "repaired": 2}
     assert all(s["summary"] for s in run("feed")["stories"])
+    w.summaries.write(w.summaries.read().where("rank = 2").withColumn("status", F.lit("FAIL")))
+    assert run("write", "--resume", str(written["run_id"])) == {"run_id": 1, "written": 2} and run("write", "--resume", "1")["written"] == 0
     labelled = {"articles": [{"title": "t", "content": "c", "url": "https://www.x.example/2", "expected_interests": ["Harbour"]}, {"articles": [{"url": "https://nowhere.example", "title": "n", "content": "m", "expected_interests": "winter energy"}]}], "interest_aliases": {"harbour bridge": ["Harbour"]}}
     (tmp_path / "eval.json").write_text(json.dumps(labelled))
     report = run("evaluate", "--run-id", "1", "--eval-file", str(tmp_path / "eval.json"), "--upsert-articles", "--out", str(tmp_path / "report.json"))
