@@ -204,3 +204,38 @@ def test_word_salad(spark):
     docs += [(1000 + k, ". ".join(" ".join(["Said", *rng.choices(rare, k=12)]) for _ in range(8)) + ".") for k in range(10)]
     df = spark.createDataFrame(docs, "doc_id long, text string")
     assert sorted(r.doc_id for r in spam.find_spam(df).collect()) == list(range(1000, 1010))
+
+
+def test_word_salad_with_function_words(spark, monkeypatch):
+    """Coherence decides on every sentence, of many function words and of few words too, whatever counts are joined."""
+    rng = random.Random(9)
+    small = ["the", "of", "in", "to", "and", "for", "at", "by", "with", "from", "on", "as"]
+    rare = [f"w{i}" for i in range(400)]
+    runs = [[x for pair in zip(rng.choices(small, k=5), rng.sample(rare, 5), strict=True) for x in pair] for _ in range(40)]
+    drawn = lambda k: [x for pair in zip(rng.choices(small, k=k), rng.choices([w for r in runs for w in r[1::2]], k=k), strict=True) for x in pair]
+    docs = [(k, ". ".join(" ".join(rng.choice(runs)).capitalize() for _ in range(8)) + ".") for k in range(150)]
+    docs += [(1000 + k, ". ".join(" ".join(drawn(5)).capitalize() for _ in range(20)) + ".") for k in range(10)]
+    docs += [(1100 + k, ". ".join(" ".join(drawn(2)).capitalize() for _ in range(40)) + ".") for k in range(10)]
+    docs += [(2000 + k, ". ".join(" ".join(runs[k + j][i : i + 5]).capitalize() for j in range(8) for i in (0, 5)) + ".") for k in range(10)]
+    salad = [*range(1000, 1010), *range(1100, 1110)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    assert sorted(r.doc_id for r in spam.find_spam(df).collect()) == salad
+    shares = sorted(map(tuple, spam.spam_shares(df).collect()))
+    for known in (0, 60):
+        monkeypatch.setattr(spam, "MAX_KNOWN", known)
+        assert sorted(r.doc_id for r in spam.find_spam(df).collect()) == salad
+        assert sorted(map(tuple, spam.spam_shares(df).collect())) == shares
+
+
+def test_coherence_needs_a_corpus(spark):
+    """Told sentences whose words no other page holds are not called incoherent."""
+    other = "A farmer near the lake sold his last horse in autumn, because it was too old for the work. He said that he would walk to the market from now on.\n"
+    df = spark.createDataFrame([(1, NEWS), (2, other)], "doc_id long, text string")
+    assert spam.find_spam(df).count() == 0 and spam.find_spam(df.where("doc_id = 1")).count() == 0
+
+
+def test_runs_of_short_sentences():
+    runs = spam.PageJudge()._runs
+    assert runs([(0, 3), (1, 3), (2, 3), (3, 3)]) == [(0, 4)]
+    assert runs([(0, 3), (1, 9), (3, 3), (5, 9), (6, 3)]) == [(0, 2), (5, 7)]
+    assert runs([(4, 9), (5, 9)]) == [(4, 5), (5, 6)] and runs([]) == []
