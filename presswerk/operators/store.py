@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import json
+import random
+import time
 import uuid
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window
@@ -24,6 +27,15 @@ def upsert(existing: DataFrame, incoming: DataFrame, keys: list[str]) -> DataFra
     return both.withColumn("__r", F.row_number().over(w)).where("__r = 1").drop("__new", "__r")
 
 
+def _names(spark: SparkSession, path: str, prefix: str) -> list[str]:
+    """What follows the prefix in the names of a folder that begin with it."""
+    system, target = file_system(spark, path)
+    if not system.exists(target):
+        return []
+    names = [status.getPath().getName() for status in system.listStatus(target)]
+    return [n.removeprefix(prefix) for n in names if n.startswith(prefix)]
+
+
 class KeyedTable:
     """A Parquet table keyed by columns: a write adds one batch of its rows only, a read takes the last row of each key.
 
@@ -35,11 +47,7 @@ class KeyedTable:
         self.spark, self.path, self.keys = spark, path.rstrip("/"), keys
 
     def batches(self) -> list[int]:
-        system, target = file_system(self.spark, self.path)
-        if not system.exists(target):
-            return []
-        names = [status.getPath().getName() for status in system.listStatus(target)]
-        return sorted(int(n.removeprefix("batch=")) for n in names if n.startswith("batch="))
+        return sorted(int(n) for n in _names(self.spark, self.path, "batch="))
 
     def exists(self) -> bool:
         return bool(self.batches())
@@ -80,7 +88,11 @@ class KeyedTable:
 
 
 class RunLedger:
-    """Runs of the stages: numbered rows with parameters, and their detail rows, one partition for each run."""
+    """Runs of the stages: numbered rows with parameters, and their detail rows.
+
+    Rows written for one run are a partition of their own, those of runs added together share a batch of files; so a run
+    costs a folder, and many at once cost no more files than their plan has tasks. Of both the partition counts.
+    """
 
     KINDS = ("retrieval", "dedup", "rerank", "writing")
     RUNS = "id long, kind string, source_run_id long, parameters string, created_at timestamp"
@@ -93,17 +105,49 @@ class RunLedger:
             raise ValueError(f"no such run: {kind}")
         return KeyedTable(self.spark, f"{self.root}/{kind}_runs", ["id"])
 
-    def create(self, kind: str, parameters: dict | None = None, source_run_id: int | None = None) -> int:
-        """A new run; its number is taken by making a marker file, which only one of several writers can."""
-        table = self._table(kind)
-        system, _ = file_system(self.spark, self.root)
+    def _take(self, table: KeyedTable, count: int) -> list[int]:
+        """Numbers in a row that no other writer has, taken by one marker file that names the first and the last.
+
+        Only one of several writers can make a marker of a name. Markers that overlap under different names are both
+        given up: the later of two is made before its writer looks at the others, so it can't miss the earlier one.
+        """
+        system, _ = file_system(self.spark, table.path)
         path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-        number = max(table.batches(), default=0) + 1
-        while not system.createNewFile(path(f"{table.path}/_taken-{number}")):
-            number += 1
-        row = self.spark.createDataFrame([(number, kind, source_run_id, json.dumps(parameters or {}, sort_keys=True, default=str))], self.RUNS.rsplit(",", 1)[0])
-        table.write(row.withColumn("created_at", F.current_timestamp()), number)
-        return number
+        while True:
+            first = max([int(n.split("-")[-1]) for n in _names(self.spark, table.path, "_taken-")] + table.batches(), default=0) + 1
+            last = first + count - 1
+            name = f"{first}" if count == 1 else f"{first}-{last}"
+            if system.createNewFile(path(f"{table.path}/_taken-{name}")):
+                others = [n.split("-") for n in _names(self.spark, table.path, "_taken-") if n != name]
+                if not any(int(o[0]) <= last and int(o[-1]) >= first for o in others):
+                    return list(range(first, last + 1))
+            time.sleep(random.random())
+
+    def _put(self, kind: str, sources: list[int | None], parameters: dict | None) -> list[int]:
+        """New runs, one for each source in its order, as one batch under the last number."""
+        table = self._table(kind)
+        numbers = self._take(table, len(sources))
+        said = json.dumps(parameters or {}, sort_keys=True, default=str)
+        rows = self.spark.createDataFrame([(n, kind, source, said) for n, source in zip(numbers, sources)], self.RUNS.rsplit(",", 1)[0])
+        table.write(rows.withColumn("created_at", F.current_timestamp()), numbers[-1])
+        return numbers
+
+    def create(self, kind: str, parameters: dict | None = None, source_run_id: int | None = None) -> int:
+        """A new run; no other writer gets its number."""
+        return self._put(kind, [source_run_id], parameters)[0]
+
+    def add_all(self, kind: str, rows: DataFrame, source_col: str, parameters: dict | None = None) -> list[int]:
+        """New runs with their detail rows, one for each value of `source_col` in its order; the numbers of the runs.
+
+        The number of jobs does not depend on the number of runs. Rows without a source are left out.
+        """
+        sources = sorted(r[0] for r in rows.where(F.col(source_col).isNotNull()).select(source_col).distinct().collect())  # the runs, not their rows
+        if not sources:
+            return []
+        numbers = self._put(kind, sources, parameters)
+        runs = self.spark.read.parquet(f"{self._table(kind).path}/batch={numbers[-1]}").select(F.col("id").alias("run_id"), F.col("source_run_id").alias(source_col))
+        rows.join(runs, source_col).drop(source_col).write.mode("overwrite").parquet(f"{self.root}/{kind}_batches/batch={numbers[-1]}")
+        return numbers
 
     def runs(self, kind: str) -> DataFrame:
         table = self._table(kind)
@@ -114,7 +158,16 @@ class RunLedger:
         write_hits(rows.withColumn("run_id", F.lit(run_id).cast("long")), f"{self.root}/{kind}_rows", "run_id")
 
     def rows(self, kind: str, run_id: int | None = None) -> DataFrame:
-        rows = self.spark.read.option("mergeSchema", True).parquet(f"{self.root}/{kind}_rows").withColumn("run_id", F.col("run_id").cast("long"))
+        alone, together = f"{self.root}/{kind}_rows", f"{self.root}/{kind}_batches"
+        own, batches, found = _names(self.spark, alone, "run_id="), _names(self.spark, together, "batch="), []
+        if own or not batches:
+            found.append(self.spark.read.option("mergeSchema", True).parquet(alone).withColumn("run_id", F.col("run_id").cast("long")))
+        if batches:
+            added = self.spark.read.option("mergeSchema", True).parquet(together).drop("batch")
+            if own:  # written again since
+                added = added.join(self.spark.createDataFrame([(int(n),) for n in own], "run_id long"), "run_id", "left_anti")
+            found.append(added)
+        rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), found)
         return rows if run_id is None else rows.where(F.col("run_id") == run_id)
 
     def representative(self, kind: str) -> int | None:

@@ -42,8 +42,8 @@ def k2_run_rows(spark, sf_dir):
     """Every run of the hits written into a ledger under a number of its own, and read back with the run it came from."""
     h = read_table(spark, sf_dir, "retrieval_hits").select("retrieval_run_id", "interest", "rank", "article_id")
     ledger = store.RunLedger(spark, _folder(spark, "ledger"))
-    for run in sorted(r[0] for r in h.select("retrieval_run_id").distinct().collect()):  # the runs of a ledger, not their rows
-        ledger.write("dedup", ledger.create("dedup", {"from": "retrieval_hits"}, run), h.where(F.col("retrieval_run_id") == run).drop("retrieval_run_id"))
+    if not ledger.add_all("dedup", h, "retrieval_run_id", {"from": "retrieval_hits"}):
+        return h.select(F.col("retrieval_run_id").alias("run_id"), F.col("retrieval_run_id").alias("source_run_id"), "interest", "rank", "article_id").where(F.lit(False))
     runs = ledger.runs("dedup").select(F.col("id").alias("run_id"), "source_run_id")
     return ledger.rows("dedup").join(runs, "run_id").select("run_id", "source_run_id", "interest", "rank", "article_id")
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from presswerk import cli
 from presswerk.functions.register import register
 from presswerk.operators import dedup, indexing, rerank, retrieval, specs, store, writing
+from presswerk.plans import registry
 from presswerk.sources import files, readers, sinks
 
 WORDS = "council bridge harbour airline museum budget railway festival school winter energy court".split()
@@ -87,6 +88,50 @@ def test_ledger_numbers_runs_once(spark, tmp_path):
         ledger.create("other")
 
 
+def test_runs_are_added_together(spark, tmp_path):
+    ledger = store.RunLedger(spark, str(tmp_path))
+    rows = spark.createDataFrame([(8, "i", 1), (7, "i", 1), (8, "j", 2), (None, "lost", 1)], "source long, interest string, rank int")
+    assert ledger.create("rerank") == 1 and ledger.add_all("rerank", rows, "source", {"k": 1}) == [2, 3]
+    assert ledger.create("rerank") == 4 and ledger.add_all("rerank", rows.where("source is null"), "source") == []
+    (tmp_path / "rerank_runs" / "_taken-5-9").write_text("")  # another writer took these
+    assert ledger.add_all("rerank", rows.where("source = 7"), "source") == [10]
+    assert sorted((r.id, r.source_run_id) for r in ledger.runs("rerank").where("source_run_id > 0").collect()) == [(2, 7), (3, 8), (10, 7)]
+    ledger.write("rerank", 4, rows.where("source = 7").drop("source"))
+    ledger.write("rerank", 3, rows.where("source = 7").select("interest", F.lit(9).alias("rank"), F.lit("x").alias("note")))  # only this run is replaced
+    got = sorted((r.run_id, r.interest, r["rank"], r.note) for r in ledger.rows("rerank").collect())
+    assert got == [(2, "i", 1, None), (3, "i", 9, "x"), (4, "i", 1, None), (10, "i", 1, None)]
+    assert [r["rank"] for r in ledger.rows("rerank", 3).collect()] == [9] and ledger.representative("rerank") == 10
+
+
+def test_overlapping_markers_are_given_up(spark, tmp_path, monkeypatch):
+    ledger = store.RunLedger(spark, str(tmp_path))
+    folder, names, looks = tmp_path / "dedup_runs", store._names, []
+
+    def late(spark, path, prefix):
+        if prefix == "_taken-":
+            looks.append(prefix)
+            if len(looks) == 2:  # another writer's marker, made after the first look
+                (folder / "_taken-2-3").write_text("")
+        return names(spark, path, prefix)
+
+    monkeypatch.setattr(store, "_names", late)
+    rows = spark.createDataFrame([(7, "i"), (8, "i")], "source long, interest string")
+    assert ledger.add_all("dedup", rows, "source") == [4, 5] and (folder / "_taken-1-2").exists()
+
+
+def test_run_rows_need_no_more_jobs_for_more_runs(spark, tmp_path):
+    jobs = {}
+    for n in (0, 2, 12):
+        hits = [(10 * r, "i", k, f"a{r}") for r in range(n) for k in (1, 2)] + [(None, "i", 1, "lost")]
+        spark.createDataFrame(hits, "retrieval_run_id long, interest string, rank int, article_id string").coalesce(1).write.parquet(f"{tmp_path}/{n}/retrieval_hits.parquet")
+        spark.sparkContext.setJobGroup(f"runs-{n}", "")
+        got = registry.QUERIES["k2_run_rows"](spark, f"{tmp_path}/{n}").collect()
+        jobs[n] = len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"runs-{n}"))
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        assert sorted(map(tuple, got)) == [(r + 1, 10 * r, "i", k, f"a{r}") for r in range(n) for k in (1, 2)]
+    assert 0 < jobs[12] <= jobs[2] + 2, jobs
+
+
 def test_index_resumes(spark, tmp_path):
     df = spark.createDataFrame([("a", "bridge"), ("b", "harbour town"), (None, "x"), ("c", None)], "id string, text string")
     index = indexing.VectorIndex(spark, str(tmp_path / "v"))
